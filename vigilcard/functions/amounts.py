@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,11 +31,9 @@ def unusual_amount(
     return far | (ratio_to_mean(amount, mean) >= F.lit(ratio_min))
 
 
-def sample_stddev(n: Column, total: Column, squares: Column, low: Column, high: Column) -> Column:
-    """Sample standard deviation from mergeable moments.
-
-    ``low = high`` means that all values are equal, where the moments may leave a rounding
-    residue instead of an exact 0.
-    """
-    variance = (squares - total * total / n) / (n - F.lit(1))
-    return F.when((n > 1) & (low < high), F.sqrt(F.greatest(variance, F.lit(0.0)))).otherwise(F.lit(0.0))
+def mean_and_deviation(df: DataFrame, key: str, amount: str = "amount") -> DataFrame:
+    """Mean and sample deviation per key; 0 without values, and no deviation of one value."""
+    return df.groupBy(key).agg(
+        F.coalesce(F.avg(amount), F.lit(0.0)).alias("amount_mean"),
+        F.coalesce(F.stddev_samp(amount), F.lit(0.0)).alias("amount_std"),
+    )

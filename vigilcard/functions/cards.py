@@ -82,3 +82,10 @@ def monotonic_counts(*counts: Column) -> Column:
     for shorter, longer in zip(counts, counts[1:]):
         ordered = ordered & (shorter <= longer)
     return ordered
+
+
+def time_text(ts: Column, separator: str) -> Column:
+    """Date and time as text; the fraction, six digits, only where there is one."""
+    whole = F.concat_ws(separator, F.date_format(ts, "yyyy-MM-dd"), F.date_format(ts, "HH:mm:ss"))
+    fraction = F.when(F.unix_micros(ts) % 1_000_000 == 0, F.lit("")).otherwise(F.date_format(ts, ".SSSSSS"))
+    return F.when(ts.isNotNull(), F.concat(whole, fraction))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig, Thresholds
-from vigilcard.functions.cards import bin_prefix
+from vigilcard.functions.cards import bin_prefix, time_text
 from vigilcard.operators.rules import fired_rules
 from vigilcard.schemas import ALERT, AUDIT, ENRICHED, SNAPSHOT_FEATURES
 
@@ -87,7 +87,8 @@ def enriched_transactions(scored: DataFrame) -> DataFrame:
 
 def feature_snapshot() -> Column:
     """JSON of the unrounded features, reasons and score behind a decision."""
-    features = [F.col(name) for name in SNAPSHOT_FEATURES]
+    times = {"prev_ts": time_text(F.col("prev_ts"), " ").alias("prev_ts")}
+    features = [times.get(name, F.col(name)) for name in SNAPSHOT_FEATURES]
     score = F.round("risk_score", 2).alias("risk_score")
     return F.to_json(F.struct(*features, F.col("rule_reasons"), score), {"ignoreNullFields": "false"})
 
@@ -108,20 +109,24 @@ def audit_events(enriched: DataFrame, audit_ts: Column) -> DataFrame:
     """One decision event per enriched row, ready for the JSON-lines audit log."""
     derived = {
         "event": F.lit("decision"),
-        "timestamp": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        "timestamp": time_text(F.col("timestamp"), " "),
         "amount": F.coalesce(F.col("amount"), F.lit(0.0)),
         "risk_score": F.round(F.coalesce(F.col("risk_score"), F.lit(0.0)), 2),
-        "audit_ts": F.date_format(audit_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"),
+        "audit_ts": _utc_text(audit_ts),
     }
     return enriched.select(*[derived.get(name, F.col(name)).alias(name) for name in AUDIT.names])
 
 
 def alert_audit_events(alert_rows: DataFrame, audit_ts: Column) -> DataFrame:
     """Audit events of kind ``alert``: every alert column between the kind and the audit time."""
-    stamp = F.date_format(audit_ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("audit_ts")
+    stamp = _utc_text(audit_ts).alias("audit_ts")
     return alert_rows.select(F.lit("alert").alias("event"), *alert_rows.columns, stamp)
 
 
+def _utc_text(moment: Column) -> Column:
+    return F.concat(time_text(moment, "T"), F.lit("+00:00"))
+
+
 def batch_stats(enriched: DataFrame) -> DataFrame:
     """One row: rows processed, alerts, rows per decision and average score."""
     level = F.col("risk_level")

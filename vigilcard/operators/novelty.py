@@ -47,16 +47,16 @@ def with_novelty(batch: DataFrame, probed: DataFrame, seen: DataFrame | None) ->
     return _with_met_kinds(batch, probes.join(seen, ["card_id", "kind", "value"], "left_semi"))
 
 
-def with_novelty_as_of(rows: DataFrame) -> DataFrame:
-    """Novelty of every row against all other rows up to its own time.
+def with_novelty_as_of(rows: DataFrame, probed: DataFrame, everything: DataFrame) -> DataFrame:
+    """Novelty of rows against all other rows of ``everything`` up to their own time.
 
     A value was met before when its first use is earlier, or when it is simultaneous and
     more than one row has it.
     """
-    uses = _tagged(rows, ["timestamp"], NON_CHIP_USE)
+    uses = _tagged(everything, ["timestamp"], NON_CHIP_USE)
     per_time = uses.groupBy("card_id", "kind", "value", "timestamp").agg(F.count(F.lit(1)).alias("uses"))
     first = per_time.groupBy("card_id", "kind", "value").agg(F.min(F.struct("timestamp", "uses")).alias("first"))
-    probes = _tagged(rows, ["transaction_id", "timestamp", f"coalesce({NON_CHIP_USE}, false) AS own_use"], "true")
+    probes = _tagged(probed, ["transaction_id", "timestamp", f"coalesce({NON_CHIP_USE}, false) AS own_use"], "true")
     # The row itself is one of the uses, except for a chip row probing for non-chip use.
     itself = f"CASE WHEN kind <> {NON_CHIP} OR own_use THEN 1 ELSE 0 END"
     met = probes.join(first, ["card_id", "kind", "value"]).filter(

@@ -19,6 +19,10 @@ from vigilcard.functions.geo import impossible_travel
 Rule = Callable[[RuleSettings], tuple[Column, Column]]
 RULES: dict[str, Rule] = {}
 
+# Feature families a rule reads; a plan for chosen rules computes no others.
+FAMILIES = ("card", "customer", "bin", "novelty")
+NEEDS: dict[str, tuple[str, ...]] = {}
+
 # Reason texts.
 REASON_PROBE = "teste R$ %.2f seguido de R$ %.2f em %.0fmin (%d tx em 10min)"
 REASON_STRIPE = "tarja magnética em cartão com histórico 100%% chip (R$ %.2f)"
@@ -31,11 +35,12 @@ REASON_BIN = "%d negadas em %s nos últimos 15min sem aprovação prévia"
 REASON_NIGHT = "transação na madrugada (%dh) em cidade não habitual (%s)"
 
 
-def register_rule(name: str) -> Callable[[Rule], Rule]:
+def register_rule(name: str, needs: tuple[str, ...] = FAMILIES) -> Callable[[Rule], Rule]:
     """Makes a rule available to configurations under ``name``."""
 
     def add(rule: Rule) -> Rule:
         RULES[name] = rule
+        NEEDS[name] = needs
         return rule
 
     return add
@@ -53,7 +58,7 @@ def _times_mean() -> Column:
     return F.when(F.col("amount_mean_90d") > 0, _amount() / F.col("amount_mean_90d"))
 
 
-@register_rule("card_cloning")
+@register_rule("card_cloning", needs=("card", "novelty"))
 def card_cloning(settings: RuleSettings) -> tuple[Column, Column]:
     """A small probe followed by a large purchase, or a stripe on a chip-only card."""
     small = _param(settings, "test_amount_max", 10.0)
@@ -76,7 +81,7 @@ def card_cloning(settings: RuleSettings) -> tuple[Column, Column]:
     return after_probe | (stripe & (amount >= 3 * small)), reason
 
 
-@register_rule("unusual_amount")
+@register_rule("unusual_amount", needs=("customer",))
 def unusual_amount(settings: RuleSettings) -> tuple[Column, Column]:
     """An amount far above the customer's 90-day profile."""
     condition = (
@@ -88,7 +93,7 @@ def unusual_amount(settings: RuleSettings) -> tuple[Column, Column]:
     return condition, F.format_string(REASON_AMOUNT, _amount(), F.col("amount_zscore"), F.col("amount_mean_90d"))
 
 
-@register_rule("impossible_travel")
+@register_rule("impossible_travel", needs=("card",))
 def travel(settings: RuleSettings) -> tuple[Column, Column]:
     """Two cities too far apart for the time between two transactions."""
     distance, speed = F.col("distance_from_last_km"), F.col("travel_speed_kmh")
@@ -106,7 +111,7 @@ def travel(settings: RuleSettings) -> tuple[Column, Column]:
     return condition, reason
 
 
-@register_rule("new_device_high_amount")
+@register_rule("new_device_high_amount", needs=("customer", "novelty"))
 def new_device(settings: RuleSettings) -> tuple[Column, Column]:
     """A device nobody saw on this card before, with an amount far above the mean."""
     condition = (
@@ -122,7 +127,7 @@ def new_device(settings: RuleSettings) -> tuple[Column, Column]:
     return condition, reason
 
 
-@register_rule("dormant_card_wake")
+@register_rule("dormant_card_wake", needs=("card", "customer"))
 def dormant_wake(settings: RuleSettings) -> tuple[Column, Column]:
     """A long idle card with sudden spending."""
     floor = _param(settings, "min_amount", 500.0)
@@ -136,7 +141,7 @@ def dormant_wake(settings: RuleSettings) -> tuple[Column, Column]:
     return asleep & (above_mean | no_profile), reason
 
 
-@register_rule("bin_attack")
+@register_rule("bin_attack", needs=("bin",))
 def bin_attack(settings: RuleSettings) -> tuple[Column, Column]:
     """Several recent denials on one BIN without an approval just before."""
     denials = F.col("bin_denials_15min")
@@ -144,7 +149,7 @@ def bin_attack(settings: RuleSettings) -> tuple[Column, Column]:
     return condition, F.format_string(REASON_BIN, denials, F.coalesce(bin_prefix(F.col("card_id")), F.lit("")))
 
 
-@register_rule("unusual_hour_and_place")
+@register_rule("unusual_hour_and_place", needs=("card", "novelty"))
 def night_place(settings: RuleSettings) -> tuple[Column, Column]:
     """A night purchase in a city the card was never used in."""
     start = int(_param(settings, "untrusted_hour_start", 2))
@@ -165,6 +170,12 @@ def active_rules(config: EngineConfig) -> list[RuleSettings]:
     return [r for r in config.rules if r.enabled and r.name in RULES]
 
 
+def needed_families(config: EngineConfig) -> tuple[str, ...]:
+    """Feature families the active rules read."""
+    read = {family for r in active_rules(config) for family in NEEDS[r.name]}
+    return tuple(family for family in FAMILIES if family in read)
+
+
 def fired_rules(config: EngineConfig) -> Column:
     """Array of ``(name, weight, reason)`` of the rules that fire on a row, in order."""
     entry = "array<struct<name:string,weight:double,reason:string>>"

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilcard.operators.align import since_seconds
+from vigilcard.operators.replay import in_second_predecessors
 
 # Window lengths in seconds.
 ONE_MINUTE, FIVE_MINUTES, TEN_MINUTES, ONE_HOUR, ONE_DAY = 60, 300, 600, 3600, 86400
@@ -37,7 +38,7 @@ CARD_PAYLOAD = (
     "amount",
     "entry_mode",
 )
-BIN_PAYLOAD = ("transaction_id", "auth_result")
+BIN_PAYLOAD = ("transaction_id", "timestamp", "auth_result")
 
 
 def _second_rows(
@@ -205,13 +206,19 @@ def bin_seconds(
 
 
 def _with_row_before(
-    batch: DataFrame, beside: DataFrame | None, seconds: DataFrame, key: str, payload: tuple[str, ...]
+    batch: DataFrame,
+    beside: DataFrame | None,
+    seconds: DataFrame,
+    key: str,
+    payload: tuple[str, ...],
+    as_of: DataFrame | None,
 ) -> DataFrame:
     """Joins the window values and completes ``row_before`` inside the second.
 
     The row before is the one with the next smaller id in the same second, else the last
     row of the previous used second. ``beside`` is history that may share seconds with the
-    batch.
+    batch. With ``as_of``, all rows there are, a row of the same second that happened later
+    is not a predecessor.
     """
     rows = batch
     if beside is not None:
@@ -222,8 +229,14 @@ def _with_row_before(
         joined = joined.filter("is_batch OR matched").drop("matched")
     in_second = f"lag(struct({', '.join(payload)})) OVER (PARTITION BY {key}, ts_epoch ORDER BY transaction_id)"
     columns = [f"`{c}`" for c in joined.columns if c != "row_before"]
-    chained = joined.selectExpr(*columns, f"coalesce({in_second}, row_before) AS row_before")
-    return chained if beside is None else chained.filter("is_batch")
+    chained = joined.selectExpr(*columns, f"{in_second} AS beside", "row_before AS earlier")
+    if beside is not None:
+        chained = chained.filter("is_batch")
+    neighbour = "beside"
+    if as_of is not None:
+        chained = chained.join(in_second_predecessors(as_of, key, payload), "transaction_id", "left")
+        neighbour = "CASE WHEN beside.timestamp > timestamp THEN repaired ELSE beside END"
+    return chained.selectExpr(*columns, f"coalesce({neighbour}, earlier) AS row_before")
 
 
 def with_windows(
@@ -233,17 +246,18 @@ def with_windows(
     bin_window_seconds: int = 900,
     history_ended: bool = False,
     families: tuple[str, ...] = ("card", "customer", "bin"),
+    as_of: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the window features and predecessors of aligned batch rows.
 
     ``since`` is a lower bound, in epoch seconds, of the batch time and limits how much
     history is read. ``history_ended`` promises that history ends before the first second
-    of the batch.
+    of the batch. ``as_of`` asks for the predecessors of a replay, see ``_with_row_before``.
     """
     beside = None if history is None or history_ended else since_seconds(history, since)
     out = batch
     if "card" in families:
-        out = _with_row_before(out, beside, card_seconds(batch, history, since), "card_key", CARD_PAYLOAD)
+        out = _with_row_before(out, beside, card_seconds(batch, history, since), "card_key", CARD_PAYLOAD, as_of)
         kept = [f"`{c}`" for c in batch.columns]
         out = out.selectExpr(
             *kept,
@@ -265,7 +279,7 @@ def with_windows(
     if "bin" in families:
         before = [f"`{c}`" for c in out.columns]
         seconds = bin_seconds(batch, history, since, bin_window_seconds)
-        out = _with_row_before(out, beside, seconds, "bin", BIN_PAYLOAD).selectExpr(
+        out = _with_row_before(out, beside, seconds, "bin", BIN_PAYLOAD, as_of).selectExpr(
             *before,
             "coalesce(bin_denials_15min, 0L) AS bin_denials_15min",
             "coalesce(row_before.auth_result = 'approved', false) AS prev_bin_approved",

@@ -12,28 +12,33 @@ from vigilcard.functions import amounts, cards, geo
 from vigilcard.operators.align import align
 from vigilcard.operators.decisions import timestamp_literal, with_decision
 from vigilcard.operators.novelty import seen_values, with_novelty
+from vigilcard.operators.rules import FAMILIES, fired_rules, needed_families
 from vigilcard.operators.seconds import with_windows
 
 
-def with_row_features(df: DataFrame, config: EngineConfig) -> DataFrame:
-    """Per-row features: elapsed time, distance, speed, dormancy, profile and merchant risk."""
-    amount = F.coalesce(F.col("amount"), F.lit(0.0))
-    mean, std = F.col("amount_mean_90d"), F.col("amount_std_90d")
+def with_row_features(
+    df: DataFrame, config: EngineConfig, families: tuple[str, ...] = FAMILIES
+) -> DataFrame:
+    """Per-row features: elapsed time, distance, speed, dormancy, profile and merchant risk.
+
+    Features derived from a window family are added only when that family is present.
+    """
+    added = {
+        "hour_of_day": cards.hour_of_day(F.col("timestamp")),
+        "high_risk_merchant": cards.high_risk_merchant(F.col("merchant_category"), config.high_risk_categories),
+    }
+    if "customer" in families:
+        amount = F.coalesce(F.col("amount"), F.lit(0.0))
+        mean, std = F.col("amount_mean_90d"), F.col("amount_std_90d")
+        added["amount_zscore"] = amounts.zscore(amount, mean, std)
+        added["amount_vs_avg_ratio"] = amounts.ratio_to_mean(amount, mean)
+    if "card" not in families:
+        return df.withColumns(added)
+    added["minutes_since_last"] = cards.minutes_since(F.col("timestamp"), F.col("prev_ts"))
+    added["dormant_days"] = cards.days_since(F.col("timestamp"), F.col("prev_ts"))
     placed = geo.with_city_distance(df, "prev_merchant_city", "merchant_city", "distance_from_last_km")
-    timed = placed.withColumns(
-        {
-            "minutes_since_last": cards.minutes_since(F.col("timestamp"), F.col("prev_ts")),
-            "dormant_days": cards.days_since(F.col("timestamp"), F.col("prev_ts")),
-            "amount_zscore": amounts.zscore(amount, mean, std),
-            "amount_vs_avg_ratio": amounts.ratio_to_mean(amount, mean),
-            "hour_of_day": cards.hour_of_day(F.col("timestamp")),
-            "high_risk_merchant": cards.high_risk_merchant(
-                F.col("merchant_category"), config.high_risk_categories
-            ),
-        }
-    )
     speed = geo.speed_kmh(F.col("distance_from_last_km"), F.col("minutes_since_last"))
-    return timed.withColumn("travel_speed_kmh", speed)
+    return placed.withColumns(added).withColumn("travel_speed_kmh", speed)
 
 
 def transaction_features(
@@ -42,8 +47,9 @@ def transaction_features(
     config: EngineConfig,
     since: int | None = None,
     history_ended: bool = False,
+    families: tuple[str, ...] = FAMILIES,
 ) -> DataFrame:
-    """Batch rows with every unrounded feature.
+    """Batch rows with every unrounded feature of the chosen families.
 
     ``history`` None means that no history exists at all; an empty DataFrame means that it
     exists and holds nothing, which the novelty flags tell apart. History must not hold ids
@@ -53,9 +59,11 @@ def transaction_features(
     """
     rows = align(batch).withColumn("is_batch", F.lit(True))
     past = None if history is None else align(history).withColumn("is_batch", F.lit(False))
-    timed = with_windows(rows, past, since, config.bin_window_seconds, history_ended)
-    known = with_novelty(timed, rows, None if past is None else seen_values(past))
-    return with_row_features(known, config).drop("ts_epoch", "card_key", "customer_key", "bin", "is_batch")
+    featured = with_windows(rows, past, since, config.bin_window_seconds, history_ended, families)
+    if "novelty" in families:
+        featured = with_novelty(featured, rows, None if past is None else seen_values(past))
+    featured = with_row_features(featured, config, families)
+    return featured.drop("ts_epoch", "card_key", "customer_key", "bin", "is_batch")
 
 
 def score_transactions(
@@ -73,3 +81,21 @@ def score_transactions(
     moment = decision_ts or datetime.now(timezone.utc)
     features = transaction_features(batch, history, config, since, history_ended)
     return with_decision(features, config, timestamp_literal(moment))
+
+
+def rule_hits(
+    batch: DataFrame,
+    history: DataFrame | None,
+    config: EngineConfig,
+    since: int | None = None,
+    history_ended: bool = False,
+) -> DataFrame:
+    """Rows on which an active rule fires, one per (transaction, rule), with weight and reason.
+
+    Only the feature families the active rules read are computed.
+    """
+    families = needed_families(config)
+    features = transaction_features(batch, history, config, since, history_ended, families)
+    return features.select("transaction_id", F.inline(fired_rules(config))).select(
+        "transaction_id", F.col("name").alias("rule_name"), "weight", "reason"
+    )
