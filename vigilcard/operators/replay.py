@@ -20,7 +20,7 @@ def in_second_predecessors(rows: DataFrame, key: str, payload: tuple[str, ...])
     "no later than m" is a union of at most 20 aligned ranges, one per set bit of m, and in
     each of them the answer is a running maximum. No pairs of rows are formed.
     """
-    struct = f"struct({', '.join(payload)})"
+    struct = f"struct(ts_epoch, {', '.join(payload)})"
     by_id = f"PARTITION BY {key}, ts_epoch ORDER BY transaction_id"
     checked = rows.filter("ts_epoch IS NOT NULL").selectExpr(
         key,

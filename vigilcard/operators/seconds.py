@@ -12,8 +12,9 @@ single key holds a large part of the data:
 3. a frame exactly as long as a slot (24 h, 90 days) is the running total of its own slot
    plus the running total, read backwards, of the slot before. Both are running frames of
    linear cost, and nothing is subtracted, so minimum and maximum work like the sums;
-4. the row before, which may lie any time back, is taken from the key's previous used
-   second, one row per second; everything older than the frames is one row per key.
+4. the row before may lie any time back. It is the last row of an earlier second of the slot
+   or, for the first second of a slot, of a carried row: the last second of the key's
+   previous used slot, found in a table of one row per (key, slot).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from vigilcard.operators.replay import in_second_predecessors
 ONE_MINUTE, FIVE_MINUTES, TEN_MINUTES, ONE_HOUR, ONE_DAY = 60, 300, 600, 3600, 86400
 NINETY_DAYS = 90 * ONE_DAY
 
-# Columns of the row before; the id comes first because it decides the order inside a second.
+# Columns of the row before, behind its second; the id decides the order inside a second.
 CARD_PAYLOAD = (
     "transaction_id",
     "timestamp",
@@ -40,6 +41,9 @@ CARD_PAYLOAD = (
 )
 BIN_PAYLOAD = ("transaction_id", "timestamp", "auth_result")
 
+# Parts a second plays in a slot.
+OWN, REACHED, CARRIED = "own", "reached", "carried"
+
 
 def _second_rows(
     batch: DataFrame,
@@ -72,17 +76,45 @@ def _second_rows(
     )
 
 
-def _in_slots(seconds: DataFrame, slot: int, reach: int, since: int | None) -> DataFrame:
-    """Seconds in their own slot (``own``) and in the next one if a frame there reaches them.
+def _slot(length: int) -> str:
+    return f"ts_epoch div {length}"
+
+
+def _in_slots(
+    seconds: DataFrame, key: str, slot: int, reach: int, since: int | None, carry: bool = False
+) -> DataFrame:
+    """Seconds in their own slot and, as ``reached``, in the next one if a frame there needs them.
 
     ``countdown`` is the time left in the slot, the order in which a slot is read backwards.
+    ``carry`` adds the last second of the previous used slot as ``carried``, without values.
     """
     near_end = "" if reach >= slot else f"WHEN pmod(ts_epoch, {slot}) < {slot - reach} THEN array(0)"
-    hops = f"CASE {near_end} WHEN true THEN array(0, 1) END"
-    copies = seconds.selectExpr("*", f"explode({hops}) AS hop").selectExpr(
-        "*", f"(ts_epoch div {slot}) + hop AS slot", f"{slot - 1} - pmod(ts_epoch, {slot}) AS countdown", "hop = 0 AS own"
+    hops = f"explode(CASE {near_end} WHEN true THEN array(0, 1) END) AS hop"
+    role = f"CASE WHEN hop = 0 THEN '{OWN}' ELSE '{REACHED}' END AS role"
+    copies = seconds.selectExpr("*", hops).selectExpr("*", f"({_slot(slot)}) + hop AS slot", role).drop("hop")
+    if since is not None:
+        copies = copies.filter(F.col("slot") >= since // slot)
+    if carry:
+        copies = copies.unionByName(_carried(seconds, key, slot), allowMissingColumns=True)
+    return copies.selectExpr("*", f"{slot - 1} - pmod(ts_epoch, {slot}) AS countdown")
+
+
+def _carried(seconds: DataFrame, key: str, slot: int) -> DataFrame:
+    """For each (key, slot) with batch rows, the last second of the key's previous used slot.
+
+    The whole second is aggregated although only its last row is needed: with all columns in
+    use, this branch and the main one share one scan and one shuffle of the seconds.
+    """
+    whole = ", ".join(seconds.columns)
+    used = seconds.groupBy(key, F.expr(f"{_slot(slot)} AS slot")).agg(
+        F.expr(f"max_by(struct({whole}), ts_epoch) AS latest"), F.expr("bool_or(wanted) AS asked")
+    )
+    before = f"lag(latest) OVER (PARTITION BY {key} ORDER BY slot) AS latest"
+    return (
+        used.selectExpr(key, "slot", "asked", before)
+        .filter("asked AND latest IS NOT NULL")
+        .selectExpr(key, "slot", "latest.ts_epoch", "latest.last_row", f"'{CARRIED}' AS role")
     )
-    return copies.drop("hop") if since is None else copies.drop("hop").filter(F.col("slot") >= since // slot)
 
 
 def _frame(key: str, seconds_back: int) -> str:
@@ -94,8 +126,8 @@ def _over_one_slot(key: str, function: str, column: str) -> tuple[str, str]:
     running = f"(PARTITION BY {key}, slot ORDER BY ts_epoch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     backwards = f"(PARTITION BY {key}, slot ORDER BY countdown RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (
-        f"{function}(CASE WHEN own THEN {column} END) OVER {running}",
-        f"{function}(CASE WHEN NOT own THEN {column} END) OVER {backwards}",
+        f"{function}(CASE WHEN role = '{OWN}' THEN {column} END) OVER {running}",
+        f"{function}(CASE WHEN role = '{REACHED}' THEN {column} END) OVER {backwards}",
     )
 
 
@@ -103,13 +135,18 @@ def _sum_over_one_slot(key: str, column: str) -> str:
     return " + ".join(f"coalesce({half}, 0)" for half in _over_one_slot(key, "sum", column))
 
 
-def _before(key: str) -> str:
-    """Last row of the key's previous used second."""
-    return f"lag(last_row) OVER (PARTITION BY {key} ORDER BY ts_epoch)"
+def _row_before(key: str) -> str:
+    """Last row of the key's previous used second, from the slot itself or the carried row."""
+    running = f"(PARTITION BY {key}, slot ORDER BY ts_epoch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"last(CASE WHEN role <> '{REACHED}' THEN last_row END, true) OVER {running} AS row_before"
+
+
+KEPT = f"role = '{OWN}' AND wanted AS kept"
 
 
 def _last_row(payload: tuple[str, ...]) -> str:
-    return f"max(struct({', '.join(payload)}))"
+    """Latest row of a second or, with its time in front, of collapsed older seconds."""
+    return f"max(struct(ts_epoch, {', '.join(payload)}))"
 
 
 def card_seconds(batch: DataFrame, history: DataFrame | None, since: int | None = None) -> DataFrame:
@@ -117,7 +154,6 @@ def card_seconds(batch: DataFrame, history: DataFrame | None, since: int | None
     key = "card_key"
     measures = {"n": "count(1)", "total": "sum(amount)", "low": "min(amount)", "last_row": _last_row(CARD_PAYLOAD)}
     seconds = _second_rows(batch, history, key, CARD_PAYLOAD, measures, since, ONE_DAY, keep_older=True)
-    chained = seconds.selectExpr(key, "ts_epoch", "wanted", "n", "total", "low", f"{_before(key)} AS row_before")
     counts = {
         "velocity_1min": ONE_MINUTE,
         "velocity_5min": FIVE_MINUTES,
@@ -126,12 +162,12 @@ def card_seconds(batch: DataFrame, history: DataFrame | None, since: int | None
     }
     ten = _frame(key, TEN_MINUTES)
     return (
-        _in_slots(chained, ONE_DAY, ONE_DAY, since)
+        _in_slots(seconds, key, ONE_DAY, ONE_DAY, since, carry=True)
         .selectExpr(
             key,
             "ts_epoch",
-            "own AND wanted AS kept",
-            "row_before",
+            KEPT,
+            _row_before(key),
             *[f"coalesce(sum(n) OVER {_frame(key, length)}, 0) AS {name}" for name, length in counts.items()],
             f"{_sum_over_one_slot(key, 'n')} AS velocity_24h",
             f"sum(total) OVER {ten} AS sum_10min",
@@ -161,11 +197,11 @@ def customer_seconds(batch: DataFrame, history: DataFrame | None, since: int | N
     highest = ", ".join(_over_one_slot(key, "max", "high"))
     variance = "greatest((squares - total * total / n) / (n - 1), 0D)"
     return (
-        _in_slots(seconds, NINETY_DAYS, NINETY_DAYS, since)
+        _in_slots(seconds, key, NINETY_DAYS, NINETY_DAYS, since)
         .selectExpr(
             key,
             "ts_epoch",
-            "own AND wanted AS kept",
+            KEPT,
             *[f"{_sum_over_one_slot(key, column)} AS {column}" for column in ("n", "total", "squares")],
             f"least({lowest}) AS low",
             f"greatest({highest}) AS high",
@@ -190,14 +226,13 @@ def bin_seconds(
     key = "bin"
     measures = {"denials": "count_if(auth_result = 'declined')", "last_row": _last_row(BIN_PAYLOAD)}
     seconds = _second_rows(batch, history, key, BIN_PAYLOAD, measures, since, window_seconds, keep_older=True)
-    chained = seconds.selectExpr(key, "ts_epoch", "wanted", "denials", f"{_before(key)} AS row_before")
     return (
-        _in_slots(chained, ONE_DAY, window_seconds, since)
+        _in_slots(seconds, key, ONE_DAY, window_seconds, since, carry=True)
         .selectExpr(
             key,
             "ts_epoch",
-            "own AND wanted AS kept",
-            "row_before",
+            KEPT,
+            _row_before(key),
             f"coalesce(sum(denials) OVER {_frame(key, window_seconds)}, 0) AS bin_denials_15min",
         )
         .filter("kept")
@@ -227,7 +262,7 @@ def _with_row_before(
     joined = rows.join(seconds, [key, "ts_epoch"], "left")
     if beside is not None:
         joined = joined.filter("is_batch OR matched").drop("matched")
-    in_second = f"lag(struct({', '.join(payload)})) OVER (PARTITION BY {key}, ts_epoch ORDER BY transaction_id)"
+    in_second = f"lag(struct(ts_epoch, {', '.join(payload)})) OVER (PARTITION BY {key}, ts_epoch ORDER BY transaction_id)"
     columns = [f"`{c}`" for c in joined.columns if c != "row_before"]
     chained = joined.selectExpr(*columns, f"{in_second} AS beside", "row_before AS earlier")
     if beside is not None:
