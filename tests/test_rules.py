@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from vigilcard.config import config_from_dict, default_config, load_config
 from vigilcard.functions.cards import is_blank
 from vigilcard.operators.decisions import risk_level, with_decision
-from vigilcard.operators.rules import active_rules, fired_rules, needed_families, register_rule, RULES
+from vigilcard.operators.rules import RULES, active_rules, fired_entries, needed_families, register_rule, with_conditions
 
 CONFIG = default_config()
 
@@ -151,7 +151,8 @@ def test_registering_a_rule(spark):
 
     try:
         config = config_from_dict({"rules": {"no_device": {"weight": 31}}})
-        hits = features(spark, [{}, {"device_id": None}]).select("transaction_id", F.inline(fired_rules(config)))
+        judged, flags = with_conditions(features(spark, [{}, {"device_id": None}]), config)
+        hits = judged.select("transaction_id", F.inline(fired_entries(flags))).filter("rule_name IS NOT NULL")
         assert [tuple(r) for r in hits.collect()] == [("1", "no_device", 31.0, "sem dispositivo")]
     finally:
         del RULES["no_device"]

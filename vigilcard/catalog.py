@@ -98,17 +98,16 @@ def comparable(df: DataFrame, *leave_out: str) -> DataFrame:
     """A table in the form the comparison expects, without the named columns."""
     columns = []
     for f in df.schema.fields:
-        if f.name in leave_out:
-            continue
-        value = F.col(f.name)
+        value = f.name
         if isinstance(f.dataType, ArrayType):
-            value = F.concat_ws(",", value)
+            value = f"concat_ws(',', {f.name})"
         elif isinstance(f.dataType, TimestampType):
-            value = value.cast("timestamp_ntz")
+            value = f"CAST({f.name} AS timestamp_ntz)"
         elif f.name == "dt":
-            value = value.cast("string")
-        columns.append(value.alias(f.name))
-    return df.select(*columns)
+            value = "CAST(dt AS string)"
+        if f.name not in leave_out:
+            columns.append(f"{value} AS {f.name}")
+    return df.selectExpr(*columns)
 
 
 # --- projections, keys and single features -------------------------------------------------

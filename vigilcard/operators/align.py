@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilcard.functions.cards import bin_prefix
+from vigilcard.functions.cards import BIN_LENGTH
 from vigilcard.schemas import RAW
 
 KEYS = ("card_key", "customer_key", "bin")
@@ -17,16 +17,15 @@ def align(df: DataFrame) -> DataFrame:
     A missing card or customer is one group of its own, so the keys are never null and
     plain equi-joins find every row again.
     """
-    columns = [F.col(name).cast(RAW[name].dataType).alias(name) for name in RAW.names]
+    kept = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW.fields]
     if "dt" in df.columns:  # partition column of a stored layer, kept for pruning
-        columns.append(F.col("dt"))
-    card = F.coalesce(F.col("card_id"), F.lit(""))
-    return df.select(*columns).select(
+        kept.append("dt")
+    return df.selectExpr(*kept).selectExpr(
         "*",
-        F.unix_timestamp("timestamp").alias("ts_epoch"),
-        card.alias("card_key"),
-        F.coalesce(F.col("customer_id"), F.lit("")).alias("customer_key"),
-        bin_prefix(card).alias("bin"),
+        "unix_timestamp(timestamp) AS ts_epoch",
+        "coalesce(card_id, '') AS card_key",
+        "coalesce(customer_id, '') AS customer_key",
+        f"substring(coalesce(card_id, ''), 1, {BIN_LENGTH}) AS bin",
     )
 
 

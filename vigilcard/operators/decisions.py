@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig, Thresholds
 from vigilcard.functions.cards import bin_prefix, time_text
-from vigilcard.operators.rules import fired_rules
+from vigilcard.operators import rules
 from vigilcard.schemas import ALERT, AUDIT, ENRICHED, SNAPSHOT_FEATURES
 
 ALERT_LEVELS = ("review", "block")
@@ -50,39 +50,36 @@ def risk_level(score: Column, thresholds: Thresholds) -> Column:
 
 def with_decision(features: DataFrame, config: EngineConfig, decision_ts: Column) -> DataFrame:
     """Adds fired rules, reasons, capped score and decision to unrounded features."""
-    total = F.aggregate("_fired", F.lit(0.0), lambda acc, hit: acc + hit["weight"])
-    capped = F.greatest(F.lit(0.0), F.least(F.lit(config.max_score), total))
-    return (
-        features.withColumn("_fired", fired_rules(config))
-        .withColumn("risk_score", capped)
-        .withColumns(
-            {
-                "risk_level": risk_level(F.col("risk_score"), config.thresholds),
-                "triggered_rules": F.col("_fired.name"),
-                "rule_reasons": F.col("_fired.reason"),
-                "decision_timestamp": decision_ts,
-                "model_version": F.lit(config.model_version),
-            }
-        )
-        .drop("_fired")
+    judged, flags = rules.with_conditions(features, config)
+    capped = F.greatest(F.lit(0.0), F.least(F.lit(config.max_score), rules.total_weight(flags)))
+    scored = judged.withColumns(
+        {
+            "risk_score": capped,
+            "triggered_rules": rules.fired_names(flags),
+            "rule_reasons": rules.fired_reasons(flags),
+            "decision_timestamp": decision_ts,
+            "model_version": F.lit(config.model_version),
+        }
     )
+    columns = [f"`{name}`" for name in features.columns]
+    decided = ("triggered_rules", "rule_reasons", "decision_timestamp", "model_version")
+    return scored.select(*columns, "risk_score", risk_level(F.col("risk_score"), config.thresholds).alias("risk_level"), *decided)
 
 
 def enriched_transactions(scored: DataFrame) -> DataFrame:
     """The persisted 42-column table: rounded features and decisions, without internals."""
+    derived = {
+        "amount": "coalesce(amount, 0D)",
+        "minutes_since_last": "coalesce(minutes_since_last, 0D)",
+        "amount_vs_avg_ratio": "CASE WHEN amount_vs_avg_ratio = 0 THEN 1D ELSE amount_vs_avg_ratio END",
+    }
     columns = []
-    for field in ENRICHED.fields:
-        value = F.col(field.name)
-        if field.name == "amount":
-            value = F.coalesce(value, F.lit(0.0))
-        elif field.name == "minutes_since_last":
-            value = F.coalesce(value, F.lit(0.0))
-        elif field.name == "amount_vs_avg_ratio":
-            value = F.when(value == 0, F.lit(1.0)).otherwise(value)
-        if field.name in DECIMALS:
-            value = F.round(value, DECIMALS[field.name])
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return scored.select(*columns)
+    for name in ENRICHED.names:
+        value = derived.get(name, name)
+        if name in DECIMALS:
+            value = f"round({value}, {DECIMALS[name]})"
+        columns.append(f"{value} AS {name}")
+    return scored.selectExpr(*columns)
 
 
 def feature_snapshot() -> Column:

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from typing import Any, Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig, RuleSettings
-from vigilcard.functions.cards import bin_prefix, is_blank
-from vigilcard.functions.geo import impossible_travel
+from vigilcard.functions.cards import BIN_LENGTH
 
 Rule = Callable[[RuleSettings], tuple[Column, Column]]
 RULES: dict[str, Rule] = {}
@@ -50,119 +49,96 @@ def _param(settings: RuleSettings, key: str, default: Any) -> float:
     return float(settings.params.get(key, default))
 
 
-def _amount() -> Column:
-    return F.coalesce(F.col("amount"), F.lit(0.0))
+def _says(text: str, *arguments: str) -> Column:
+    return F.expr(f"format_string('{text}', {', '.join(arguments)})")
 
 
-def _times_mean() -> Column:
-    return F.when(F.col("amount_mean_90d") > 0, _amount() / F.col("amount_mean_90d"))
+# Names used in the conditions below.
+AMOUNT = "coalesce(amount, 0D)"
+HAS_DEVICE = "coalesce(device_id, '') <> ''"
+HAS_PREVIOUS_CITY = "coalesce(prev_merchant_city, '') <> ''"
 
 
 @register_rule("card_cloning", needs=("card", "novelty"))
 def card_cloning(settings: RuleSettings) -> tuple[Column, Column]:
     """A small probe followed by a large purchase, or a stripe on a chip-only card."""
     small = _param(settings, "test_amount_max", 10.0)
-    amount, low, minutes = _amount(), F.col("min_10min"), F.col("minutes_since_last")
-    probe = (
-        (F.col("count_10min") >= 1)
-        & (low > 0)
-        & (low < small)
-        & (amount >= low * F.lit(_param(settings, "follow_ratio", 5.0)))
-        & (minutes > 0)
-        & (minutes <= _param(settings, "follow_window_min", 10))
-    )
-    stripe = (F.col("entry_mode") == "magnetic") & F.col("entry_mode_chip_only_history") & (amount > 0)
-    in_place = F.col("prev_merchant_city").eqNullSafe(F.col("merchant_city")) & (amount > 0)
-    in_place = in_place & (F.col("new_terminal") | ~is_blank(F.col("prev_merchant_city")))
-    after_probe = probe & (in_place | stripe)
+    probe = f"""
+        count_10min >= 1 AND min_10min > 0 AND min_10min < {small}D
+        AND {AMOUNT} >= min_10min * {_param(settings, "follow_ratio", 5.0)}D
+        AND minutes_since_last > 0 AND minutes_since_last <= {_param(settings, "follow_window_min", 10)}D"""
+    stripe = f"entry_mode = 'magnetic' AND entry_mode_chip_only_history AND {AMOUNT} > 0"
+    in_place = f"prev_merchant_city <=> merchant_city AND (new_terminal OR {HAS_PREVIOUS_CITY}) AND {AMOUNT} > 0"
+    after_probe = f"({probe}) AND (({in_place}) OR ({stripe}))"
     reason = F.when(
-        after_probe, F.format_string(REASON_PROBE, low, amount, minutes, F.col("count_10min"))
-    ).otherwise(F.format_string(REASON_STRIPE, amount))
-    return after_probe | (stripe & (amount >= 3 * small)), reason
+        F.expr(after_probe), _says(REASON_PROBE, "min_10min", AMOUNT, "minutes_since_last", "count_10min")
+    ).otherwise(_says(REASON_STRIPE, AMOUNT))
+    return F.expr(f"({after_probe}) OR ({stripe} AND {AMOUNT} >= {3 * small}D)"), reason
 
 
 @register_rule("unusual_amount", needs=("customer",))
 def unusual_amount(settings: RuleSettings) -> tuple[Column, Column]:
     """An amount far above the customer's 90-day profile."""
-    condition = (
-        (F.col("amount_count_90d") >= int(_param(settings, "min_history_txs", 5)))
-        & (_amount() >= _param(settings, "min_amount", 800.0))
-        & (F.col("amount_zscore") >= _param(settings, "zscore_min", 5.5))
-        & (F.col("amount_vs_avg_ratio") >= _param(settings, "ratio_min", 4.0))
-    )
-    return condition, F.format_string(REASON_AMOUNT, _amount(), F.col("amount_zscore"), F.col("amount_mean_90d"))
+    condition = f"""
+        amount_count_90d >= {int(_param(settings, "min_history_txs", 5))}
+        AND {AMOUNT} >= {_param(settings, "min_amount", 800.0)}D
+        AND amount_zscore >= {_param(settings, "zscore_min", 5.5)}D
+        AND amount_vs_avg_ratio >= {_param(settings, "ratio_min", 4.0)}D"""
+    return F.expr(condition), _says(REASON_AMOUNT, AMOUNT, "amount_zscore", "amount_mean_90d")
 
 
 @register_rule("impossible_travel", needs=("card",))
-def travel(settings: RuleSettings) -> tuple[Column, Column]:
+def impossible_travel(settings: RuleSettings) -> tuple[Column, Column]:
     """Two cities too far apart for the time between two transactions."""
-    distance, speed = F.col("distance_from_last_km"), F.col("travel_speed_kmh")
-    condition = (speed > 0) & impossible_travel(
-        distance, speed, _param(settings, "speed_limit_kmh", 900.0), _param(settings, "min_distance_km", 50.0)
-    )
-    reason = F.format_string(
-        REASON_TRAVEL,
-        F.col("prev_merchant_city"),
-        F.col("merchant_city"),
-        distance,
-        F.col("minutes_since_last"),
-        speed,
+    condition = f"""
+        distance_from_last_km >= {_param(settings, "min_distance_km", 50.0)}D
+        AND travel_speed_kmh > 0 AND travel_speed_kmh > {_param(settings, "speed_limit_kmh", 900.0)}D"""
+    cities = ("prev_merchant_city", "merchant_city")
+    return F.expr(condition), _says(
+        REASON_TRAVEL, *cities, "distance_from_last_km", "minutes_since_last", "travel_speed_kmh"
     )
-    return condition, reason
 
 
 @register_rule("new_device_high_amount", needs=("customer", "novelty"))
 def new_device(settings: RuleSettings) -> tuple[Column, Column]:
     """A device nobody saw on this card before, with an amount far above the mean."""
-    condition = (
-        F.col("new_device")
-        & ~is_blank(F.col("device_id"))
-        & (_amount() > _param(settings, "min_amount", 800.0))
-        & (F.col("amount_mean_90d") > 0)
-        & (_amount() > F.col("amount_mean_90d") * F.lit(_param(settings, "amount_ratio", 4.0)))
-    )
-    reason = F.format_string(
-        REASON_DEVICE, F.col("device_id"), _amount(), _times_mean(), F.col("amount_mean_90d")
-    )
-    return condition, reason
+    condition = f"""
+        new_device AND {HAS_DEVICE} AND {AMOUNT} > {_param(settings, "min_amount", 800.0)}D
+        AND amount_mean_90d > 0 AND {AMOUNT} > amount_mean_90d * {_param(settings, "amount_ratio", 4.0)}D"""
+    times = f"{AMOUNT} / nullif(amount_mean_90d, 0D)"
+    return F.expr(condition), _says(REASON_DEVICE, "device_id", AMOUNT, times, "amount_mean_90d")
 
 
 @register_rule("dormant_card_wake", needs=("card", "customer"))
 def dormant_wake(settings: RuleSettings) -> tuple[Column, Column]:
     """A long idle card with sudden spending."""
     floor = _param(settings, "min_amount", 500.0)
-    mean, days = F.col("amount_mean_90d"), F.col("dormant_days").cast("long")
-    asleep = (F.col("dormant_days") > _param(settings, "dormant_days", 180)) & (_amount() > floor)
-    above_mean = (mean > 0) & (_amount() > mean * F.lit(_param(settings, "amount_ratio", 2.0)))
-    no_profile = (mean <= 0) & (_amount() >= 2 * floor)
-    reason = F.when(above_mean, F.format_string(REASON_DORMANT, days, _amount(), _times_mean(), mean)).otherwise(
-        F.format_string(REASON_REACTIVATED, days, _amount())
+    asleep = f"dormant_days > {_param(settings, 'dormant_days', 180)}D AND {AMOUNT} > {floor}D"
+    above_mean = f"amount_mean_90d > 0 AND {AMOUNT} > amount_mean_90d * {_param(settings, 'amount_ratio', 2.0)}D"
+    no_profile = f"amount_mean_90d <= 0 AND {AMOUNT} >= {2 * floor}D"
+    days, times = "bigint(dormant_days)", f"{AMOUNT} / nullif(amount_mean_90d, 0D)"
+    reason = F.when(F.expr(above_mean), _says(REASON_DORMANT, days, AMOUNT, times, "amount_mean_90d")).otherwise(
+        _says(REASON_REACTIVATED, days, AMOUNT)
     )
-    return asleep & (above_mean | no_profile), reason
+    return F.expr(f"{asleep} AND (({above_mean}) OR ({no_profile}))"), reason
 
 
 @register_rule("bin_attack", needs=("bin",))
 def bin_attack(settings: RuleSettings) -> tuple[Column, Column]:
     """Several recent denials on one BIN without an approval just before."""
-    denials = F.col("bin_denials_15min")
-    condition = (denials >= int(_param(settings, "min_denials", 3))) & ~F.col("prev_bin_approved")
-    return condition, F.format_string(REASON_BIN, denials, F.coalesce(bin_prefix(F.col("card_id")), F.lit("")))
+    condition = f"bin_denials_15min >= {int(_param(settings, 'min_denials', 3))} AND NOT prev_bin_approved"
+    prefix = f"coalesce(substring(card_id, 1, {BIN_LENGTH}), '')"
+    return F.expr(condition), _says(REASON_BIN, "bin_denials_15min", prefix)
 
 
 @register_rule("unusual_hour_and_place", needs=("card", "novelty"))
 def night_place(settings: RuleSettings) -> tuple[Column, Column]:
     """A night purchase in a city the card was never used in."""
-    start = int(_param(settings, "untrusted_hour_start", 2))
-    end = int(_param(settings, "untrusted_hour_end", 4))
-    previous, city = F.col("prev_merchant_city"), F.col("merchant_city")
-    condition = (
-        (_amount() >= _param(settings, "min_amount", 150.0))
-        & F.col("hour_of_day").between(start, end)
-        & F.col("new_city")
-        & ~is_blank(previous)
-        & ~previous.eqNullSafe(city)
-    )
-    return condition, F.format_string(REASON_NIGHT, F.col("hour_of_day"), F.coalesce(city, F.lit("None")))
+    start, end = (int(_param(settings, f"untrusted_hour_{side}", hour)) for side, hour in (("start", 2), ("end", 4)))
+    condition = f"""
+        {AMOUNT} >= {_param(settings, "min_amount", 150.0)}D AND hour_of_day BETWEEN {start} AND {end}
+        AND new_city AND {HAS_PREVIOUS_CITY} AND NOT (prev_merchant_city <=> merchant_city)"""
+    return F.expr(condition), _says(REASON_NIGHT, "hour_of_day", "coalesce(merchant_city, 'None')")
 
 
 def active_rules(config: EngineConfig) -> list[RuleSettings]:
@@ -176,16 +152,50 @@ def needed_families(config: EngineConfig) -> tuple[str, ...]:
     return tuple(family for family in FAMILIES if family in read)
 
 
-def fired_rules(config: EngineConfig) -> Column:
-    """Array of ``(name, weight, reason)`` of the rules that fire on a row, in order."""
-    entry = "array<struct<name:string,weight:double,reason:string>>"
-    candidates = []
-    for settings in active_rules(config):
-        condition, reason = RULES[settings.name](settings)
-        hit = F.struct(
-            F.lit(settings.name).alias("name"), F.lit(float(settings.weight)).alias("weight"), reason.alias("reason")
+def with_conditions(features: DataFrame, config: EngineConfig) -> tuple[DataFrame, list[tuple[str, RuleSettings]]]:
+    """Adds one boolean per active rule; returns their names with the rules' settings.
+
+    Conditions are evaluated once here; score, names and reasons then read the booleans.
+    """
+    flags = [(f"_fires_{n}", settings) for n, settings in enumerate(active_rules(config))]
+    conditions = {flag: F.coalesce(RULES[s.name](s)[0], F.lit(False)) for flag, s in flags}
+    return (features.withColumns(conditions) if conditions else features), flags
+
+
+def total_weight(flags: list[tuple[str, RuleSettings]]) -> Column:
+    """Sum of the weights of the rules that fire."""
+    terms = [f"CASE WHEN {flag} THEN {float(settings.weight)}D ELSE 0D END" for flag, settings in flags]
+    return F.expr(" + ".join(terms) or "0D")
+
+
+def _of_fired(flags: list[tuple[str, RuleSettings]], value) -> Column:
+    """Array of one value per rule that fires, in configuration order."""
+    none = F.expr("CAST(array() AS array<string>)")
+    parts = [F.when(F.col(flag), F.array(value(settings))).otherwise(none) for flag, settings in flags]
+    return F.concat(none, *parts) if parts else none
+
+
+def fired_names(flags: list[tuple[str, RuleSettings]]) -> Column:
+    """Names of the rules that fire."""
+    return _of_fired(flags, lambda settings: F.lit(settings.name))
+
+
+def fired_reasons(flags: list[tuple[str, RuleSettings]]) -> Column:
+    """Reasons of the rules that fire."""
+    return _of_fired(flags, lambda settings: RULES[settings.name](settings)[1])
+
+
+def fired_entries(flags: list[tuple[str, RuleSettings]]) -> Column:
+    """Array with (rule_name, weight, reason) for each active rule, null where it does not fire."""
+    entries = [
+        F.when(
+            F.col(flag),
+            F.struct(
+                F.lit(settings.name).alias("rule_name"),
+                F.lit(float(settings.weight)).alias("weight"),
+                RULES[settings.name](settings)[1].alias("reason"),
+            ),
         )
-        candidates.append(F.when(condition, hit))
-    if not candidates:
-        return F.array().cast(entry)
-    return F.array_compact(F.array(*candidates))
+        for flag, settings in flags
+    ]
+    return F.array(*entries).cast("array<struct<rule_name:string,weight:double,reason:string>>")

@@ -12,7 +12,7 @@ from vigilcard.functions import amounts, cards, geo
 from vigilcard.operators.align import align
 from vigilcard.operators.decisions import timestamp_literal, with_decision
 from vigilcard.operators.novelty import seen_values, with_novelty
-from vigilcard.operators.rules import FAMILIES, fired_rules, needed_families
+from vigilcard.operators.rules import FAMILIES, fired_entries, needed_families, with_conditions
 from vigilcard.operators.seconds import with_windows
 
 
@@ -96,6 +96,5 @@ def rule_hits(
     """
     families = needed_families(config)
     features = transaction_features(batch, history, config, since, history_ended, families)
-    return features.select("transaction_id", F.inline(fired_rules(config))).select(
-        "transaction_id", F.col("name").alias("rule_name"), "weight", "reason"
-    )
+    judged, flags = with_conditions(features, config)
+    return judged.select("transaction_id", F.inline(fired_entries(flags))).filter("rule_name IS NOT NULL")
