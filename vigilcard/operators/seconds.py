@@ -54,17 +54,30 @@ def _second_rows(
     since: int | None,
     reach: int,
     keep_older: bool,
+    older: DataFrame | None = None,
+    from_second: int | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """One row per (key, second) with the given aggregates; ``wanted`` marks batch seconds.
 
     With a known ``since``, history older than ``reach`` seconds before it is dropped, or,
     when the row before may lie there, collapsed to one row per key outside every frame.
+    ``older`` stands for all history before ``from_second``. With ``few_keys`` the keys of
+    the batch are known to be few, and history of other keys is dropped while it is scanned.
     """
     taken = [key, *columns, "ts_epoch", "is_batch"]
     rows = batch.select(*taken)
     if history is not None:
-        bound = None if keep_older else since
-        rows = since_seconds(history, bound, reach).select(*taken).unionByName(rows)
+        if not keep_older:
+            past = since_seconds(history, since, reach)
+        else:
+            past = since_seconds(history, from_second)
+        past = past.select(*taken)
+        if older is not None:
+            past = past.unionByName(older.withColumn("is_batch", F.lit(False)).select(*taken))
+        if few_keys:
+            past = past.join(F.broadcast(batch.select(key).distinct()), key, "left_semi")
+        rows = past.unionByName(rows)
     second = "ts_epoch"
     if keep_older and since is not None:
         second = f"greatest(ts_epoch, {since - reach - 1}L)"
@@ -149,11 +162,14 @@ def _last_row(payload: tuple[str, ...]) -> str:
     return f"max(struct(ts_epoch, {', '.join(payload)}))"
 
 
-def card_seconds(batch: DataFrame, history: DataFrame | None, since: int | None = None) -> DataFrame:
+def card_seconds(
+    batch: DataFrame, history: DataFrame | None, since: int | None = None, snapshot=None, few_keys: bool = False
+) -> DataFrame:
     """Card windows and the row before for each (card_key, ts_epoch) with batch rows."""
     key = "card_key"
     measures = {"n": "count(1)", "total": "sum(amount)", "low": "min(amount)", "last_row": _last_row(CARD_PAYLOAD)}
-    seconds = _second_rows(batch, history, key, CARD_PAYLOAD, measures, since, ONE_DAY, keep_older=True)
+    older = (None, None) if snapshot is None else (snapshot.last_card, snapshot.as_of)
+    seconds = _second_rows(batch, history, key, CARD_PAYLOAD, measures, since, ONE_DAY, True, *older, few_keys)
     counts = {
         "velocity_1min": ONE_MINUTE,
         "velocity_5min": FIVE_MINUTES,
@@ -178,7 +194,9 @@ def card_seconds(batch: DataFrame, history: DataFrame | None, since: int | None
     )
 
 
-def customer_seconds(batch: DataFrame, history: DataFrame | None, since: int | None = None) -> DataFrame:
+def customer_seconds(
+    batch: DataFrame, history: DataFrame | None, since: int | None = None, few_keys: bool = False
+) -> DataFrame:
     """90-day spending profile for each (customer_key, ts_epoch) with batch rows.
 
     The deviation comes from mergeable moments. Equal lowest and highest amounts mean no
@@ -192,7 +210,9 @@ def customer_seconds(batch: DataFrame, history: DataFrame | None, since: int | N
         "low": "min(amount)",
         "high": "max(amount)",
     }
-    seconds = _second_rows(batch, history, key, ("amount",), measures, since, NINETY_DAYS, keep_older=False)
+    seconds = _second_rows(
+        batch, history, key, ("amount",), measures, since, NINETY_DAYS, keep_older=False, few_keys=few_keys
+    )
     lowest = ", ".join(_over_one_slot(key, "min", "low"))
     highest = ", ".join(_over_one_slot(key, "max", "high"))
     variance = "greatest((squares - total * total / n) / (n - 1), 0D)"
@@ -218,14 +238,20 @@ def customer_seconds(batch: DataFrame, history: DataFrame | None, since: int | N
 
 
 def bin_seconds(
-    batch: DataFrame, history: DataFrame | None, since: int | None = None, window_seconds: int = 900
+    batch: DataFrame,
+    history: DataFrame | None,
+    since: int | None = None,
+    window_seconds: int = 900,
+    snapshot=None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Recent denials and the row before for each (bin, ts_epoch) with batch rows."""
     if not 0 < window_seconds <= ONE_DAY:
         raise ValueError("the BIN window must be between one second and one day")
     key = "bin"
     measures = {"denials": "count_if(auth_result = 'declined')", "last_row": _last_row(BIN_PAYLOAD)}
-    seconds = _second_rows(batch, history, key, BIN_PAYLOAD, measures, since, window_seconds, keep_older=True)
+    older = (None, None) if snapshot is None else (snapshot.last_bin, snapshot.as_of)
+    seconds = _second_rows(batch, history, key, BIN_PAYLOAD, measures, since, window_seconds, True, *older, few_keys)
     return (
         _in_slots(seconds, key, ONE_DAY, window_seconds, since, carry=True)
         .selectExpr(
@@ -282,17 +308,24 @@ def with_windows(
     history_ended: bool = False,
     families: tuple[str, ...] = ("card", "customer", "bin"),
     as_of: DataFrame | None = None,
+    snapshot=None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Adds the window features and predecessors of aligned batch rows.
 
     ``since`` is a lower bound, in epoch seconds, of the batch time and limits how much
     history is read. ``history_ended`` promises that history ends before the first second
     of the batch. ``as_of`` asks for the predecessors of a replay, see ``_with_row_before``.
+    ``snapshot`` stands for history before its day, which must end a day or more before
+    ``since``; ``few_keys`` says that the keys of the batch are few enough to broadcast.
     """
+    if snapshot is not None and (since is None or snapshot.as_of > since - ONE_DAY):
+        raise ValueError("a snapshot must end at least a day before the batch begins")
     beside = None if history is None or history_ended else since_seconds(history, since)
     out = batch
     if "card" in families:
-        out = _with_row_before(out, beside, card_seconds(batch, history, since), "card_key", CARD_PAYLOAD, as_of)
+        seconds = card_seconds(batch, history, since, snapshot, few_keys)
+        out = _with_row_before(out, beside, seconds, "card_key", CARD_PAYLOAD, as_of)
         kept = [f"`{c}`" for c in batch.columns]
         out = out.selectExpr(
             *kept,
@@ -305,7 +338,8 @@ def with_windows(
         )
     if "customer" in families:
         before = [f"`{c}`" for c in out.columns]
-        out = out.join(customer_seconds(batch, history, since), ["customer_key", "ts_epoch"], "left").selectExpr(
+        seconds = customer_seconds(batch, history, since, few_keys)
+        out = out.join(seconds, ["customer_key", "ts_epoch"], "left").selectExpr(
             *before,
             "coalesce(amount_mean_90d, 0D) AS amount_mean_90d",
             "coalesce(amount_std_90d, 0D) AS amount_std_90d",
@@ -313,7 +347,7 @@ def with_windows(
         )
     if "bin" in families:
         before = [f"`{c}`" for c in out.columns]
-        seconds = bin_seconds(batch, history, since, bin_window_seconds)
+        seconds = bin_seconds(batch, history, since, bin_window_seconds, snapshot, few_keys)
         out = _with_row_before(out, beside, seconds, "bin", BIN_PAYLOAD, as_of).selectExpr(
             *before,
             "coalesce(bin_denials_15min, 0L) AS bin_denials_15min",

@@ -12,11 +12,15 @@ from vigilcard.config import EngineConfig
 from vigilcard.operators import decisions
 from vigilcard.operators.align import since_seconds
 from vigilcard.operators.profiles import card_profiles
+from vigilcard.operators.seconds import ONE_DAY
 from vigilcard.plans.scoring import score_transactions
 from vigilcard.schemas import RAW
 from vigilcard.sources.layers import LayerStore
 from vigilcard.sources.scratch import Scratch
 
+# A batch of at most this many rows has few enough keys to broadcast them.
+BROADCAST_KEYS = 200_000
+
 
 @dataclass
 class BatchResult:
@@ -56,21 +60,28 @@ def process_batch(
     moment = decision_ts or datetime.now(timezone.utc)
     now = decisions.timestamp_literal(moment)
     rows = scratch.stage(batch.select(*RAW.names).dropDuplicates(["transaction_id"]), "batch")
-    since = rows.agg(F.min(F.unix_timestamp("timestamp"))).first()[0]
+    since, count, untimed = rows.agg(
+        F.min(F.unix_timestamp("timestamp")), F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())
+    ).first()
 
     history = store.read("raw")
     stored_ids = None
     ended = False
+    snapshot = None
     if history is not None:
+        snapshot = None if since is None else store.snapshot_before(since - ONE_DAY)
         stored_ids = scratch.stage(store.ids_already_in("raw", rows), "stored-ids")
         if not stored_ids.isEmpty():
             history = history.join(stored_ids, "transaction_id", "left_anti")
         ended = since is not None and since_seconds(history, since).isEmpty()
-    scored = scratch.stage(score_transactions(rows, history, config, moment, since, ended), "scored")
+    few_keys = count <= BROADCAST_KEYS
+    scored = score_transactions(rows, history, config, moment, since, ended, snapshot, few_keys)
+    scored = scratch.stage(scored, "scored")
     enriched = decisions.enriched_transactions(scored)
     alerts = decisions.alerts(scored)
     if write:
         store.append_new("raw", rows, stored_ids)
+        store.add_late_rows(rows, None if untimed else since)
         store.append_new("enriched", enriched)
         store.append_new("alerts", alerts)
         store.append_audit(decisions.audit_events(enriched, now))

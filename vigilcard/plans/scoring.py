@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig
 from vigilcard.functions import amounts, cards, geo
-from vigilcard.operators.align import align
+from vigilcard.operators.align import align, since_seconds
 from vigilcard.operators.decisions import timestamp_literal, with_decision
 from vigilcard.operators.novelty import seen_values, with_novelty
 from vigilcard.operators.rules import FAMILIES, fired_entries, needed_families, with_conditions
 from vigilcard.operators.seconds import with_windows
+from vigilcard.operators.snapshots import Snapshot
 
 
 def with_row_features(
@@ -48,6 +49,8 @@ def transaction_features(
     since: int | None = None,
     history_ended: bool = False,
     families: tuple[str, ...] = FAMILIES,
+    snapshot: Snapshot | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Batch rows with every unrounded feature of the chosen families.
 
@@ -55,17 +58,37 @@ def transaction_features(
     exists and holds nothing, which the novelty flags tell apart. History must not hold ids
     of the batch (``without_ids_of`` removes them): it is read by every window family, so
     that step belongs before this one. ``since`` is a lower bound, in epoch seconds, of the
-    batch time; ``history_ended`` promises that history ends before the batch begins.
+    batch time; ``history_ended`` promises that history ends before the batch begins. A
+    ``snapshot`` replaces history before its day where only its last or distinct values
+    matter. ``few_keys`` allows to broadcast the keys of the batch.
     """
     rows = align(batch).withColumn("is_batch", F.lit(True))
     past = None if history is None else align(history).withColumn("is_batch", F.lit(False))
-    featured = with_windows(rows, past, since, config.bin_window_seconds, history_ended, families)
+    featured = with_windows(
+        rows, past, since, config.bin_window_seconds, history_ended, families, snapshot=snapshot, few_keys=few_keys
+    )
     if "novelty" in families:
-        featured = with_novelty(featured, rows, None if past is None else seen_values(past))
+        featured = with_novelty(featured, rows, _seen(past, rows, snapshot, few_keys))
     featured = with_row_features(featured, config, families)
     return featured.drop("ts_epoch", "card_key", "customer_key", "bin", "is_batch")
 
 
+def _seen(
+    past: DataFrame | None, rows: DataFrame, snapshot: Snapshot | None, few_keys: bool
+) -> DataFrame | None:
+    if past is None:
+        return None
+    cards = F.broadcast(rows.select("card_id").distinct())
+    recent = past if snapshot is None else since_seconds(past, snapshot.as_of)
+    if few_keys:
+        recent = recent.join(cards, "card_id", "left_semi")
+    seen = seen_values(recent)
+    if snapshot is None:
+        return seen
+    older = snapshot.seen.join(cards, "card_id", "left_semi") if few_keys else snapshot.seen
+    return seen.unionByName(older)
+
+
 def score_transactions(
     batch: DataFrame,
     history: DataFrame | None,
@@ -73,13 +96,17 @@ def score_transactions(
     decision_ts: datetime | None = None,
     since: int | None = None,
     history_ended: bool = False,
+    snapshot: Snapshot | None = None,
+    few_keys: bool = False,
 ) -> DataFrame:
     """Features and decisions of a batch, unrounded and lazy.
 
     Transaction ids must be unique within the batch; ``process_batch`` takes care of that.
     """
     moment = decision_ts or datetime.now(timezone.utc)
-    features = transaction_features(batch, history, config, since, history_ended)
+    features = transaction_features(
+        batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys
+    )
     return with_decision(features, config, timestamp_literal(moment))
 
 
