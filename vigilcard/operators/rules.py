@@ -169,10 +169,18 @@ def total_weight(flags: list[tuple[str, RuleSettings]]) -> Column:
 
 
 def _of_fired(flags: list[tuple[str, RuleSettings]], value) -> Column:
-    """Array of one value per rule that fires, in configuration order."""
+    """Array of one value per rule that fires, in configuration order.
+
+    Most rows fire nothing, so they take the empty array. Dropping the nulls is a
+    higher-order function, which also keeps the reason texts out of the generated method:
+    with them it would grow beyond what the JVM compiles.
+    """
     none = F.expr("CAST(array() AS array<string>)")
-    parts = [F.when(F.col(flag), F.array(value(settings))).otherwise(none) for flag, settings in flags]
-    return F.concat(none, *parts) if parts else none
+    if not flags:
+        return none
+    any_fires = F.expr(" OR ".join(flag for flag, _ in flags))
+    values = F.array(*[F.when(F.col(flag), value(settings)) for flag, settings in flags])
+    return F.when(any_fires, F.array_compact(values)).otherwise(none)
 
 
 def fired_names(flags: list[tuple[str, RuleSettings]]) -> Column:
