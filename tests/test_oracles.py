@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
+from vigilcard import catalog, oracles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TYPES = {
@@ -14,7 +14,7 @@ TYPES = {
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
 }
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, oracles.statements()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data is not here")
 
