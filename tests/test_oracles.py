@@ -46,4 +46,8 @@ def test_query(spark, duck, name):
 
 
 def test_entry_gives_alerts(spark):
+    import __spark_entry__ as contract
+
     assert contract.entry(spark).count() > 0
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
