@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
-from vigilcard.llm import quality, toxicity
+from vigilcard.llm import (
+    chat_format, embedding_dedup, ngram_join, quality, quality_rules, source_mix, token_store, toxicity,
+)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_token_store": token_store.query,
+    "op3_source_mix": source_mix.query,
+    "op4_quality_rules": quality_rules.query,
+    "op5_chat_format": chat_format.query,
     "op6_quality_classifier": quality.query,
+    "op9_embedding_dedup": embedding_dedup.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mix": source_mix.ORACLE,
+    "op5_chat_format": chat_format.ORACLE,
+}
