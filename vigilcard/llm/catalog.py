@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from vigilcard.llm import (
-    chat_format, embedding_dedup, ngram_join, quality, quality_rules, source_mix, token_store, toxicity,
+    chat_format, embedding_dedup, license_scan, ngram_join, packing, quality, quality_rules, source_mix, token_store,
+    toxicity,
 )
 
 QUERIES = {
@@ -13,6 +14,8 @@ QUERIES = {
     "op4_quality_rules": quality_rules.query,
     "op5_chat_format": chat_format.query,
     "op6_quality_classifier": quality.query,
+    "op7_packing": packing.query,
+    "op8_license_scan": license_scan.query,
     "op9_embedding_dedup": embedding_dedup.query,
     "op10_ngram_join": ngram_join.query,
 }
