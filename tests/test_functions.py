@@ -127,8 +127,8 @@ def test_merchant_label(spark):
     df = spark.createDataFrame(rows, "merchant_id string, merchant_category string")
     names = spark.createDataFrame([("M1", "Mercado")], "merchant_id string, merchant_name string")
     expected = {"M1": "Mercado", "M2": "Supermarket", "M3": "M3", "M4": "M4"}
-    for size in (None, 1):
-        labels = with_merchant_label(df, names, size)
+    for dimension in (names, names.limit(1)):
+        labels = with_merchant_label(df, dimension)
         assert {r["merchant_id"]: r["merchant_label"] for r in labels.collect()} == expected
 
 

@@ -1,5 +1,6 @@
 """Window features, predecessors and novelty against a row-by-row model."""
 
+import statistics
 from datetime import timedelta
 
 import pytest
@@ -90,3 +91,15 @@ def test_hot_card_plan_has_bounded_groups(spark):
     windows = [line for line in plan.splitlines() if "Window [" in line]
     whole_key = [line for line in windows if "lag(latest" not in line and "slot#" not in line and "ts_epoch#" not in line]
     assert windows and not whole_key
+
+
+@pytest.mark.parametrize("base", [1e4, 1e6, 1e7, 1e8])
+def test_deviation_of_large_amounts(spark, base):
+    """Amounts close together around a large one, after ninety days of small ones."""
+    old = [tx(transaction_id=f"o{n}", timestamp=START - timedelta(days=150 - n), amount=1.0 + n) for n in range(20)]
+    near = [base + 0.01 * (n % 3) for n in range(10)]
+    rows = [tx(transaction_id=f"t{n}", timestamp=START + timedelta(minutes=n // 2), amount=a) for n, a in enumerate(near)]
+    last = tx(transaction_id="last", timestamp=START + timedelta(hours=1), amount=base)
+    got = collect(transaction_features(frame(spark, [*old, *rows, last]), None, CONFIG), "amount_std_90d", "amount_mean_90d")
+    assert got["last"]["amount_std_90d"] == pytest.approx(statistics.stdev(near), rel=1e-6)
+    assert got["last"]["amount_mean_90d"] == pytest.approx(statistics.fmean(near), rel=1e-12)

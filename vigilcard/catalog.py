@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,14 @@ from vigilcard.functions.merchants import with_merchant_label
 from vigilcard.operators import decisions
 from vigilcard.operators.align import align, without_ids_of
 from vigilcard.operators.novelty import seen_values, with_novelty
-from vigilcard.operators.profiles import card_profiles, merge_profiles
+from vigilcard.operators.profiles import card_profiles
 from vigilcard.operators.seconds import with_windows
 from vigilcard.plans import fixtures, reports
 from vigilcard.plans.batch import backfill, process_batch
 from vigilcard.plans.replay import verify_replay
 from vigilcard.plans.scoring import rule_hits, score_transactions, transaction_features
-from vigilcard.schemas import ALERT, ENRICHED, RAW
-from vigilcard.sources.layers import LayerStore, csv_ready, csv_schema
+from vigilcard.schemas import ALERT, AUDIT, ENRICHED, RAW
+from vigilcard.sources.layers import LayerStore, csv_ready, csv_schema, distinct_events
 from vigilcard.sources.scratch import Scratch, scratch_path
 from vigilcard.streaming import jobs, sources
 
@@ -102,7 +103,7 @@ def comparable(df: DataFrame, *leave_out: str) -> DataFrame:
         if isinstance(f.dataType, ArrayType):
             value = f"concat_ws(',', {f.name})"
         elif isinstance(f.dataType, TimestampType):
-            value = f"CAST({f.name} AS timestamp_ntz)"
+            value = f"convert_timezone(current_timezone(), 'UTC', CAST({f.name} AS timestamp_ntz))"
         elif f.name == "dt":
             value = "CAST(dt AS string)"
         if f.name not in leave_out:
@@ -110,6 +111,35 @@ def comparable(df: DataFrame, *leave_out: str) -> DataFrame:
     return df.selectExpr(*columns)
 
 
+# Fields of the feature snapshot that are compared, by type; doubles with their decimals.
+SNAPSHOT_WHOLE = (
+    "velocity_1min", "velocity_5min", "velocity_1h", "velocity_24h", "count_10min", "amount_count_90d",
+    "bin_denials_15min", "hour_of_day",
+)
+SNAPSHOT_TEXT = (
+    "prev_ts", "prev_merchant_city", "prev_terminal_id", "prev_device_id", "prev_entry_mode",
+    "previous_transaction_id", "prev_bin_approved", "new_terminal", "new_device", "new_city",
+    "entry_mode_chip_only_history", "high_risk_merchant",
+)
+SNAPSHOT_DOUBLES = {
+    "sum_10min": 2, "min_10min": 2, "amount_mean_90d": 8, "prev_amount": 2, "distance_from_last_km": 4,
+    "travel_speed_kmh": 4, "minutes_since_last": 4, "dormant_days": 6, "amount_zscore": 4, "amount_vs_avg_ratio": 4,
+    "risk_score": 2,
+}
+
+
+def _snapshot_fields(alert_rows: DataFrame) -> DataFrame:
+    """Alerts with the fields of their snapshot as one text in place of its JSON form."""
+    text = F.col("feature_snapshot")
+    whole = [F.get_json_object(text, f"$.{n}") for n in (*SNAPSHOT_WHOLE, *SNAPSHOT_TEXT)]
+    doubles = [
+        F.round(F.get_json_object(text, f"$.{n}").cast("double"), d).cast(f"decimal(30,{d})").cast("string")
+        for n, d in SNAPSHOT_DOUBLES.items()
+    ]
+    parts = [F.coalesce(part, F.lit("-")) for part in [*whole, *doubles]]
+    return alert_rows.withColumn("feature_snapshot", F.concat_ws("|", *parts))
+
+
 # --- projections, keys and single features -------------------------------------------------
 
 
@@ -173,13 +203,21 @@ def amount_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, "customer").select(
         "transaction_id",
         _rounded("amount_mean_90d", 8),
-        _rounded("amount_std_90d", 4),
+        _rounded("amount_std_90d", 6),
         "amount_count_90d",
         _rounded("amount_zscore", 4),
         _rounded("amount_vs_avg_ratio", 4),
     )
 
 
+@query("amount_profile_large")
+def amount_profile_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deviation of amounts that are ten million larger."""
+    sides = [rows.withColumn("amount", F.col("amount") + 1e7) for rows in fixtures.history_and_batch(spark, sf_dir)]
+    rows = transaction_features(sides[1], sides[0], default_config(), fixtures.SPLIT_EPOCH, True, ("customer",))
+    return rows.select("transaction_id", _rounded("amount_std_90d", 5), "amount_count_90d")
+
+
 @query("amount_zscore_guarded")
 def amount_zscore_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     score = amounts.zscore_guarded(F.col("amount"), F.col("amount_mean_90d"), F.col("amount_std_90d"))
@@ -331,13 +369,13 @@ def risk_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("enriched_transactions")
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_enriched(spark, sf_dir), "decision_timestamp", "rule_reasons")
+    return comparable(_enriched(spark, sf_dir))
 
 
 @query("alerts")
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = decisions.alerts(_scored(spark, sf_dir))
-    return comparable(rows, "decision_timestamp", "feature_snapshot", "rule_reasons")
+    return comparable(_snapshot_fields(rows))
 
 
 @query("alert_feature_snapshot")
@@ -434,13 +472,12 @@ def _processed(spark: SparkSession, sf_dir: str) -> LayerStore:
 
 @query("layer_roundtrip_enriched")
 def layer_roundtrip_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(_processed(spark, sf_dir).read("enriched"), "decision_timestamp", "rule_reasons")
+    return comparable(_processed(spark, sf_dir).read("enriched"))
 
 
 @query("layer_roundtrip_alerts")
 def layer_roundtrip_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _processed(spark, sf_dir).read("alerts")
-    return comparable(rows, "decision_timestamp", "rule_reasons", "feature_snapshot")
+    return comparable(_snapshot_fields(_processed(spark, sf_dir).read("alerts")))
 
 
 @query("upsert_idempotent")
@@ -459,16 +496,16 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "layers")
     now = decisions.timestamp_literal(DECIDED_AT)
     store.append_audit(decisions.audit_events(_enriched(spark, sf_dir), now))
-    return comparable(store.read_audit(), "rule_reasons")
+    return comparable(store.read_audit().select(*AUDIT.names))
 
 
 @query("audit_alert_events")
 def audit_alert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "layers")
     now = decisions.timestamp_literal(DECIDED_AT)
-    details = decisions.alerts(_scored(spark, sf_dir)).select("transaction_id", "card_id", "risk_score", "risk_level")
-    store.append_audit(decisions.alert_audit_events(details, now))
-    return store.read_audit().select("event", "transaction_id", "card_id", "risk_score", "risk_level", "audit_ts")
+    store.append_audit(decisions.alert_audit_events(decisions.alerts(_scored(spark, sf_dir)), now))
+    events = store.read_audit().select("event", *ALERT.names, "audit_ts")
+    return comparable(_snapshot_fields(events))
 
 
 @query("export_alerts_csv")
@@ -477,10 +514,11 @@ def export_alerts_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append_new("alerts", decisions.alerts(_scored(spark, sf_dir)))
     store.export("alerts", target, "csv")
     written = csv_schema(csv_ready(store.read("alerts")).schema)
-    rows = spark.read.schema(written).option("header", True).option("escape", '"').csv(target)
+    rows = spark.read.schema(written).option("header", True).option("escape", '"').option("timeZone", "UTC").csv(target)
     rules = F.concat_ws(",", F.from_json("triggered_rules", ArrayType(ALERT["transaction_id"].dataType)))
-    chosen = rows.withColumn("triggered_rules", rules)
-    return comparable(chosen, "decision_timestamp", "rule_reasons", "feature_snapshot")
+    reasons = F.concat_ws(",", F.from_json("rule_reasons", ArrayType(ALERT["transaction_id"].dataType)))
+    chosen = rows.withColumn("triggered_rules", rules).withColumn("rule_reasons", reasons)
+    return comparable(_snapshot_fields(chosen))
 
 
 @query("export_enriched_json")
@@ -488,7 +526,7 @@ def export_enriched_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, target = _store(spark, "layers"), scratch_path(spark, "export")
     store.append_new("enriched", _enriched(spark, sf_dir))
     store.export("enriched", target, "json")
-    return comparable(spark.read.schema(ENRICHED).json(target), "decision_timestamp", "rule_reasons")
+    return comparable(spark.read.schema(ENRICHED).option("timeZone", "UTC").json(target))
 
 
 @query("export_raw_parquet")
@@ -506,7 +544,7 @@ def views_empty_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.register_views()
     counts = [spark.table(v).agg(F.lit(v).alias("view"), F.count(F.lit(1)).alias("n")) for v in
               ("raw", "enriched", "alerts", "fraud_labels")]
-    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    return reduce(DataFrame.union, counts)
 
 
 @query("adhoc_sql")
@@ -553,15 +591,18 @@ def _later(column: str = "timestamp") -> Column:
 @query("card_profiles")
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = decisions.timestamp_literal(DECIDED_AT)
-    return comparable(card_profiles(_enriched(spark, sf_dir), now), "updated_at")
+    return comparable(card_profiles(_enriched(spark, sf_dir), now))
 
 
 @query("card_profiles_merge")
 def profiles_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches through the store, the middle one without cards, then all deltas as one."""
     now = decisions.timestamp_literal(DECIDED_AT)
-    rows = Scratch(spark).stage(_enriched(spark, sf_dir), "enriched")
-    earlier, later = rows.filter(~_later()), rows.filter(_later())
-    return comparable(merge_profiles(card_profiles(earlier, now), card_profiles(later, now)), "updated_at")
+    rows, store = Scratch(spark).stage(_enriched(spark, sf_dir), "enriched"), _store(spark, "layers")
+    for part in (rows.filter(~_later()), rows.withColumn("card_id", F.lit(None).cast("string")), rows.filter(_later())):
+        store.write_profiles(card_profiles(part, now))
+    store.compact_profiles()
+    return comparable(store.read_profiles())
 
 
 def _verdicts(spark: SparkSession, sf_dir: str, raw: DataFrame, ids: DataFrame) -> DataFrame:
@@ -574,6 +615,16 @@ def replay_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(spark, sf_dir, fixtures.transactions(spark, sf_dir), batch.select("transaction_id"))
 
 
+@query("replay_one_id")
+def replay_one_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first transaction of the batch alone, over the stored raw layer."""
+    store = _store(spark, "layers")
+    store.append_new("raw", fixtures.transactions(spark, sf_dir))
+    _, batch = fixtures.history_and_batch(spark, sf_dir)
+    first = batch.agg(F.min("transaction_id").alias("transaction_id"))
+    return _verdicts(spark, sf_dir, store.read("raw"), first)
+
+
 @query("replay_missing")
 def replay_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of history were never scored, and declined rows are taken out of raw."""
@@ -631,12 +682,18 @@ def stream_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(rows.select("transaction_id", "timestamp"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str, batches: list[Column], runs: int = 1) -> LayerStore:
-    """Layers after streaming the batch rows, one micro-batch per condition, over stored history."""
+def _streamed(
+    spark: SparkSession, sf_dir: str, batches: list[Column], runs: int = 1, own_folders: bool = False
+) -> LayerStore:
+    """Layers after streaming the batch rows, one micro-batch per condition, over stored history.
+
+    With ``own_folders`` every condition has a folder and a checkpoint, so a query, of its own.
+    """
     history, batch = fixtures.history_and_batch(spark, sf_dir)
     store, lines = _store(spark, "layers"), scratch_path(spark, "lines")
     store.append_new("raw", history)
     for condition in batches:
+        lines = scratch_path(spark, "lines") if own_folders else lines
         _write_lines(batch.filter(condition), lines)
         for run in range(runs):
             stream = sources.read_json_lines(spark, default_config(), lines)
@@ -650,22 +707,61 @@ def _streamed(spark: SparkSession, sf_dir: str, batches: list[Column], runs: int
 @query("stream_decisions")
 def stream_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _streamed(spark, sf_dir, [F.lit(True)])
-    return comparable(store.read("enriched"), "decision_timestamp", "rule_reasons")
+    return comparable(store.read("enriched"))
+
+
+@query("stream_rejected_records")
+def stream_rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a stream is in raw or in the rejected layer; ATM rows are broken off and
+    contactless ones have no id."""
+    rows = fixtures.transactions(spark, sf_dir)
+    nameless = F.when(F.col("entry_mode") != "contactless", F.col("transaction_id"))
+    lines = _write_lines(rows.withColumn("transaction_id", nameless), scratch_path(spark, "lines"), F.col("channel") == "atm")
+    store = _store(spark, "layers")
+    jobs.start_scoring(
+        sources.read_json_lines(spark, default_config(), lines), store, default_config(),
+        scratch_path(spark, "checkpoint"), available_now=True, decision_ts=DECIDED_AT,
+    ).awaitTermination()
+    kept = store.read("raw").select(F.lit("raw").alias("layer"), F.col("transaction_id").alias("content"))
+    return kept.unionByName(store.read_rejected().select(F.lit("rejected").alias("layer"), F.col("line").alias("content")))
+
+
+@query("upsert_null_and_repeated_ids")
+def upsert_null_and_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written twice: rows without id are rejected both times, of repeated ids the latest stays."""
+    rows = fixtures.transactions(spark, sf_dir)
+    nameless = rows.withColumn("transaction_id", F.when(F.col("channel") != "atm", F.col("transaction_id")))
+    later = rows.filter("entry_mode = 'magnetic' AND channel <> 'atm'").withColumns(
+        {"amount": F.col("amount") + 1000, "timestamp": F.timestamp_micros(F.unix_micros("timestamp") + 1)})
+    store = _store(spark, "layers")
+    for _ in range(2):
+        store.append_new("raw", later.unionByName(nameless))
+    stored = store.read("raw").select(F.lit("raw").alias("layer"), "transaction_id", _rounded("amount", 2))
+    rejected = store.read_rejected().select(
+        F.lit("rejected").alias("layer"), F.lit(None).cast("string").alias("transaction_id"),
+        F.round(F.get_json_object("line", "$.amount").cast("double"), 2).alias("amount"))
+    return stored.unionByName(rejected)
 
 
 @query("stream_session_stats")
 def stream_session_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _streamed(spark, sf_dir, [~_later(), _later()])
+    """Two streams with a checkpoint of their own each, one micro-batch each."""
+    store = _streamed(spark, sf_dir, [~_later(), _later()], own_folders=True)
     rules = jobs.session_rule_counts(spark, store).agg(F.sum("times_triggered").alias("rules_fired"))
     return jobs.session_stats(spark, store).crossJoin(rules)
 
 
 @query("stream_reprocess_idempotent")
 def stream_reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same lines delivered twice: layers keep one copy, the audit log two."""
+    """The same lines delivered twice: layers keep one copy, the audit log two of different
+    queries; the first query's events written once more are one again when read as distinct."""
     store = _streamed(spark, sf_dir, [F.lit(True)], runs=2)
+    first = store.read_audit().agg(F.min("query_id")).first()[0]
+    again = Scratch(spark).stage(store.read_audit().filter(F.col("query_id") == first), "audit")
+    store.append_audit(again)
     layers = {name: store.read(name) for name in ("raw", "enriched", "alerts")}
     layers["audit"] = store.read_audit()
+    layers["audit_distinct"] = distinct_events(store.read_audit())
     counts = [
         table.agg(
             F.lit(name).alias("layer"),
@@ -674,4 +770,4 @@ def stream_reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for name, table in layers.items()
     ]
-    return counts[0].union(counts[1]).union(counts[2]).union(counts[3])
+    return reduce(DataFrame.union, counts)

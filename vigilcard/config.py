@@ -87,7 +87,15 @@ class EngineConfig:
     streaming: StreamingSettings = StreamingSettings()
     high_risk_categories: tuple[str, ...] = DEFAULT_HIGH_RISK_CATEGORIES
     rules: tuple[RuleSettings, ...] = ()
-    bin_window_seconds: int = 900
+    bin_window_override: int | None = None
+
+    @property
+    def bin_window_seconds(self) -> int:
+        """Length of the BIN window: the general setting, else ``window_min`` of ``bin_attack``."""
+        if self.bin_window_override is not None:
+            return self.bin_window_override
+        params = next((r.params for r in self.rules if r.name == "bin_attack"), {})
+        return int(float(params.get("window_min", 15)) * 60)
 
     def rule(self, name: str) -> RuleSettings:
         """Settings of one rule; raises KeyError when it is not configured."""
@@ -132,7 +140,7 @@ def config_from_dict(raw: Mapping[str, Any]) -> EngineConfig:
         ),
         high_risk_categories=tuple(str(c) for c in categories),
         rules=rules,
-        bin_window_seconds=int(raw.get("bin_window_seconds", 900)),
+        bin_window_override=int(raw["bin_window_seconds"]) if "bin_window_seconds" in raw else None,
     )
 
 

@@ -34,9 +34,19 @@ def high_risk_merchant(category: Column, codes: Iterable[str] = ()) -> Column:
     return F.coalesce(F.trim(category).isin(wanted), F.lit(False))
 
 
+def utc_hour(ts: Column) -> Column:
+    """Hour of the day in UTC, whatever the session's zone; null without a time."""
+    return F.floor(F.pmod(F.unix_seconds(ts), F.lit(86400)) / 3600).cast("long")
+
+
+def utc_date(ts: Column) -> Column:
+    """Date in UTC, whatever the session's zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+
+
 def hour_of_day(ts: Column) -> Column:
-    """Hour in the session time zone (UTC), 0 without a time."""
-    return F.coalesce(F.hour(ts), F.lit(0)).cast("long")
+    """Hour in UTC, 0 without a time."""
+    return F.coalesce(utc_hour(ts), F.lit(0))
 
 
 def untrusted_hour(hour: Column, start: int = 2, end: int = 5) -> Column:
@@ -85,7 +95,9 @@ def monotonic_counts(*counts: Column) -> Column:
 
 
 def time_text(ts: Column, separator: str) -> Column:
-    """Date and time as text; the fraction, six digits, only where there is one."""
-    whole = F.concat_ws(separator, F.date_format(ts, "yyyy-MM-dd"), F.date_format(ts, "HH:mm:ss"))
-    fraction = F.when(F.unix_micros(ts) % 1_000_000 == 0, F.lit("")).otherwise(F.date_format(ts, ".SSSSSS"))
+    """Date and time in UTC as text; the fraction, six digits, only where there is one."""
+    second, micro = F.pmod(F.unix_seconds(ts), F.lit(86400)), F.pmod(F.unix_micros(ts), F.lit(1_000_000))
+    clock = [F.lpad(F.floor(part).cast("string"), 2, "0") for part in (second / 3600, second % 3600 / 60, second % 60)]
+    whole = F.concat_ws(separator, utc_date(ts).cast("string"), F.concat_ws(":", *clock))
+    fraction = F.when(micro == 0, "").otherwise(F.concat(F.lit("."), F.lpad(micro.cast("string"), 6, "0")))
     return F.when(ts.isNotNull(), F.concat(whole, fraction))

@@ -8,19 +8,14 @@ from pyspark.sql import functions as F
 # Labels of merchant categories without a merchant name.
 CATEGORY_LABELS = {"5411": "Supermarket", "5812": "Restaurant", "5814": "Fast Food"}
 
-# Above this many merchants the names are joined by shuffle instead of broadcast.
-BROADCAST_MERCHANTS = 1_000_000
 
 
-def with_merchant_label(df: DataFrame, names: DataFrame, merchants: int | None = None) -> DataFrame:
+def with_merchant_label(df: DataFrame, names: DataFrame) -> DataFrame:
     """Adds ``merchant_label``: the merchant's name, else its category label, else its id.
 
-    ``names`` has columns ``merchant_id, merchant_name``; ``merchants`` is its size when
-    known. Only a known small dimension is broadcast, otherwise Spark picks the join.
+    ``names`` has columns ``merchant_id, merchant_name``; Spark picks the join by its size.
     """
     dimension = names.select("merchant_id", "merchant_name")
-    if merchants is not None and merchants <= BROADCAST_MERCHANTS:
-        dimension = F.broadcast(dimension)
     pairs = [F.lit(text) for pair in CATEGORY_LABELS.items() for text in pair]
     by_category = F.try_element_at(F.create_map(*pairs), F.coalesce("merchant_category", F.lit("")))
     label = F.coalesce(F.col("merchant_name"), by_category, F.col("merchant_id"))

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilcard.functions.cards import BIN_LENGTH
 from vigilcard.schemas import RAW
 
 KEYS = ("card_key", "customer_key", "bin")
+# The key of rows without card or customer: a text no id has.
+MISSING = "chr(0)"
 
 
 def align(df: DataFrame) -> DataFrame:
     """Raw columns plus the whole-second time and the window keys.
 
-    A missing card or customer is one group of its own, so the keys are never null and
-    plain equi-joins find every row again.
+    A missing card or customer is one group of its own, apart from the empty text, so the
+    keys are never null and plain equi-joins find every row again.
     """
     kept = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW.fields]
     if "dt" in df.columns:  # partition column of a stored layer, kept for pruning
@@ -23,9 +25,9 @@ def align(df: DataFrame) -> DataFrame:
     return df.selectExpr(*kept).selectExpr(
         "*",
         "unix_timestamp(timestamp) AS ts_epoch",
-        "coalesce(card_id, '') AS card_key",
-        "coalesce(customer_id, '') AS customer_key",
-        f"substring(coalesce(card_id, ''), 1, {BIN_LENGTH}) AS bin",
+        f"coalesce(card_id, {MISSING}) AS card_key",
+        f"coalesce(customer_id, {MISSING}) AS customer_key",
+        f"coalesce(substring(card_id, 1, {BIN_LENGTH}), {MISSING}) AS bin",
     )
 
 
@@ -43,7 +45,11 @@ def since_seconds(df: DataFrame, since: int | None, reach: int = 0) -> DataFrame
     """
     if since is None:
         return df
-    bound = F.timestamp_seconds(F.lit(since - reach))
     if "dt" in df.columns:
-        df = df.filter(F.col("dt") >= F.to_date(bound))
-    return df.filter(F.col("timestamp") >= bound)
+        df = df.filter(F.col("dt") >= day_literal(since - reach))
+    return df.filter(F.col("timestamp") >= F.timestamp_seconds(F.lit(since - reach)))
+
+
+def day_literal(second: int) -> Column:
+    """The UTC date of an epoch second."""
+    return F.date_from_unix_date(F.lit(second // 86400))

@@ -102,8 +102,13 @@ def alerts(scored: DataFrame) -> DataFrame:
     return chosen.select(*[derived.get(name, F.col(name)).alias(name) for name in ALERT.names])
 
 
-def audit_events(enriched: DataFrame, audit_ts: Column) -> DataFrame:
-    """One decision event per enriched row, ready for the JSON-lines audit log."""
+def audit_events(
+    enriched: DataFrame, audit_ts: Column, query_id: str | None = None, epoch: int | None = None
+) -> DataFrame:
+    """One decision event per enriched row, ready for the JSON-lines audit log.
+
+    Events of a micro-batch carry its query and epoch, so that a second delivery shows.
+    """
     derived = {
         "event": F.lit("decision"),
         "timestamp": time_text(F.col("timestamp"), " "),
@@ -111,13 +116,16 @@ def audit_events(enriched: DataFrame, audit_ts: Column) -> DataFrame:
         "risk_score": F.round(F.coalesce(F.col("risk_score"), F.lit(0.0)), 2),
         "audit_ts": _utc_text(audit_ts),
     }
-    return enriched.select(*[derived.get(name, F.col(name)).alias(name) for name in AUDIT.names])
+    run = [F.lit(query_id).cast("string").alias("query_id"), F.lit(epoch).cast("long").alias("epoch")]
+    return enriched.select(*[derived.get(name, F.col(name)).alias(name) for name in AUDIT.names], *run)
 
 
 def alert_audit_events(alert_rows: DataFrame, audit_ts: Column) -> DataFrame:
     """Audit events of kind ``alert``: every alert column between the kind and the audit time."""
     stamp = _utc_text(audit_ts).alias("audit_ts")
-    return alert_rows.select(F.lit("alert").alias("event"), *alert_rows.columns, stamp)
+    times = {"timestamp", "decision_timestamp"}
+    columns = [time_text(F.col(c), " ").alias(c) if c in times else F.col(c) for c in alert_rows.columns]
+    return alert_rows.select(F.lit("alert").alias("event"), *columns, stamp)
 
 
 def _utc_text(moment: Column) -> Column:

@@ -42,7 +42,15 @@ def card_profiles(enriched: DataFrame, updated_at: Column) -> DataFrame:
 
 def merge_profiles(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Stored and new profiles as one: the later one wins per column where it has a value."""
-    tagged = stored.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    return merge_deltas([(0, stored), (1, new)])
+
+
+def merge_deltas(deltas: list[tuple[int, DataFrame]]) -> DataFrame:
+    """Profiles of several batches, numbered in their order, as one."""
+    tagged = None
+    for number, profiles in deltas:
+        part = profiles.select(*PROFILE.names).withColumn("_new", F.lit(number).cast("long"))
+        tagged = part if tagged is None else tagged.unionByName(part)
     order = "struct(last_timestamp, _new)"
     columns = [name for name in PROFILE.names if name != "card_id"]
     merged = tagged.groupBy("card_id").agg(*[_latest(name, order, name) for name in columns])

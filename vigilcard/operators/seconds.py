@@ -199,41 +199,55 @@ def customer_seconds(
 ) -> DataFrame:
     """90-day spending profile for each (customer_key, ts_epoch) with batch rows.
 
-    The deviation comes from mergeable moments. Equal lowest and highest amounts mean no
-    deviation at all, where the moments may leave a rounding residue.
+    A second keeps the number of its amounts, their mean and their centred squares. The two
+    halves of a frame are summed as distances from a shift near the half's own amounts (its
+    median second), which stay small where amounts are large, and are then combined by the
+    rule for merging moments; nothing of the size of a squared amount is ever subtracted.
     """
     key = "customer_key"
     measures = {
         "n": "count(amount)",
-        "total": "sum(amount)",
-        "squares": "sum(amount * amount)",
-        "low": "min(amount)",
-        "high": "max(amount)",
+        "mean": "CASE WHEN min(amount) = max(amount) THEN min(amount) ELSE avg(amount) END",
+        "squares": "CASE WHEN min(amount) = max(amount) THEN 0D ELSE var_pop(amount) * count(amount) END",
     }
     seconds = _second_rows(
         batch, history, key, ("amount",), measures, since, NINETY_DAYS, keep_older=False, few_keys=few_keys
     )
-    lowest = ", ".join(_over_one_slot(key, "min", "low"))
-    highest = ", ".join(_over_one_slot(key, "max", "high"))
-    variance = "greatest((squares - total * total / n) / (n - 1), 0D)"
-    return (
-        _in_slots(seconds, key, NINETY_DAYS, NINETY_DAYS, since)
-        .selectExpr(
-            key,
-            "ts_epoch",
-            KEPT,
-            *[f"{_sum_over_one_slot(key, column)} AS {column}" for column in ("n", "total", "squares")],
-            f"least({lowest}) AS low",
-            f"greatest({highest}) AS high",
-        )
-        .filter("kept")
-        .selectExpr(
-            key,
-            "ts_epoch",
-            "CASE WHEN n > 0 THEN total / n ELSE 0D END AS amount_mean_90d",
-            f"CASE WHEN n > 1 AND low < high THEN sqrt({variance}) ELSE 0D END AS amount_std_90d",
-            "n AS amount_count_90d",
-        )
+    shift = f"percentile_approx(CASE WHEN role = '{{}}' THEN mean END, 0.5) OVER (PARTITION BY {key}, slot)"
+    placed = _in_slots(seconds, key, NINETY_DAYS, NINETY_DAYS, since).selectExpr(
+        "*", f"CASE WHEN role = '{OWN}' THEN {shift.format(OWN)} ELSE {shift.format(REACHED)} END AS shift"
+    )
+    moved = placed.selectExpr(
+        "*", "n * (mean - shift) AS moved", "squares + n * (mean - shift) * (mean - shift) AS moved_squares"
+    )
+    halves = {}
+    for column in ("n", "moved", "moved_squares"):
+        for name, half in zip(("own", "old"), _over_one_slot(key, "sum", column), strict=True):
+            halves[f"{column}_{name}"] = f"coalesce({half}, 0)"
+    summed = moved.selectExpr(
+        key,
+        "ts_epoch",
+        KEPT,
+        f"{shift.format(OWN)} AS shift_own",
+        f"{shift.format(REACHED)} AS shift_old",
+        *[f"{text} AS {name}" for name, text in halves.items()],
+    ).filter("kept")
+    centred = summed.selectExpr(
+        "*",
+        "n_own + n_old AS n",
+        *[f"CASE WHEN n_{h} > 0 THEN shift_{h} + moved_{h} / n_{h} END AS mean_{h}" for h in ("own", "old")],
+        *[f"CASE WHEN n_{h} > 0 THEN greatest(moved_squares_{h} - moved_{h} * moved_{h} / n_{h}, 0D) ELSE 0D END AS rest_{h}"
+          for h in ("own", "old")],
+    )
+    apart = "coalesce(mean_own - mean_old, 0D)"
+    return centred.selectExpr(
+        key,
+        "ts_epoch",
+        "CASE WHEN n > 0 THEN coalesce(mean_own * (n_own / n), 0D) + coalesce(mean_old * (n_old / n), 0D) ELSE 0D END"
+        " AS amount_mean_90d",
+        f"CASE WHEN n > 1 THEN sqrt((rest_own + rest_old + {apart} * {apart} * n_own * (n_old / n)) / (n - 1))"
+        " ELSE 0D END AS amount_std_90d",
+        "n AS amount_count_90d",
     )
 
 

@@ -6,6 +6,7 @@ lookups for novelty and one CASE per rule.
 
 from __future__ import annotations
 
+from vigilcard.catalog import SNAPSHOT_DOUBLES, SNAPSHOT_TEXT, SNAPSHOT_WHOLE
 from vigilcard.config import DEFAULT_HIGH_RISK_CATEGORIES, DEFAULT_RULES
 from vigilcard.functions.geo import CITIES, EARTH_RADIUS_KM
 from vigilcard.plans.fixtures import BINS, CATEGORIES, CITY_NAMES, SPLIT
@@ -54,7 +55,7 @@ labels_of AS (
   SELECT transaction_id, event_id % 31 = 0 OR event_id % 9 = 0 AS is_fraud,
          CASE WHEN event_id % 31 = 0 THEN 'unusual_amount' WHEN event_id % 9 = 0 THEN 'impossible_travel'
               ELSE 'none' END AS fraud_type
-  FROM tx)"""
+  FROM tx WHERE event_id % 10 <> 3)"""
 
 RAW = (
     "transaction_id, customer_id, card_id, timestamp, amount, currency, merchant_id, merchant_category, "
@@ -220,7 +221,8 @@ def scored(rules=tuple(CONDITIONS)) -> str:
     return f"""
 points AS (
   SELECT *, CAST(least(100, greatest(0, {score})) AS DOUBLE) AS risk_score,
-         concat_ws(',', {names}) AS triggered_rules, concat_ws(' | ', {reasons}) AS reasons_text FROM feats),
+         concat_ws(',', {names}) AS triggered_rules, concat_ws(' | ', {reasons}) AS reasons_text,
+         concat_ws(',', {reasons}) AS rule_reasons FROM feats),
 scored AS (
   SELECT *, CASE WHEN risk_score < 30 THEN 'approve' WHEN risk_score < 70 THEN 'review' ELSE 'block' END AS risk_level
   FROM points)"""
@@ -232,11 +234,40 @@ ENRICHED_COLUMNS = f"""{RAW}, velocity_1min, velocity_5min, velocity_1h, velocit
   round(distance, 3) AS distance_from_last_km, round(speed, 3) AS travel_speed_kmh,
   round(coalesce(minutes, 0), 3) AS minutes_since_last, round(dormant_days, 3) AS dormant_days,
   new_terminal, new_device, new_city, chip_only AS entry_mode_chip_only_history, high_risk_merchant, hour_of_day,
-  bin_denials_15min, previous_transaction_id, risk_score, risk_level, triggered_rules, '1.0.0' AS model_version"""
+  bin_denials_15min, previous_transaction_id, risk_score, risk_level, triggered_rules, rule_reasons,
+  TIMESTAMP '2024-02-01 00:00:00' AS decision_timestamp, '1.0.0' AS model_version"""
+
+# Names of the snapshot's fields that differ from those of the window columns.
+_SNAPSHOT_NAMES = {
+    "amount_count_90d": "count90", "amount_mean_90d": "mean90", "entry_mode_chip_only_history": "chip_only",
+    "distance_from_last_km": "distance", "travel_speed_kmh": "speed", "minutes_since_last": "minutes",
+    "amount_zscore": "zscore", "amount_vs_avg_ratio": "ratio",
+}
+
+
+def _snapshot() -> str:
+    """The fields of an alert's snapshot as one text."""
+    parts = []
+    for name in (*SNAPSHOT_WHOLE, *SNAPSHOT_TEXT):
+        column = _SNAPSHOT_NAMES.get(name, name)
+        parts.append(_time_text(column, " ") if name == "prev_ts" else f"CAST({column} AS VARCHAR)")
+    for name, digits in SNAPSHOT_DOUBLES.items():
+        column = _SNAPSHOT_NAMES.get(name, name)
+        parts.append(f"CAST(CAST(round(CAST({column} AS DOUBLE), {digits}) AS DECIMAL(30, {digits})) AS VARCHAR)")
+    return "concat_ws('|', " + ", ".join(f"coalesce({part}, '-')" for part in parts) + ") AS feature_snapshot"
+
+
+def _time_text(column: str, separator: str) -> str:
+    whole = f"'%Y-%m-%d{separator}%H:%M:%S'"
+    fraction = f"'%Y-%m-%d{separator}%H:%M:%S.%f'"
+    return f"""CASE WHEN epoch_us({column}) % 1000000 = 0 THEN strftime({column}, {whole})
+      ELSE strftime({column}, {fraction}) END"""
 
-ALERT_COLUMNS = """transaction_id, customer_id, card_id, bin, timestamp, round(amount, 2) AS amount, currency,
+
+ALERT_COLUMNS = f"""transaction_id, customer_id, card_id, bin, timestamp, round(amount, 2) AS amount, currency,
   merchant_id, merchant_category, merchant_city, merchant_country, entry_mode, channel, risk_score, risk_level,
-  triggered_rules, '1.0.0' AS model_version"""
+  triggered_rules, rule_reasons, {_snapshot()}, TIMESTAMP '2024-02-01 00:00:00' AS decision_timestamp,
+  '1.0.0' AS model_version"""
 
 PROFILE_COLUMNS = ", ".join(
     f"arg_max({column}, (timestamp, transaction_id)) FILTER (WHERE {column} IS NOT NULL) AS {name}"
@@ -333,8 +364,11 @@ SELECT transaction_id, velocity_1min, velocity_5min, velocity_1h, velocity_24h,
 SELECT transaction_id, prev_ts, prev_merchant_city, prev_terminal_id, prev_device_id, prev_amount, prev_entry_mode,
   previous_transaction_id""")
     out["amount_profile"] = _on_features("""
-SELECT transaction_id, round(mean90, 8) AS amount_mean_90d, round(std90, 4) AS amount_std_90d,
+SELECT transaction_id, round(mean90, 8) AS amount_mean_90d, round(std90, 6) AS amount_std_90d,
   count90 AS amount_count_90d, round(zscore, 4) AS amount_zscore, round(ratio, 4) AS amount_vs_avg_ratio FROM feats""")
+    larger = windows().replace("AS part FROM tx)", "AS part FROM (SELECT * REPLACE (amount + 1e7 AS amount) FROM tx))")
+    out["amount_profile_large"] = f"""WITH {TX}, {larger}
+SELECT transaction_id, round(std90, 5) AS amount_std_90d, count90 AS amount_count_90d FROM wins WHERE part = 1"""
     guarded = "CASE WHEN mean90 > 0 AND std90 >= 0.001 THEN (amount - mean90) / std90 ELSE 0 END"
     out["amount_zscore_guarded"] = _on_windows(f"SELECT transaction_id, round({guarded}, 4) AS amount_zscore")
     out["unusual_amount_flag"] = _on_windows(f"""
@@ -440,15 +474,16 @@ SELECT merchant_category, count(*) AS total_transactions, {_count("risk_level =
 FROM scored GROUP BY merchant_category""")
     out["rule_effectiveness"] = _on_scores(f"""
 SELECT h.rule_name, count(*) AS times_triggered, {_count('l.is_fraud')} AS true_positives,
-  {_count('NOT l.is_fraud')} AS false_positives,
+  {_count('NOT coalesce(l.is_fraud, FALSE)')} AS false_positives,
   round(100.0 * count(*) FILTER (WHERE l.is_fraud) / CAST(count(*) AS DOUBLE), 2) AS precision_pct
-FROM ({_HITS}) h JOIN labels_of l ON l.transaction_id = h.transaction_id GROUP BY h.rule_name""")
+FROM ({_HITS}) h LEFT JOIN labels_of l ON l.transaction_id = h.transaction_id GROUP BY h.rule_name""")
     out["false_positives_by_rule"] = _on_scores(f"""
-SELECT h.rule_name, {_count('NOT l.is_fraud')} AS false_positive_count, count(*) AS total_rule_triggers,
-  round(100.0 * count(*) FILTER (WHERE NOT l.is_fraud) / CAST((
-    SELECT count(*) FROM scored s JOIN labels_of n ON n.transaction_id = s.transaction_id WHERE NOT n.is_fraud) AS DOUBLE), 3)
+SELECT h.rule_name, {_count('NOT coalesce(l.is_fraud, FALSE)')} AS false_positive_count, count(*) AS total_rule_triggers,
+  round(100.0 * count(*) FILTER (WHERE NOT coalesce(l.is_fraud, FALSE)) / CAST((
+    SELECT count(*) FROM scored s LEFT JOIN labels_of n ON n.transaction_id = s.transaction_id
+    WHERE NOT coalesce(n.is_fraud, FALSE)) AS DOUBLE), 3)
     AS false_positive_rate_on_normal_pct
-FROM ({_HITS}) h JOIN labels_of l ON l.transaction_id = h.transaction_id GROUP BY h.rule_name""")
+FROM ({_HITS}) h LEFT JOIN labels_of l ON l.transaction_id = h.transaction_id GROUP BY h.rule_name""")
     out["volume_by_hour"] = _on_scores(f"""
 SELECT CAST(hour(timestamp) AS BIGINT) AS hour_of_day, count(*) AS total_transactions,
   {_count("risk_level = 'approve'")} AS approve_count, {_count("risk_level = 'review'")} AS review_count,
@@ -460,7 +495,7 @@ SELECT CAST(hour(timestamp) AS BIGINT) AS hour_of_day, count(*) AS total_transac
     out["false_positive_rate"] = _on_scores(f"""
 SELECT count(*) AS normal_transactions, {_count(ALERTED)} AS false_alerts,
   round(100.0 * count(*) FILTER (WHERE {ALERTED}) / CAST(count(*) AS DOUBLE), 3) AS false_positive_rate_pct
-FROM scored s JOIN labels_of l ON l.transaction_id = s.transaction_id WHERE NOT l.is_fraud""")
+FROM scored s LEFT JOIN labels_of l ON l.transaction_id = s.transaction_id WHERE NOT coalesce(l.is_fraud, FALSE)""")
 
     out["layer_roundtrip_raw"] = _on_tx(f"SELECT {RAW}, {dated} FROM tx")
     out["export_raw_parquet"] = _on_tx(f"SELECT {RAW} FROM tx")
@@ -469,11 +504,16 @@ SELECT transaction_id, round(CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN amou
 FROM tx""")
     out["audit_log"] = _on_scores(f"""
 SELECT 'decision' AS event, transaction_id, customer_id, card_id, {_time_text('timestamp', ' ')} AS timestamp,
-  amount, risk_score, risk_level, triggered_rules, '1.0.0' AS model_version,
+  amount, risk_score, risk_level, triggered_rules, rule_reasons, '1.0.0' AS model_version,
   '2024-02-01T00:00:00+00:00' AS audit_ts FROM scored""")
+    texts = f"{_time_text('timestamp', ' ')} AS timestamp, '2024-02-01 00:00:00' AS decision_timestamp"
     out["audit_alert_events"] = _on_scores(f"""
-SELECT 'alert' AS event, transaction_id, card_id, risk_score, risk_level, '2024-02-01T00:00:00+00:00' AS audit_ts
-FROM scored WHERE {ALERTED}""")
+SELECT 'alert' AS event, * REPLACE ({texts}), '2024-02-01T00:00:00+00:00' AS audit_ts
+FROM (SELECT {ALERT_COLUMNS} FROM scored WHERE {ALERTED})""")
+    out["upsert_null_and_repeated_ids"] = _on_tx("""
+SELECT 'raw' AS layer, transaction_id, round(CASE WHEN entry_mode = 'magnetic' THEN amount + 1000 ELSE amount END, 2) AS amount
+FROM tx WHERE channel <> 'atm'
+UNION ALL SELECT 'rejected', NULL, round(amount, 2) FROM tx, range(2) WHERE channel = 'atm'""")
     out["views_empty_layers"] = _on_tx("""
 SELECT 'raw' AS view, count(*) AS n FROM tx
 UNION ALL SELECT * FROM (VALUES ('enriched', 0), ('alerts', 0), ('fraud_labels', 0))""")
@@ -487,10 +527,14 @@ GROUP BY r.merchant_city, r.entry_mode, l.fraud_type""")
     out["backfill_limit"] = first.replace(
         "part FROM tx)", "part FROM (SELECT * FROM tx ORDER BY timestamp, transaction_id LIMIT 1000))"
     )
-    out["card_profiles"] = _on_scores(f"SELECT card_id, {PROFILE_COLUMNS} FROM scored GROUP BY card_id")
+    updated = "TIMESTAMP '2024-02-01 00:00:00' AS updated_at"
+    out["card_profiles"] = _on_scores(f"SELECT card_id, {PROFILE_COLUMNS}, {updated} FROM scored GROUP BY card_id")
     out["card_profiles_merge"] = out["card_profiles"]
     out["replay_verify"] = f"""{_verdicts()}
 SELECT * EXCLUDE (part), status = 'idempotent' AS idempotent FROM verdicts WHERE part = 1"""
+    out["replay_one_id"] = f"""{_verdicts()}
+SELECT * EXCLUDE (part), status = 'idempotent' AS idempotent FROM verdicts
+WHERE transaction_id = (SELECT min(transaction_id) FROM verdicts WHERE part = 1)"""
     out["replay_missing"] = f"""{_verdicts("auth_result = 'approved'")}
 SELECT transaction_id, status, FALSE AS idempotent FROM verdicts WHERE status LIKE 'not_in%'"""
 
@@ -504,6 +548,11 @@ SELECT transaction_id, status, FALSE AS idempotent FROM verdicts WHERE status LI
 SELECT {RAW}, 'parsed' AS outcome FROM tx WHERE channel <> 'atm'
 UNION ALL BY NAME
 SELECT substr({line}, 1, 60) AS transaction_id, {nulls}, 'rejected' AS outcome FROM tx WHERE channel = 'atm'""")
+    nameless = line.replace("transaction_id := transaction_id", "transaction_id := CASE WHEN entry_mode <> 'contactless' THEN transaction_id END")
+    out["stream_rejected_records"] = _on_tx(f"""
+SELECT CASE WHEN channel = 'atm' OR entry_mode = 'contactless' THEN 'rejected' ELSE 'raw' END AS layer,
+  CASE WHEN channel = 'atm' THEN substr({nameless}, 1, 60) WHEN entry_mode = 'contactless' THEN {nameless}
+       ELSE transaction_id END AS content FROM tx""")
     out["stream_watermark"] = _on_tx("SELECT transaction_id, timestamp FROM tx")
     parted = windows(
         f"CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN 0 "
@@ -515,17 +564,11 @@ SELECT substr({line}, 1, 60) AS transaction_id, {nulls}, 'rejected' AS outcome F
 SELECT 'raw' AS layer, count(*) AS n, count(*) AS ids FROM tx
 UNION ALL SELECT 'enriched', count(*), count(*) FROM scored
 UNION ALL SELECT 'alerts', count(*), count(*) FROM scored WHERE {ALERTED}
-UNION ALL SELECT 'audit', 2 * count(*), count(*) FROM scored""")
+UNION ALL SELECT 'audit', 3 * count(*), count(*) FROM scored
+UNION ALL SELECT 'audit_distinct', 2 * count(*), count(*) FROM scored""")
     return out
 
 
-def _time_text(column: str, separator: str) -> str:
-    whole = f"'%Y-%m-%d{separator}%H:%M:%S'"
-    fraction = f"'%Y-%m-%d{separator}%H:%M:%S.%f'"
-    return f"""CASE WHEN epoch_us({column}) % 1000000 = 0 THEN strftime({column}, {whole})
-      ELSE strftime({column}, {fraction}) END"""
-
-
 def _split_fields(text: str) -> list[str]:
     """Splits a column list at its top-level commas."""
     fields, depth, current = [], 0, ""

@@ -15,7 +15,7 @@ from vigilcard.operators.profiles import card_profiles
 from vigilcard.operators.seconds import ONE_DAY
 from vigilcard.plans.scoring import score_transactions
 from vigilcard.schemas import RAW
-from vigilcard.sources.layers import LayerStore
+from vigilcard.sources.layers import LayerStore, one_per_id
 from vigilcard.sources.scratch import Scratch
 
 # A batch of at most this many rows has few enough keys to broadcast them.
@@ -49,17 +49,35 @@ def process_batch(
     config: EngineConfig,
     decision_ts: datetime | None = None,
     write: bool = True,
+    run: tuple[str | None, int | None] = (None, None),
 ) -> BatchResult:
     """Scores a batch against stored history and appends to every layer.
 
     The batch and its scores are staged once; every layer is then written from the staged
-    table, so no step recomputes the windows. Rows repeated within the batch count once.
+    table, so no step recomputes the windows. Of rows that share an id the latest counts, see
+    ``one_per_id``; rows without an id, and lines that a stream could not parse, go to the
+    rejected layer. ``run`` is the query and epoch of a micro-batch, for the audit log.
     """
-    spark = store.spark
-    scratch = Scratch(spark)
+    scratch = Scratch(store.spark)
+    try:
+        return _process(batch, store, config, decision_ts, write, run, scratch)
+    except BaseException:
+        scratch.release()
+        raise
+
+
+def _process(
+    batch: DataFrame,
+    store: LayerStore,
+    config: EngineConfig,
+    decision_ts: datetime | None,
+    write: bool,
+    run: tuple[str | None, int | None],
+    scratch: Scratch,
+) -> BatchResult:
     moment = decision_ts or datetime.now(timezone.utc)
     now = decisions.timestamp_literal(moment)
-    rows = scratch.stage(batch.select(*RAW.names).dropDuplicates(["transaction_id"]), "batch")
+    rows = scratch.stage(one_per_id(batch.select(*RAW.names)), "batch")
     since, count, untimed = rows.agg(
         F.min(F.unix_timestamp("timestamp")), F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())
     ).first()
@@ -80,11 +98,14 @@ def process_batch(
     enriched = decisions.enriched_transactions(scored)
     alerts = decisions.alerts(scored)
     if write:
-        store.append_new("raw", rows, stored_ids)
+        lines = [c for c in batch.columns if c == "rejected_line"]
+        without_id = batch.filter("transaction_id IS NULL").select(*RAW.names, *lines)
+        store.append_rejected(without_id, "no transaction id", *run)
+        store.append_new("raw", rows, stored_ids, unique=True)
         store.add_late_rows(rows, None if untimed else since)
-        store.append_new("enriched", enriched)
-        store.append_new("alerts", alerts)
-        store.append_audit(decisions.audit_events(enriched, now))
+        store.append_new("enriched", enriched, unique=True)
+        store.append_new("alerts", alerts, unique=True)
+        store.append_audit(decisions.audit_events(enriched, now, *run))
         store.write_profiles(card_profiles(enriched, now))
     return BatchResult(enriched, alerts, scratch)
 

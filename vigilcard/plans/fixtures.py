@@ -41,9 +41,8 @@ def _code(prefix: str, number: Column, width: int) -> Column:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All derived transactions in the raw layout."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value"
+        "event_id", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp").alias("ts"), "user_id", "event_type", "value"
     )
     event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
     hour = F.lit(3_600_000_000)
@@ -56,7 +55,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cardno = F.col("cardno")
     idle = ((user % 10 == 5) & (cardno == 1)) | ((user % 10 == 7) & (cardno == 0))
-    early = F.col("ts1") < F.lit(SPLIT).cast("timestamp")
+    early = F.col("ts1") < F.timestamp_seconds(F.lit(SPLIT_EPOCH))
     amount = (
         F.when(event % 12 == 5, F.lit(1) + F.floor(value) / F.lit(100))
         .when(event % 31 == 0, value * 90)
@@ -81,7 +80,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "transaction_id": _code("tx_", event, 12),
         "customer_id": _code("C", user, 6),
         "card_id": F.concat(_pick(BINS, user % 4), F.lpad((user * 2 + cardno).cast("string"), 10, "0")),
-        "timestamp": F.when(early & idle, F.col("ts1") - F.expr("INTERVAL 200 DAYS")).otherwise(F.col("ts1")),
+        "timestamp": F.when(early & idle, F.timestamp_micros(F.unix_micros("ts1") - 200 * 86_400_000_000)).otherwise(F.col("ts1")),
         "amount": F.round(amount, 2),
         "currency": F.lit("BRL"),
         "merchant_id": _code("M", event % 248, 5),
@@ -100,18 +99,18 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_and_batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Transactions before the split date, and from it on."""
     rows = transactions(spark, sf_dir)
-    split = F.lit(SPLIT).cast("timestamp")
+    split = F.timestamp_seconds(F.lit(SPLIT_EPOCH))
     return rows.filter(F.col("timestamp") < split), rows.filter(F.col("timestamp") >= split)
 
 
 def fraud_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ground truth for every derived transaction."""
+    """Ground truth for nine of ten derived transactions; the others have no label."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
     event = F.col("event_id")
     kind = (
         F.when(event % 31 == 0, "unusual_amount").when(event % 9 == 0, "impossible_travel").otherwise("none")
     )
-    labels = events.select(
+    labels = events.filter(event % 10 != 3).select(
         _code("tx_", event, 12).alias("transaction_id"), (kind != "none").alias("is_fraud"), kind.alias("fraud_type")
     )
     return labels.select(*FRAUD_LABELS.names)

@@ -8,22 +8,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig
-from vigilcard.operators.align import align
+from vigilcard.operators.align import KEYS, align, day_literal
 from vigilcard.operators.decisions import enriched_transactions, timestamp_literal, with_decision
 from vigilcard.operators.novelty import with_novelty_as_of
 from vigilcard.operators.replay import compare_decisions
 from vigilcard.operators.seconds import with_windows
 from vigilcard.plans.scoring import with_row_features
 
+# So many ids are few enough to broadcast them and their keys.
+FEW_IDS = 100_000
+
 
 def recompute_decisions(
     raw: DataFrame, config: EngineConfig, decision_ts: datetime, ids: DataFrame | None = None
 ) -> DataFrame:
-    """Enriched rows of the given ids (all rows without ids), each against its own past."""
-    everything = align(raw).drop("dt")
-    rows, rest = everything, None
+    """Enriched rows of the given ids (all rows without ids), each against its own past.
+
+    Up to ``FEW_IDS`` ids are looked up first; then only rows of their cards, customers and BINs
+    up to their latest time are read for the windows, which no other row can enter.
+    """
+    rows, rest = align(raw).drop("dt"), None
+    everything = rows
     if ids is not None:
         wanted = ids.select("transaction_id").distinct()
+        if wanted.limit(FEW_IDS + 1).count() <= FEW_IDS:
+            everything = _related(raw, rows.join(F.broadcast(wanted), "transaction_id", "left_semi"))
         rows = everything.join(wanted, "transaction_id", "left_semi")
         rest = everything.join(wanted, "transaction_id", "left_anti").withColumn("is_batch", F.lit(False))
     rows = rows.withColumn("is_batch", F.lit(True))
@@ -33,6 +42,22 @@ def recompute_decisions(
     return enriched_transactions(with_decision(features, config, timestamp_literal(decision_ts)))
 
 
+def _related(raw: DataFrame, asked: DataFrame) -> DataFrame:
+    """Aligned rows that share a card, customer or BIN with the asked rows, up to their latest
+    time; rows without a time stay."""
+    latest, untimed = asked.agg(F.max("ts_epoch"), F.count_if(F.col("ts_epoch").isNull())).first()
+    if latest is not None and not untimed:
+        if "dt" in raw.columns:
+            raw = raw.filter(F.col("dt").isNull() | (F.col("dt") <= day_literal(latest)))
+        raw = raw.filter(F.col("timestamp").isNull() | (F.col("timestamp") < F.timestamp_seconds(F.lit(latest + 1))))
+    rows = align(raw).drop("dt")
+    for key in KEYS:
+        mine = asked.select(key).distinct().withColumn(f"_{key}", F.lit(True))
+        rows = rows.join(F.broadcast(mine), key, "left")
+    met = F.coalesce(*[F.col(f"_{key}") for key in KEYS], F.lit(False))
+    return rows.filter(met).drop(*[f"_{key}" for key in KEYS])
+
+
 def verify_replay(
     raw: DataFrame,
     enriched: DataFrame,

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from typing import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vigilcard.functions.cards import utc_hour
 from vigilcard.operators.decisions import ALERT_LEVELS, LEVELS
 from vigilcard.sources.layers import LayerStore
 
@@ -101,11 +102,11 @@ def false_positives_by_rule(enriched: DataFrame, labels: DataFrame) -> DataFrame
         F.count_if(~F.col("is_fraud")).alias("false_positive_count"),
         F.count_if(first & ~F.col("is_fraud")).alias("_normal"),
     )
-    normal = by_rule.agg(F.sum("_normal").alias("_all_normal"))
+    normal = F.sum("_normal").over(Window.partitionBy())  # over one row per rule
     rate = _percent(F.col("false_positive_count"), F.col("_all_normal"), 3)
     return (
-        by_rule.filter(F.col("rule_name").isNotNull())
-        .crossJoin(F.broadcast(normal))
+        by_rule.withColumn("_all_normal", normal)
+        .filter(F.col("rule_name").isNotNull())
         .select("rule_name", "false_positive_count", "total_rule_triggers", rate.alias("false_positive_rate_on_normal_pct"))
         .orderBy(F.desc("false_positive_count"), "rule_name")
     )
@@ -113,7 +114,7 @@ def false_positives_by_rule(enriched: DataFrame, labels: DataFrame) -> DataFrame
 
 def volume_by_hour(enriched: DataFrame) -> DataFrame:
     """Transactions, decisions and volume per hour of the day (UTC)."""
-    by_hour = enriched.groupBy(F.hour("timestamp").cast("long").alias("hour_of_day")).agg(
+    by_hour = enriched.groupBy(utc_hour(F.col("timestamp")).alias("hour_of_day")).agg(
         _rows().alias("total_transactions"),
         *[F.count_if(_level(name)).alias(f"{name}_count") for name in LEVELS],
         F.round(F.avg("risk_score"), 2).alias("avg_risk_score"),

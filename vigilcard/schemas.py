@@ -124,9 +124,19 @@ AUDIT = _schema(
     ("audit_ts", _STRING),
 )
 
+# What events carry beside the fixed columns: the run they belong to, and all of an alert.
+AUDIT_RUN = _schema(("query_id", _STRING), ("epoch", _LONG))
+AUDIT_READ = StructType(
+    AUDIT.fields
+    + [StructField(f.name, f.dataType if f.dataType != _TS else _STRING, True) for f in ALERT.fields if f.name not in AUDIT.names]
+    + AUDIT_RUN.fields
+)
+
+REJECTED = _schema(("reason", _STRING), ("line", _STRING), ("query_id", _STRING), ("epoch", _LONG))
+
 FRAUD_LABELS = _schema(("transaction_id", _STRING), ("is_fraud", _BOOL), ("fraud_type", _STRING))
 
-# Feature keys kept, unrounded, in the JSON snapshot of an alert.
+# Feature keys kept, unrounded, in the JSON snapshot of an alert.
 SNAPSHOT_FEATURES = (
     "velocity_1min",
     "velocity_5min",

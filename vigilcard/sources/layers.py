@@ -1,24 +1,35 @@
-"""Persisted layers: raw, enriched, alerts, profiles, audit and labels.
+"""Persisted layers: raw, enriched, alerts, profiles, audit, rejected and labels.
 
 Transaction layers are Parquet, partitioned by ``dt`` (UTC date). They are read at their
 root with an explicit schema, so ``dt`` prunes and no file is opened for inference.
+
+Profiles are kept as deltas: each batch writes its own profiles into a new folder and names it
+in an index, which is the commit; a folder without index entry (a killed write) does not
+exist for readers. Reading merges the deltas; now and then they are merged into one.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
 
-from vigilcard.operators.align import align
-from vigilcard.operators.profiles import merge_profiles
+from vigilcard.functions.cards import utc_date
+from vigilcard.operators.align import align, day_literal
+from vigilcard.operators.profiles import merge_deltas
 from vigilcard.operators.snapshots import Snapshot, snapshot_of
-from vigilcard.schemas import ALERT, AUDIT, ENRICHED, FRAUD_LABELS, PROFILE, RAW
+from vigilcard.schemas import ALERT, AUDIT_READ, ENRICHED, FRAUD_LABELS, PROFILE, RAW, REJECTED
 
 SCHEMAS = {"raw": RAW, "enriched": ENRICHED, "alerts": ALERT}
+PROFILE_INDEX = StructType(
+    [StructField("generation", LongType()), StructField("seq", LongType()), StructField("folder", StringType())]
+)
+# Profile deltas of one generation before they are merged into one.
+PROFILE_DELTAS = 50
 EXPORT_FORMATS = ("parquet", "csv", "json", "jsonl")
 # Text exports keep microseconds, which the default text form of a timestamp cuts off.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -41,26 +52,40 @@ class LayerStore:
         return self._read(self.path(layer), partitioned)
 
     def read_audit(self) -> DataFrame | None:
-        """Audit events, or None when none were written."""
-        return _if_present(lambda: self.spark.read.schema(AUDIT).json(self.path("audit")))
+        """Audit events with all columns an event may have, or None when none were written.
+
+        Every delivery of a micro-batch adds its events; ``distinct_events`` keeps one of each.
+        """
+        return _if_present(lambda: self.spark.read.schema(AUDIT_READ).json(self.path("audit")))
+
+    def read_rejected(self) -> DataFrame | None:
+        """Lines and rows that carried no id, or None when there were none."""
+        return self._read(self.path("rejected"), REJECTED)
 
     def read_labels(self) -> DataFrame | None:
         """Ground-truth labels, or None when there are none."""
         return self._read(self.path("fraud_labels"), FRAUD_LABELS)
 
     def read_profiles(self) -> DataFrame | None:
-        """Newest version of the card profiles, or None when none was written."""
-        versions = self._profile_versions()
-        newest = None if versions is None else versions.agg(F.max("version")).first()[0]
-        return None if newest is None else versions.filter(F.col("version") == newest).drop("version")
+        """The card profiles, or None when none was written."""
+        deltas = self._profile_deltas()
+        if not deltas:
+            return None
+        return merge_deltas([(seq, self._read(folder, PROFILE)) for _, seq, folder in deltas])
 
-    def append_new(self, layer: str, df: DataFrame, stored_ids: DataFrame | None = None) -> None:
+    def append_new(
+        self, layer: str, df: DataFrame, stored_ids: DataFrame | None = None, unique: bool = False
+    ) -> None:
         """Appends the rows whose id is not stored yet; stored rows are never changed.
 
-        Repeated ids within ``df`` are written once. ``stored_ids`` may hand over the ids of
-        ``df`` that are known to be stored.
+        ``unique`` says that every row has an id of its own; otherwise rows without an id go to
+        the rejected layer and one row of each id is taken, see ``one_per_id``. ``stored_ids``
+        may hand over the ids of ``df`` that are known to be stored.
         """
-        rows = df.select(*SCHEMAS[layer].names).dropDuplicates(["transaction_id"])
+        rows = df.select(*SCHEMAS[layer].names)
+        if not unique:
+            self.append_rejected(rows.filter("transaction_id IS NULL"), f"no id for {layer}")
+            rows = one_per_id(rows)
         met = self.ids_already_in(layer, rows) if stored_ids is None else stored_ids
         if met is not None:
             rows = rows.join(met, "transaction_id", "left_anti")
@@ -78,19 +103,60 @@ class LayerStore:
         ids = df.select("transaction_id")
         return stored.select("transaction_id").join(ids, "transaction_id", "left_semi").distinct()
 
+    def append_rejected(
+        self, rows: DataFrame, reason: str, query_id: str | None = None, epoch: int | None = None
+    ) -> None:
+        """Appends rows without an id, as the line they came from or else as JSON text."""
+        line = F.to_json(F.struct(*[c for c in rows.columns if c != "rejected_line"]), {"timeZone": "UTC"})
+        if "rejected_line" in rows.columns:
+            line = F.coalesce("rejected_line", line)
+        rejected = rows.select(
+            F.lit(reason).alias("reason"),
+            line.alias("line"),
+            F.lit(query_id).cast("string").alias("query_id"),
+            F.lit(epoch).cast("long").alias("epoch"),
+        )
+        if not rejected.isEmpty():
+            rejected.write.mode("append").parquet(self.path("rejected"))
+
     def append_audit(self, events: DataFrame) -> None:
         """Appends audit events as JSON lines; every call adds its events again."""
         events.write.mode("append").option("ignoreNullFields", "false").json(self.path("audit"))
 
     def write_profiles(self, batch_profiles: DataFrame) -> None:
-        """Merges profiles of a batch into the stored ones and writes the next version."""
-        versions = self._profile_versions()
-        newest = None if versions is None else versions.agg(F.max("version")).first()[0]
-        merged = batch_profiles
-        if newest is not None:
-            stored = versions.filter(F.col("version") == newest).drop("version")
-            merged = merge_profiles(stored, batch_profiles)
-        merged.select(*PROFILE.names).write.parquet(f"{self.path('profiles')}/version={(newest or 0) + 1}")
+        """Adds the profiles of a batch as a delta; many deltas are merged into one."""
+        deltas = self._profile_deltas()
+        generation = deltas[0][0] if deltas else 0
+        folder = self._new_profile_folder(batch_profiles)
+        self._commit_profiles(generation, deltas[-1][1] + 1 if deltas else 0, folder)
+        if len(deltas) >= PROFILE_DELTAS:
+            self.compact_profiles()
+
+    def compact_profiles(self) -> None:
+        """Merges all deltas into one, the first of a new generation. Older folders stay until
+        they are cleaned up, as readers may still use them."""
+        deltas = self._profile_deltas()
+        if len(deltas) > 1:
+            folder = self._new_profile_folder(self.read_profiles())
+            self._commit_profiles(deltas[0][0] + 1, 0, folder)
+
+    def _new_profile_folder(self, profiles: DataFrame) -> str:
+        folder = f"{self.path('profiles')}/{uuid.uuid4().hex}"
+        profiles.select(*PROFILE.names).write.parquet(folder)
+        return folder
+
+    def _commit_profiles(self, generation: int, seq: int, folder: str) -> None:
+        entry = self.spark.createDataFrame([(generation, seq, folder)], PROFILE_INDEX)
+        entry.coalesce(1).write.mode("append").parquet(f"{self.path('profiles')}/index")
+
+    def _profile_deltas(self) -> list[tuple[int, int, str]]:
+        """Committed deltas (generation, seq, folder) of the newest generation, oldest first."""
+        index = self._read(f"{self.path('profiles')}/index", PROFILE_INDEX)
+        if index is None:
+            return []
+        newest = index.withColumn("newest", F.max("generation").over(Window.partitionBy()))
+        rows = newest.filter("generation = newest").orderBy("seq", "folder").collect()
+        return [(r["generation"], r["seq"], r["folder"]) for r in rows]
 
     def write_snapshot(self, as_of: date) -> None:
         """Builds the history snapshot as of a day from raw, on top of the newest earlier one."""
@@ -101,7 +167,7 @@ class LayerStore:
         base = self.snapshot_before(second)
         rows = raw.filter(F.col("dt").isNull() | (F.col("dt") < F.lit(as_of)))
         if base is not None:
-            rows = raw.filter((F.col("dt") >= F.to_date(F.timestamp_seconds(F.lit(base.as_of)))) & (F.col("dt") < F.lit(as_of)))
+            rows = raw.filter((F.col("dt") >= day_literal(base.as_of)) & (F.col("dt") < F.lit(as_of)))
         made = snapshot_of(align(rows), second, base)
         for table in Snapshot.TABLES:
             getattr(made, table).write.mode("overwrite").parquet(self._snapshot_path(second, table))
@@ -160,24 +226,42 @@ class LayerStore:
             table.write.parquet(target)
         elif fmt == "csv":
             writer = csv_ready(table).write.option("header", True).option("escape", '"')
-            writer.option("timestampFormat", TIME_FORMAT).csv(target)
+            writer.option("timestampFormat", TIME_FORMAT).option("timeZone", "UTC").csv(target)
         else:
             writer = table.write.option("ignoreNullFields", "false")
-            writer.option("timestampFormat", TIME_FORMAT).json(target)
+            writer.option("timestampFormat", TIME_FORMAT).option("timeZone", "UTC").json(target)
 
     def _read(self, path: str, schema: StructType) -> DataFrame | None:
         return _if_present(lambda: self.spark.read.schema(schema).parquet(path))
 
-    def _profile_versions(self) -> DataFrame | None:
-        versioned = StructType(PROFILE.fields + [StructField("version", LongType(), True)])
-        return self._read(self.path("profiles"), versioned)
-
     def _write(self, layer: str, df: DataFrame) -> None:
-        dated = df.withColumn("dt", F.to_date("timestamp"))
+        dated = df.withColumn("dt", utc_date(F.col("timestamp")))
         # Rows of one date meet in few files; a large date is split again by size.
         dated.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt").parquet(self.path(layer))
 
 
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """One row per id: the latest by time, among equals the greatest by the other columns in
+    their order. Rows without an id are left out."""
+    others = [c for c in rows.columns if c not in ("transaction_id", "timestamp")]
+    latest = F.max(F.struct("timestamp", *others)).alias("latest")
+    chosen = rows.filter("transaction_id IS NOT NULL").groupBy("transaction_id").agg(latest)
+    return chosen.select("transaction_id", "latest.*").select(*rows.columns)
+
+
+def distinct_events(audit: DataFrame) -> DataFrame:
+    """Audit events with one copy of those that a micro-batch delivered again.
+
+    Events of a stream are one per (event, transaction, query, epoch); events outside of
+    streams, which have no epoch, all stay.
+    """
+    key = ["event", "transaction_id", "query_id", "epoch"]
+    streamed = audit.filter("epoch IS NOT NULL")
+    others = [c for c in audit.columns if c not in key]
+    once = streamed.groupBy(*key).agg(F.min(F.struct("audit_ts", *[c for c in others if c != "audit_ts"])).alias("first"))
+    return audit.filter("epoch IS NULL").unionByName(once.select(*key, "first.*"))
+
+
 def csv_ready(df: DataFrame) -> DataFrame:
     """Array columns as JSON text, the rest unchanged."""
     return df.select(

@@ -26,8 +26,8 @@ def start_scoring(
     """Starts scoring a stream of raw transactions into the layers.
 
     A micro-batch may be delivered again after a failure. The layers keep their first copy
-    of a transaction and statistics are stored per epoch, so a second delivery changes
-    neither; only the audit log records both.
+    of a transaction, and statistics are stored per query and epoch, so a second delivery
+    changes neither; the audit log and the rejected layer record both, with query and epoch.
     """
     location = checkpoint or config.streaming.checkpoint_dir
     if not location:
@@ -37,9 +37,12 @@ def start_scoring(
         if batch.isEmpty():
             return
         local = LayerStore(batch.sparkSession, store.root)
-        result = process_batch(batch, local, config, decision_ts)
-        write_epoch_stats(result.enriched, local, epoch)
-        result.release()
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        result = process_batch(batch, local, config, decision_ts, run=(query_id, epoch))
+        try:
+            write_epoch_stats(result.enriched, local, epoch, query_id)
+        finally:
+            result.release()
 
     writer = rows.writeStream.foreachBatch(score).option("checkpointLocation", location)
     if available_now:
@@ -49,14 +52,16 @@ def start_scoring(
     return writer.start()
 
 
-def write_epoch_stats(enriched: DataFrame, store: LayerStore, epoch: int) -> None:
-    """Statistics of one micro-batch; an epoch that comes again replaces its own figures."""
+def write_epoch_stats(enriched: DataFrame, store: LayerStore, epoch: int, query_id: str | None = None) -> None:
+    """Statistics of one micro-batch; an epoch of a query that comes again replaces its own
+    figures, and those of another query or checkpoint stand beside them."""
     levels = batch_stats(enriched).drop("avg_score")
     scores = enriched.agg(F.coalesce(F.sum("risk_score"), F.lit(0.0)).alias("score_sum"))
     rules = enriched.select(F.explode("triggered_rules").alias("rule_name")).groupBy("rule_name").count()
     counts = rules.agg(F.map_from_entries(F.collect_list(F.struct("rule_name", "count"))).alias("rule_counts"))
     row = levels.crossJoin(scores).crossJoin(counts)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{store.path('stream_stats')}/epoch={epoch}")
+    folder = f"{store.path('stream_stats')}/query={query_id or 'none'}/epoch={epoch}"
+    row.coalesce(1).write.mode("overwrite").parquet(folder)
 
 
 def session_stats(spark: SparkSession, store: LayerStore) -> DataFrame | None:
