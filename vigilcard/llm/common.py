@@ -53,19 +53,17 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, with a cache of bounded size."""
 
-    def __init__(self) -> None:
-        self._known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self._known
-        if len(known) > _CACHED_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self) > _CACHED_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -10,9 +10,10 @@ On Spark:
 
 1. Each text becomes a sorted array of shingle hashes in a task. Texts with equal sets are one
    class from here on, so copies cost nothing.
-2. Which lists are long is decided by one order of all shingles: those frequent in a hashed
-   sample of documents last, the rest by hash. Any order gives the same result; only speed
-   depends on the sample. A class files its shingles of the short part, 15 to 20 % of them.
+2. Which lists are long is decided by one order of all shingles: those in more than ``LIST``
+   documents last, the rest by hash. Frequent shingles are counted over the whole corpus and
+   noted in a bitmap of fixed size, where a collision can only change the order; any order
+   gives the same result. A class files its shingles of the short part, 15 to 20 % of them.
 3. Postings are dealt by ranges of the shingle's hash. Each range finds the lists with two or
    more classes. Lists up to ``LIST`` classes give their pairs with counts, longer ones a star
    that stands for "may all be related". Pairs below k are dropped after adding up all ranges.
@@ -39,19 +40,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilcard.llm.common import (
-    Forest, WordHashes, connected_components, limited_broadcast, pieces, shingles, stage, words_of,
+    Forest, WordHashes, connected_components, limited_broadcast, pieces, shingles, stage, text_or_empty,
 )
 
 #: Lists of more classes than this do not give pairs but a star.
 LIST = 48
 #: Classes searched together in memory at most (two blocks of half of it, if a group is larger).
 BLOCK = 2048
-#: Documents and shingles of the sample that orders the lists.
-SAMPLE_DOCUMENTS, SAMPLE_SHINGLES = 10_000, 200_000
+#: Bits of a shingle's hash that address the bitmap of frequent shingles (8 MB).
+BITMAP = 26
+#: Shingles that one range of the count holds on average.
+COUNTED = 4_000_000
 #: Postings that one range holds on average.
 RANGE = 400_000
 
 
+_NOTHING = np.zeros(0, np.uint64)
+
+
 def threshold(size, percent: int):
     """Least overlap with any set: a union is no smaller than the larger of the two sets."""
     return -(-size * percent // 100)
@@ -62,7 +68,7 @@ def merge_bound(size: int, percent: int) -> int:
 
 
 def text_shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
-    return shingles(hashes([w.lower() for w in words_of(text)]), n)
+    return shingles(hashes(text.encode("utf-8", "surrogatepass").lower().split()) if text else _NOTHING, n)
 
 
 def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -80,28 +86,30 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     everything = np.concatenate([sets[i] for i in order])
     owner = np.repeat(np.arange(len(order)), sizes)
     _, token = np.unique(everything, return_inverse=True)
-    by_token = np.argsort(token, kind="stable")
-    lists = owner[by_token]  # ascending within a list
-    starts = np.concatenate(([0], np.cumsum(np.bincount(token))))
+    filed = np.argsort(token, kind="stable")
+    lists = owner[filed]  # ascending within a list
+    place = np.empty_like(filed)  # of each entry in the lists
+    place[filed] = np.arange(len(filed))
+    keys = token[filed] * len(order) + lists
     ends = np.cumsum(sizes)
     forest, found = Forest(len(order)), []
     for q in range(len(order)):
         size = int(sizes[q])
-        if not size:
-            continue
-        mine = token[ends[q] - size : ends[q]]
         need = int(threshold(size, percent))
         first = int(np.searchsorted(sizes, need))  # smaller sets cannot reach the overlap
-        if first >= q:
+        if not size or first >= q:
             continue
-        low = np.array([starts[t] + np.searchsorted(lists[starts[t] : starts[t + 1]], first) for t in mine])
-        high = np.array([starts[t] + np.searchsorted(lists[starts[t] : starts[t + 1]], q) for t in mine])
-        by_length = np.argsort(high - low, kind="stable")
+        mine = slice(ends[q] - size, ends[q])
+        high = place[mine]
+        low = np.searchsorted(keys, token[mine] * len(order) + first)
+        length = high - low
         skipped = need - merge_bound(size, percent)
-        short, long = by_length[: size - skipped], by_length[size - skipped :][::-1]
-        runs = np.concatenate([lists[low[t] : high[t]] for t in short])
-        if not len(runs):
+        by_length = np.argsort(length, kind="stable")
+        short, long = by_length[: size - skipped], by_length[size - skipped :]
+        short, long = short[length[short] > 0], long[length[long] > 0][::-1]
+        if not len(short):
             continue
+        runs = np.concatenate([lists[low[t] : high[t]] for t in short])
         runs.sort(kind="stable")
         candidates, counts = np.unique(runs, return_counts=True)
         enough = counts >= need - skipped
@@ -109,17 +117,14 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         root = forest.root(q)
         new = np.array([forest.root(int(c)) != root for c in candidates], bool)
         candidates, counts = candidates[new], counts[new]
-        left = len(long)
-        for t in long:
+        for left, t in enumerate(long):
+            can = counts + (len(long) - left) >= need
+            candidates, counts = candidates[can], counts[can]
             if not len(candidates):
                 break
             run = lists[low[t] : high[t]]
-            if len(run):
-                at = np.minimum(np.searchsorted(run, candidates), len(run) - 1)
-                counts = counts + (run[at] == candidates)
-            left -= 1
-            can = counts + left >= need
-            candidates, counts = candidates[can], counts[can]
+            at = np.minimum(np.searchsorted(run, candidates), len(run) - 1)
+            counts = counts + (run[at] == candidates)
         linked = 100 * counts >= percent * (size + sizes[candidates] - counts)
         for c in candidates[linked]:
             if forest.union(q, int(c)):
@@ -128,23 +133,41 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _frequent(documents: DataFrame, n: int) -> np.ndarray:
-    """Shingles in three or more documents of the sample, as a sorted array."""
-    total = documents.count()
-    share = 2**20 if total <= SAMPLE_DOCUMENTS else math.ceil(2**20 * SAMPLE_DOCUMENTS / total)
-    sample = documents.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(2**20)) < share)
+    """Bitmap of the shingles that are in more than ``LIST`` documents."""
+    total = documents.agg(F.sum(F.length(text_or_empty()))).first()[0] or 0
+    bits = min(12, max(4, math.ceil(math.log2(total / 6 / COUNTED + 1))))  # a word takes some six characters
+    top, low = np.uint64(64 - bits), np.uint64(32 - bits)
 
-    def count(batches):
+    def deal(batches):
         hashes = WordHashes()
-        for batch in pieces(batches, 2048):
+        for batch in pieces(batches, 4096):
             found = [text_shingles(t, n, hashes) for t in batch["text"].to_pylist()]
-            if found:
-                values, times = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values.view(np.int64)), pa.array(times, pa.int64())], names=["h", "n"])
+            values = np.sort(np.concatenate(found)) if found else _NOTHING
+            cuts = np.searchsorted(values >> top, np.arange(2**bits + 1, dtype=np.uint64))
+            short = (values >> low).astype(np.uint32)  # the 32 bits that follow the range
+            used = np.flatnonzero(np.diff(cuts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(used, pa.int32()), pa.array([short[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary())],
+                names=["part", "h"])
+
+    def count(table: pa.Table) -> pa.Table:
+        values = np.sort(np.concatenate([np.frombuffer(x, np.uint32) for x in table["h"].to_pylist()]))
+        edges = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
+        often = values[edges[:-1][np.diff(edges) > LIST]]
+        marked = np.zeros(2 ** (BITMAP - bits), bool)
+        marked[often >> np.uint32(32 - (BITMAP - bits))] = True
+        return pa.table({"part": table["part"][:1], "bits": pa.array([np.packbits(marked, bitorder="little").tobytes()], pa.binary())})
+
+    parts = documents.select("text").mapInArrow(deal, "part int, h binary").groupBy("part").applyInArrow(count, "part int, bits binary")
+    bitmap = np.zeros((2**bits, 2 ** (BITMAP - bits) // 8), np.uint8)
+    for row in parts.collect():  # one slice per range, 8 MB together at any size of the corpus
+        bitmap[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap.ravel()
+
 
-    rows = sample.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = rows.where("n >= 3").orderBy(F.desc("n"), "h").limit(SAMPLE_SHINGLES).select("h").toPandas()
-    return np.sort(rows["h"].to_numpy(np.int64).view(np.uint64))
+def _is_frequent(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values >> np.uint64(64 - BITMAP)
+    return bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1) == 1
 
 
 def _classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
@@ -164,8 +187,7 @@ def _classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
                 if not len(own):
                     short.append(b"")
                     continue
-                at = np.minimum(np.searchsorted(frequent, own), max(len(frequent) - 1, 0))
-                last = frequent[at] == own if len(frequent) else np.zeros(len(own), bool)
+                last = _is_frequent(frequent, own)
                 keep = len(own) - threshold(len(own), percent) + merge_bound(len(own), percent)
                 short.append(np.concatenate([own[~last], own[last]])[:keep].tobytes())
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
