@@ -42,6 +42,33 @@ def test_same_decisions_with_and_without(spark, tmp_path, monkeypatch):
         assert outcome(quick, part, spark) == expected
 
 
+def test_late_rows_are_scored_apart(spark, tmp_path):
+    """A batch with old rows beside new ones gives the same decisions, and the new ones still
+    prune history by day."""
+    rows = sorted(random_rows(43, 140, days=40), key=lambda r: r["timestamp"])
+    history, batch = rows[:90], rows[90:]
+    late = [tx(transaction_id=f"late{k}", card_id=r["card_id"], customer_id=r["customer_id"], amount=7.0 + k,
+               device_id="LATE", timestamp=r["timestamp"] - timedelta(days=d))
+            for k, (r, d) in enumerate(zip(batch, (0, 5, 25, 33), strict=False))]
+    plain, quick = (LayerStore(spark, str(tmp_path / n)) for n in ("plain", "quick"))
+    for store in (plain, quick):
+        store.append_new("raw", frame(spark, history))
+    day = batch[0]["timestamp"].date() - timedelta(days=1)
+    quick.write_snapshot(day - timedelta(days=9))
+    quick.write_snapshot(day)
+    expected = outcome(plain, batch + late, spark)
+    assert batches._late_border(quick, 0, 2**40) is not None
+    assert outcome(quick, batch + late, spark) == expected
+
+
+def test_snapshots_are_taken_at_day_borders(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    for k in range(4):
+        row = tx(transaction_id=f"t{k}", timestamp=START + timedelta(hours=13 * k))
+        process_batch(frame(spark, [row]), store, CONFIG, NOW, keep_snapshots=True).release()
+    assert len(store._snapshots()) == 3  # one for each day that began
+
+
 def test_snapshot_must_end_before_the_batch(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path))
     with pytest.raises(LookupError):

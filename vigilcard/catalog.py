@@ -8,7 +8,7 @@ across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -475,6 +475,22 @@ def layer_roundtrip_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_processed(spark, sf_dir).read("enriched"))
 
 
+@query("snapshot_scoring")
+def snapshot_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``layer_roundtrip_enriched``, from snapshots that late rows of history were added to."""
+    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    store = _store(spark, "layers")
+    late = F.substring("transaction_id", -1, 1) == "7"
+    store.append_new("raw", history.filter(~late))
+    for day in (date(2024, 1, 10), date(2024, 1, 19)):
+        store.write_snapshot(day)
+    rows = history.filter(late)
+    store.append_new("raw", rows)
+    store.add_late_rows(rows, None)
+    process_batch(batch, store, default_config(), DECIDED_AT, keep_snapshots=True).release()
+    return comparable(store.read("enriched"))
+
+
 @query("layer_roundtrip_alerts")
 def layer_roundtrip_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(_snapshot_fields(_processed(spark, sf_dir).read("alerts")))

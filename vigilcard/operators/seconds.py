@@ -325,7 +325,7 @@ def with_windows(
     snapshot=None,
     few_keys: bool = False,
 ) -> DataFrame:
-    """Adds the window features and predecessors of aligned batch rows.
+    """Adds the window features and predecessors of aligned batch rows, whose ids are unique.
 
     ``since`` is a lower bound, in epoch seconds, of the batch time and limits how much
     history is read. ``history_ended`` promises that history ends before the first second
@@ -336,35 +336,45 @@ def with_windows(
     if snapshot is not None and (since is None or snapshot.as_of > since - ONE_DAY):
         raise ValueError("a snapshot must end at least a day before the batch begins")
     beside = None if history is None or history_ended else since_seconds(history, since)
-    out = batch
+    # Each family works on a few columns and returns (transaction_id, features), so the wide
+    # rows are shuffled once, on the id, where all families meet.
+    found = []
     if "card" in families:
+        narrow = batch.select("card_key", "ts_epoch", "is_batch", *CARD_PAYLOAD)
         seconds = card_seconds(batch, history, since, snapshot, few_keys)
-        out = _with_row_before(out, beside, seconds, "card_key", CARD_PAYLOAD, as_of)
-        kept = [f"`{c}`" for c in batch.columns]
-        out = out.selectExpr(
-            *kept,
-            *[f"coalesce({c}, 0L) AS {c}" for c in ("velocity_1min", "velocity_5min", "velocity_1h")],
-            *[f"coalesce({c}, 0L) AS {c}" for c in ("velocity_24h", "count_10min")],
-            *[f"coalesce({c}, 0D) AS {c}" for c in ("sum_10min", "min_10min")],
-            "row_before.timestamp AS prev_ts",
-            *[f"row_before.{c} AS prev_{c}" for c in CARD_PAYLOAD[2:]],
-            "row_before.transaction_id AS previous_transaction_id",
+        found.append(
+            _with_row_before(narrow, beside, seconds, "card_key", CARD_PAYLOAD, as_of).selectExpr(
+                "transaction_id",
+                *[f"coalesce({c}, 0L) AS {c}" for c in ("velocity_1min", "velocity_5min", "velocity_1h")],
+                *[f"coalesce({c}, 0L) AS {c}" for c in ("velocity_24h", "count_10min")],
+                *[f"coalesce({c}, 0D) AS {c}" for c in ("sum_10min", "min_10min")],
+                "row_before.timestamp AS prev_ts",
+                *[f"row_before.{c} AS prev_{c}" for c in CARD_PAYLOAD[2:]],
+                "row_before.transaction_id AS previous_transaction_id",
+            )
         )
     if "customer" in families:
-        before = [f"`{c}`" for c in out.columns]
+        narrow = batch.select("transaction_id", "customer_key", "ts_epoch")
         seconds = customer_seconds(batch, history, since, few_keys)
-        out = out.join(seconds, ["customer_key", "ts_epoch"], "left").selectExpr(
-            *before,
-            "coalesce(amount_mean_90d, 0D) AS amount_mean_90d",
-            "coalesce(amount_std_90d, 0D) AS amount_std_90d",
-            "coalesce(amount_count_90d, 0L) AS amount_count_90d",
+        found.append(
+            narrow.join(seconds, ["customer_key", "ts_epoch"], "left").selectExpr(
+                "transaction_id",
+                "coalesce(amount_mean_90d, 0D) AS amount_mean_90d",
+                "coalesce(amount_std_90d, 0D) AS amount_std_90d",
+                "coalesce(amount_count_90d, 0L) AS amount_count_90d",
+            )
         )
     if "bin" in families:
-        before = [f"`{c}`" for c in out.columns]
+        narrow = batch.select("bin", "ts_epoch", "is_batch", *BIN_PAYLOAD)
         seconds = bin_seconds(batch, history, since, bin_window_seconds, snapshot, few_keys)
-        out = _with_row_before(out, beside, seconds, "bin", BIN_PAYLOAD, as_of).selectExpr(
-            *before,
-            "coalesce(bin_denials_15min, 0L) AS bin_denials_15min",
-            "coalesce(row_before.auth_result = 'approved', false) AS prev_bin_approved",
+        found.append(
+            _with_row_before(narrow, beside, seconds, "bin", BIN_PAYLOAD, as_of).selectExpr(
+                "transaction_id",
+                "coalesce(bin_denials_15min, 0L) AS bin_denials_15min",
+                "coalesce(row_before.auth_result = 'approved', false) AS prev_bin_approved",
+            )
         )
-    return out
+    out = batch
+    for features in found:
+        out = out.join(features, "transaction_id", "left")
+    return out.select(*[F.col(f"`{c}`") for c in batch.columns], *[c for f in found for c in f.columns[1:]])

@@ -29,6 +29,17 @@ class Snapshot:
     TABLES = ("last_card", "last_bin", "seen")
 
 
+def with_rows(snapshot: Snapshot, rows: DataFrame) -> Snapshot:
+    """The snapshot with those of the aligned rows that lie before it as possible last rows."""
+    old = rows.filter(F.col("ts_epoch") < snapshot.as_of)
+    return Snapshot(
+        snapshot.as_of,
+        snapshot.last_card.unionByName(old.select(*snapshot.last_card.columns)),
+        snapshot.last_bin.unionByName(old.select(*snapshot.last_bin.columns)),
+        snapshot.seen,
+    )
+
+
 def last_rows(rows: DataFrame, key: str, payload: tuple[str, ...]) -> DataFrame:
     """The last row per key in (second, id) order; combined on the map side."""
     latest = F.expr(f"max(struct(ts_epoch, {', '.join(payload)})) AS latest")

@@ -434,7 +434,7 @@ FROM feats WHERE {CONDITIONS[rule]}""")
     alerts = _on_scores(f"SELECT {ALERT_COLUMNS} FROM scored WHERE {ALERTED}")
     dated = "strftime(timestamp, '%Y-%m-%d') AS dt"
     out["enriched_transactions"] = enriched
-    out["stream_decisions"] = out["layer_roundtrip_enriched"] = _on_scores(
+    out["stream_decisions"] = out["layer_roundtrip_enriched"] = out["snapshot_scoring"] = _on_scores(
         f"SELECT {ENRICHED_COLUMNS}, {dated} FROM scored"
     )
     out["export_enriched_json"] = enriched

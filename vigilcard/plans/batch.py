@@ -50,6 +50,7 @@ def process_batch(
     decision_ts: datetime | None = None,
     write: bool = True,
     run: tuple[str | None, int | None] = (None, None),
+    keep_snapshots: bool = False,
 ) -> BatchResult:
     """Scores a batch against stored history and appends to every layer.
 
@@ -57,10 +58,14 @@ def process_batch(
     table, so no step recomputes the windows. Of rows that share an id the latest counts, see
     ``one_per_id``; rows without an id, and lines that a stream could not parse, go to the
     rejected layer. ``run`` is the query and epoch of a micro-batch, for the audit log.
+
+    With ``keep_snapshots`` the history snapshot is renewed at day borders, so that later
+    batches read little history. Rows too old for the newest snapshot are scored in a part of
+    their own and do not widen what the rest reads; no decision depends on either.
     """
     scratch = Scratch(store.spark)
     try:
-        return _process(batch, store, config, decision_ts, write, run, scratch)
+        return _process(batch, store, config, decision_ts, write, run, keep_snapshots, scratch)
     except BaseException:
         scratch.release()
         raise
@@ -73,27 +78,39 @@ def _process(
     decision_ts: datetime | None,
     write: bool,
     run: tuple[str | None, int | None],
+    keep_snapshots: bool,
     scratch: Scratch,
 ) -> BatchResult:
     moment = decision_ts or datetime.now(timezone.utc)
     now = decisions.timestamp_literal(moment)
     rows = scratch.stage(one_per_id(batch.select(*RAW.names)), "batch")
-    since, count, untimed = rows.agg(
-        F.min(F.unix_timestamp("timestamp")), F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())
+    second = F.unix_timestamp("timestamp")
+    since, until, count, untimed = rows.agg(
+        F.min(second), F.max(second), F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())
     ).first()
 
     history = store.read("raw")
     stored_ids = None
-    ended = False
-    snapshot = None
     if history is not None:
-        snapshot = None if since is None else store.snapshot_before(since - ONE_DAY)
         stored_ids = scratch.stage(store.ids_already_in("raw", rows), "stored-ids")
         if not stored_ids.isEmpty():
             history = history.join(stored_ids, "transaction_id", "left_anti")
-        ended = since is not None and since_seconds(history, since).isEmpty()
     few_keys = count <= BROADCAST_KEYS
-    scored = score_transactions(rows, history, config, moment, since, ended, snapshot, few_keys)
+
+    def score(part: DataFrame, begin: int | None, companions: DataFrame | None = None) -> DataFrame:
+        ended, snapshot = False, None
+        if history is not None and begin is not None:
+            ended = since_seconds(history, begin).isEmpty()
+            snapshot = store.snapshot_before(begin - ONE_DAY)
+        return score_transactions(part, history, config, moment, begin, ended, snapshot, few_keys, companions)
+
+    border = _late_border(store, since, until) if history is not None else None
+    if border is None:
+        scored = score(rows, since)
+    else:
+        late = rows.filter(F.col("timestamp") < F.timestamp_seconds(F.lit(border)))
+        rest = rows.filter(F.col("timestamp").isNull() | (F.col("timestamp") >= F.timestamp_seconds(F.lit(border))))
+        scored = score(late, since).unionByName(score(rest, border, late))
     scored = scratch.stage(scored, "scored")
     enriched = decisions.enriched_transactions(scored)
     alerts = decisions.alerts(scored)
@@ -107,9 +124,18 @@ def _process(
         store.append_new("alerts", alerts, unique=True)
         store.append_audit(decisions.audit_events(enriched, now, *run))
         store.write_profiles(card_profiles(enriched, now))
+        if keep_snapshots and since is not None:
+            store.maintain_snapshot(since)
     return BatchResult(enriched, alerts, scratch)
 
 
+def _late_border(store: LayerStore, since: int | None, until: int | None) -> int | None:
+    """The first second of a batch that its newest usable snapshot serves, if earlier rows of
+    the batch prevent its use; else None."""
+    newest = None if since is None else store.snapshot_before(until - ONE_DAY)
+    return newest.as_of + ONE_DAY if newest is not None and newest.as_of > since - ONE_DAY else None
+
+
 def backfill(
     spark: SparkSession,
     source: str,

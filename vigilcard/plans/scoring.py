@@ -14,7 +14,7 @@ from vigilcard.operators.decisions import timestamp_literal, with_decision
 from vigilcard.operators.novelty import seen_values, with_novelty
 from vigilcard.operators.rules import FAMILIES, fired_entries, needed_families, with_conditions
 from vigilcard.operators.seconds import with_windows
-from vigilcard.operators.snapshots import Snapshot
+from vigilcard.operators.snapshots import Snapshot, with_rows
 
 
 def with_row_features(
@@ -51,6 +51,7 @@ def transaction_features(
     families: tuple[str, ...] = FAMILIES,
     snapshot: Snapshot | None = None,
     few_keys: bool = False,
+    companions: DataFrame | None = None,
 ) -> DataFrame:
     """Batch rows with every unrounded feature of the chosen families.
 
@@ -60,12 +61,21 @@ def transaction_features(
     that step belongs before this one. ``since`` is a lower bound, in epoch seconds, of the
     batch time; ``history_ended`` promises that history ends before the batch begins. A
     ``snapshot`` replaces history before its day where only its last or distinct values
-    matter. ``few_keys`` allows to broadcast the keys of the batch.
+    matter. ``few_keys`` allows to broadcast the keys of the batch. ``companions`` are rows of
+    the same batch, all before ``since``, that are scored elsewhere: windows see them,
+    novelty does not.
     """
     rows = align(batch).withColumn("is_batch", F.lit(True))
     past = None if history is None else align(history).withColumn("is_batch", F.lit(False))
+    before, known = past, snapshot
+    if companions is not None:
+        beside = align(companions).withColumn("is_batch", F.lit(False))
+        if past is not None and "dt" in past.columns:
+            beside = beside.withColumn("dt", cards.utc_date(F.col("timestamp")))
+        before = beside if past is None else past.unionByName(beside)
+        known = None if snapshot is None else with_rows(snapshot, beside)
     featured = with_windows(
-        rows, past, since, config.bin_window_seconds, history_ended, families, snapshot=snapshot, few_keys=few_keys
+        rows, before, since, config.bin_window_seconds, history_ended, families, snapshot=known, few_keys=few_keys
     )
     if "novelty" in families:
         featured = with_novelty(featured, rows, _seen(past, rows, snapshot, few_keys))
@@ -78,14 +88,14 @@ def _seen(
 ) -> DataFrame | None:
     if past is None:
         return None
-    cards = F.broadcast(rows.select("card_id").distinct())
+    mine = F.broadcast(rows.select("card_id").distinct())
     recent = past if snapshot is None else since_seconds(past, snapshot.as_of)
     if few_keys:
-        recent = recent.join(cards, "card_id", "left_semi")
+        recent = recent.join(mine, "card_id", "left_semi")
     seen = seen_values(recent)
     if snapshot is None:
         return seen
-    older = snapshot.seen.join(cards, "card_id", "left_semi") if few_keys else snapshot.seen
+    older = snapshot.seen.join(mine, "card_id", "left_semi") if few_keys else snapshot.seen
     return seen.unionByName(older)
 
 
@@ -98,6 +108,7 @@ def score_transactions(
     history_ended: bool = False,
     snapshot: Snapshot | None = None,
     few_keys: bool = False,
+    companions: DataFrame | None = None,
 ) -> DataFrame:
     """Features and decisions of a batch, unrounded and lazy.
 
@@ -105,7 +116,7 @@ def score_transactions(
     """
     moment = decision_ts or datetime.now(timezone.utc)
     features = transaction_features(
-        batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys
+        batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys, companions=companions
     )
     return with_decision(features, config, timestamp_literal(moment))
 

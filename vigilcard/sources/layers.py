@@ -174,6 +174,13 @@ class LayerStore:
         index = self.spark.range(1).select(F.lit(second).cast("long").alias("as_of"))
         index.coalesce(1).write.mode("append").parquet(self.path("snapshots/index"))
 
+    def maintain_snapshot(self, second: int) -> None:
+        """Takes the snapshot that a batch of a later second of this day can use, if a day has
+        begun since the newest one: it ends a day or more before the day of ``second``."""
+        day = (second // 86400 - 1) * 86400
+        if self.read("raw") is not None and all(s < day for s in self._snapshots()):
+            self.write_snapshot(datetime.fromtimestamp(day, timezone.utc).date())
+
     def snapshot_before(self, second: int) -> Snapshot | None:
         """The newest snapshot that ends at or before a second."""
         usable = [s for s in self._snapshots() if s <= second]

@@ -22,6 +22,7 @@ def start_scoring(
     checkpoint: str | None = None,
     available_now: bool = False,
     decision_ts: datetime | None = None,
+    keep_snapshots: bool = True,
 ) -> StreamingQuery:
     """Starts scoring a stream of raw transactions into the layers.
 
@@ -38,7 +39,7 @@ def start_scoring(
             return
         local = LayerStore(batch.sparkSession, store.root)
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        result = process_batch(batch, local, config, decision_ts, run=(query_id, epoch))
+        result = process_batch(batch, local, config, decision_ts, run=(query_id, epoch), keep_snapshots=keep_snapshots)
         try:
             write_epoch_stats(result.enriched, local, epoch, query_id)
         finally:
