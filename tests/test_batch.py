@@ -151,6 +151,15 @@ def test_backfill_limit_is_in_time_order(spark, store, tmp_path):
     assert first_transactions(frame(spark, rows)).count() == 5
 
 
+@pytest.mark.parametrize("limit", [1, 2, 7, 23, 40, 59, 60, 99])
+def test_first_rows_are_those_of_a_full_sort(spark, limit):
+    moments = [None, None, *[START + timedelta(days=k % 3, seconds=k % 4, microseconds=k % 2) for k in range(58)]]
+    rows = [tx(transaction_id=f"t{n * 7 % 60:02}", timestamp=m) for n, m in enumerate(moments)]
+    expected = sorted(rows, key=lambda r: (r["timestamp"] is not None, r["timestamp"] or START, r["transaction_id"]))[:limit]
+    found = first_transactions(frame(spark, rows), limit)
+    assert sorted(r.transaction_id for r in found.collect()) == sorted(r["transaction_id"] for r in expected)
+
+
 def test_profiles_keep_last_present_values(spark):
     rows = [
         tx(transaction_id="a", device_id="D1", amount=1.0),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilcard.config import EngineConfig
@@ -151,5 +151,32 @@ def backfill(
 
 
 def first_transactions(rows: DataFrame, limit: int = 0) -> DataFrame:
-    """The first ``limit`` rows by time and id; all rows when ``limit`` is 0."""
-    return rows.orderBy("timestamp", "transaction_id").limit(limit) if limit > 0 else rows
+    """The first ``limit`` rows by time and id; all rows when ``limit`` is 0.
+
+    Counts per day, then per second of one day, find the second in which the limit falls, so
+    that only rows of that second are put in order; rows without a time come first.
+    """
+    if limit <= 0:
+        return rows
+    second = F.unix_seconds("timestamp")
+    day = F.floor(second / 86400)
+    before_day, limit = _reached(rows, day, limit)
+    if before_day is None:
+        return rows
+    in_day = rows.filter(day.eqNullSafe(F.lit(before_day[0])))
+    before_second, limit = _reached(in_day, second, limit)
+    earlier = rows.filter(before_day[1](day) | (day.eqNullSafe(F.lit(before_day[0])) & before_second[1](second)))
+    last = in_day.filter(second.eqNullSafe(F.lit(before_second[0])))
+    return earlier.unionByName(last.orderBy("timestamp", "transaction_id").limit(limit))
+
+
+def _reached(rows: DataFrame, unit: Column, limit: int) -> tuple[tuple | None, int]:
+    """The unit of time in which ``limit`` rows are reached, as (unit, condition for earlier
+    ones), and how many of its rows are needed; None when there are fewer rows."""
+    counts = rows.groupBy(unit.alias("unit")).count().orderBy(F.asc_nulls_first("unit")).collect()
+    for unit_, n in counts:
+        if n >= limit:
+            none = F.lit(False)
+            return (unit_, (lambda c: none) if unit_ is None else (lambda c: c.isNull() | (c < unit_))), limit
+        limit -= n
+    return None, limit
