@@ -135,7 +135,7 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 def _frequent(documents: DataFrame, n: int) -> np.ndarray:
     """Bitmap of the shingles that are in more than ``LIST`` documents."""
     total = documents.agg(F.sum(F.length(text_or_empty()))).first()[0] or 0
-    bits = min(12, max(4, math.ceil(math.log2(total / 6 / COUNTED + 1))))  # a word takes some six characters
+    bits = min(18, max(4, math.ceil(math.log2(total / 6 / COUNTED + 1))))  # a word takes some six characters
     top, low = np.uint64(64 - bits), np.uint64(32 - bits)
 
     def deal(batches):
