@@ -28,8 +28,11 @@ dictionary and plain zstandard frames.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +43,18 @@ from pyspark.sql import functions as F
 from vigilcard.llm.common import pieces
 from vigilcard.sources.scratch import scratch_path
 
+# How the vocabulary's tokenizer cuts lower-cased text.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
+# The letter that byte-level vocabularies write for each byte: itself if it is a visible Latin-1
+# sign, else the next of the letters from U+0100 on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: chr(0x100 + k) for k, b in enumerate(sorted(set(range(256)).difference(_VISIBLE)))}
+# Beyond Latin letters up to U+017F (without those that change under lower-casing or
+# normalisation in their own ways) and common signs, a text is encoded whole.
+_UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u017e\\u2013-\\u201d\\u20ac]")
 MAGIC = b"VTOK1\0\0\0"
 END = 1
+_END = np.array([END], np.uint32).tobytes()
 FRAME, FRAME_DOCUMENTS = 4_000_000, 4096
 SAMPLE, SAMPLE_IDS = 400, 4096
 DICTIONARY_BYTES = 65_536
@@ -49,32 +62,76 @@ LEVEL = 3
 _CACHED = 200_000
 
 
+class _Pieces(dict):
+    """Ids of the pieces the tokenizer's model sees, as bytes."""
+
+    def __init__(self, tokenizer) -> None:
+        self.model = tokenizer.model
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > _CACHED:
+            self.clear()
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        self[piece] = found = array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+        return found
+
+
+class _Words(dict):
+    """Ids of lower-cased words between white space, as bytes."""
+
+    def __init__(self, pieces: _Pieces) -> None:
+        self.pieces = pieces
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > _CACHED:
+            self.clear()
+        if word.isalpha():
+            found = self.pieces[word]
+        elif word[:-1].isalpha():  # one digit or sign at the end is a piece of its own
+            found = self.pieces[word[:-1]] + self.pieces[word[-1]]
+        else:
+            found = b"".join(map(self.pieces.__getitem__, _PIECE.findall(word)))
+        self[word] = found
+        return found
+
+
 class Encoder:
-    """Ids of a text. The tokenizer cuts at white space in any case, so pieces between spaces
-    and line feeds are encoded on their own and cached (bounded)."""
+    """Ids of a text.
+
+    The tokenizer lower-cases, cuts a text into letter runs, digits, runs of signs and English
+    endings, and gives each piece to its model. In texts of Latin letters and common signs the
+    same pieces are cut here, and the model is asked once for each distinct piece (words and
+    pieces are cached, bounded). Any other text is given to the tokenizer whole: where Unicode
+    versions, normalisation, letters that lower-case by context or special tokens could differ.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.words = _Words(_Pieces(self.tokenizer))
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        if len(self.known) > _CACHED:
-            self.known.clear()
-        known, cut = self.known, [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*cut).difference(known))
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, np.uint32).tobytes()
-        end = np.array([END], np.uint32).tobytes()
-        return [np.frombuffer(b"".join(map(known.__getitem__, p)) + end, np.uint32) for p in cut]
+        return [np.frombuffer(self.encode(t or "") + _END, np.uint32) for t in texts]
+
+    def encode(self, text: str) -> bytes:
+        if _UNUSUAL.search(text) or "<|" in text:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder; its caches serve all tasks of a worker."""
+    return Encoder(path)
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    given = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=given, write_dict_id=False, write_content_size=True)
+    if not dictionary:
+        return zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
+    given = zstandard.ZstdCompressionDict(dictionary)
+    given.precompute_compress(level=LEVEL)
+    return zstandard.ZstdCompressor(dict_data=given, write_dict_id=False, write_content_size=True)
 
 
 def write_frame(ids: list[int | None], bodies: list[bytes], counts: list[int], width: int, hash_: bytes) -> bytes:
@@ -116,9 +173,9 @@ def train_dictionary(documents: DataFrame, tokenizer: str, width: int) -> bytes:
     kind = "<u2" if width == 2 else "<u4"
 
     def sample(batches):
-        encoder = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in pieces(batches):
-            found = [x[:SAMPLE_IDS].astype(kind).tobytes() for x in encoder(batch["text"].to_pylist())]
+            found = [x[:SAMPLE_IDS].astype(kind).tobytes() for x in encode(batch["text"].to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
 
     rows = documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text").mapInArrow(sample, "ids binary")
@@ -143,7 +200,7 @@ def write_store(documents: DataFrame, path: str, tokenizer: str) -> None:
     kind = "<u2" if width == 2 else "<u4"
 
     def run(batches):
-        encoder, compressor = Encoder(tokenizer), _compressor(sent.value)
+        encode, compressor = encoder(tokenizer), _compressor(sent.value)
         ids, bodies, counts, seq, size, part = [], [], [], 0, 0, None
 
         def frame():
@@ -153,9 +210,9 @@ def write_store(documents: DataFrame, path: str, tokenizer: str) -> None:
                  pa.array([write_frame(ids, bodies, counts, width, hash_)], pa.binary())],
                 names=["part", "seq", "first_id", "last_id", "documents", "tokens", "frame"])
 
-        for batch in pieces(batches, 256):
+        for batch in pieces(batches, 128):
             part = batch["part"][0].as_py()
-            for doc_id, found in zip(batch["doc_id"].to_pylist(), encoder(batch["text"].to_pylist()), strict=True):
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), encode(batch["text"].to_pylist()), strict=True):
                 body = compressor.compress(found.astype(kind).tobytes())
                 if ids and (size + len(body) > FRAME or len(ids) >= FRAME_DOCUMENTS):
                     yield frame()
@@ -167,7 +224,8 @@ def write_store(documents: DataFrame, path: str, tokenizer: str) -> None:
         if ids:
             yield frame()
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Small parts: a task sorts and sends its texts to Python in memory.
+    parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text").withColumn("part", F.spark_partition_id())
     rows.mapInArrow(run, "part int, seq int, first_id long, last_id long, documents int, tokens long, frame binary").write.parquet(f"{path}/frames")
