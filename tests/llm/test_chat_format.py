@@ -1,11 +1,8 @@
 """Formatting and reading back against a plain Python rendering."""
 
 import hashlib
-import os
 import random
 
-import pytest
-
 from vigilcard.llm import chat_format
 
 
@@ -49,17 +46,3 @@ def test_digests(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat_format.digest(chat_format.format_conversations(df)).count() == 0
-
-
-SF_DIR = "/root/testdata/sf0.001"
-
-
-@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data is not here")
-def test_query_equals_sql(spark):
-    duckdb = pytest.importorskip("duckdb")
-    duck = duckdb.connect()
-    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF_DIR}/conversations.parquet'")
-    answer = duck.execute(chat_format.ORACLE)
-    names = [d[0] for d in answer.description]
-    found = chat_format.query(spark, SF_DIR).select(*names).collect()
-    assert sorted(map(tuple, found), key=repr) == sorted(answer.fetchall(), key=repr)

@@ -1,6 +1,5 @@
 """The mix against its closed form, its targets against resharing round by round."""
 
-import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -85,15 +84,3 @@ def test_every_stretch_of_slots_has_the_shares(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert source_mix.taken(df).count() == 0 and source_mix.apply(df).count() == 0
-
-
-SF_DIR = "/root/testdata/sf0.001"
-
-
-@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data is not here")
-def test_query_equals_sql(spark):
-    duck = pytest.importorskip("duckdb").connect()
-    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
-    answer = duck.execute(source_mix.ORACLE)
-    found = source_mix.query(spark, SF_DIR).select(*[d[0] for d in answer.description]).collect()
-    assert sorted(map(tuple, found)) == sorted(answer.fetchall())

@@ -23,4 +23,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_source_mix": source_mix.ORACLE,
     "op5_chat_format": chat_format.ORACLE,
+    "op8_license_scan": license_scan.oracle(),
+    "op9_embedding_dedup": embedding_dedup.ORACLE,
+    "op10_ngram_join": ngram_join.ORACLE,
 }

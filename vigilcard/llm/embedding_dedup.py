@@ -240,3 +240,21 @@ def deduplicate(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op9: links of cosine 0.9 or more between all embeddings."""
     return deduplicate(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: All cosines, for tables whose ids are present and distinct.
+ORACLE = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), linked AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN linked l ON l.a = r.other
+)
+SELECT e.vec_id, (SELECT count(*) FROM linked l WHERE l.a = e.vec_id) AS n_links, min(r.other) AS component_id,
+       min(r.other) = e.vec_id AS kept
+FROM embeddings e JOIN reached r ON r.vec_id = e.vec_id GROUP BY e.vec_id
+"""

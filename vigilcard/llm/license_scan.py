@@ -108,3 +108,29 @@ def scan(documents: DataFrame, templates: dict[str, str] = TEMPLATES, limit: flo
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op8: licenses named in all documents."""
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def oracle() -> str:
+    """Exact containment of every template in every window, without hashes."""
+    values = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES.items())
+    cut = "list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i : i + 4], ' '))"
+    return f"""
+WITH templates AS (
+  SELECT license, list_distinct({cut}) AS own
+  FROM (SELECT license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM (VALUES {values}) AS t(license, text))
+), wanted AS (
+  SELECT list(DISTINCT s) AS every FROM (SELECT unnest(own) AS s FROM templates)
+), texts AS (
+  SELECT doc_id, {cut} AS shingles
+  FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w FROM documents)
+), candidates AS (
+  SELECT doc_id, shingles FROM texts, wanted WHERE list_has_any(shingles, every)
+), windows AS (
+  SELECT doc_id, license, own, len(own) AS m, shingles,
+         unnest(range(0, len(shingles), len(own) // 2 + 1)) AS start FROM candidates, templates
+), shares AS (
+  SELECT doc_id, license, start,
+         len(list_intersect(own, shingles[start + 1 : start + m + (m + 1) // 2])) / m AS share FROM windows
+)
+SELECT doc_id, license, max(share) AS share, count(*) AS n_windows, min(start) AS first_word
+FROM shares WHERE share >= {LIMIT} GROUP BY doc_id, license"""

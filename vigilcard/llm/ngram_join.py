@@ -335,3 +335,28 @@ def keep_one(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op10: 4-word shingles, Jaccard of at least 0.85."""
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85)
+
+
+#: All pairs through the shingles they share, for tables whose ids are present and distinct.
+ORACLE = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingled AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM worded WHERE len(w) > 0)
+), sized AS (
+  SELECT d.doc_id, count(s.s) AS n FROM documents d LEFT JOIN shingled s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingled a JOIN shingled b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), linked AS (
+  SELECT m.a, m.b FROM met m JOIN sized x ON x.doc_id = m.a JOIN sized y ON y.doc_id = m.b
+  WHERE 100 * m.n >= 85 * (x.n + y.n - m.n)
+), edges AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM sized UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other
+)
+SELECT s.doc_id, s.n AS n_shingles, min(r.other) AS component_id
+FROM sized s JOIN reached r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.n
+"""
