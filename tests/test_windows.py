@@ -103,3 +103,15 @@ def test_deviation_of_large_amounts(spark, base):
     got = collect(transaction_features(frame(spark, [*old, *rows, last]), None, CONFIG), "amount_std_90d", "amount_mean_90d")
     assert got["last"]["amount_std_90d"] == pytest.approx(statistics.stdev(near), rel=1e-6)
     assert got["last"]["amount_mean_90d"] == pytest.approx(statistics.fmean(near), rel=1e-12)
+
+
+def test_wide_rows_are_shuffled_once(spark):
+    """Only one exchange carries a column that no feature needs."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = transaction_features(frame(spark, [tx()]), frame(spark, [tx(transaction_id="h")]), CONFIG)
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sections = [s for s in text.split("\n\n") if s.startswith("(") and ") Exchange" in s.splitlines()[0]]
+    assert sections and sum("merchant_country" in s for s in sections) == 1

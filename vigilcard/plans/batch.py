@@ -91,9 +91,13 @@ def _process(
 
     history = store.read("raw")
     stored_ids = None
+    # Raw is written first: an id that it lacks is in no other layer, so a batch without
+    # repeated ids looks ids up once.
+    fresh = history is None and store.read("enriched") is None
     if history is not None:
         stored_ids = scratch.stage(store.ids_already_in("raw", rows), "stored-ids")
-        if not stored_ids.isEmpty():
+        fresh = stored_ids.isEmpty()
+        if not fresh:
             history = history.join(stored_ids, "transaction_id", "left_anti")
     few_keys = count <= BROADCAST_KEYS
 
@@ -120,8 +124,8 @@ def _process(
         store.append_rejected(without_id, "no transaction id", *run)
         store.append_new("raw", rows, stored_ids, unique=True)
         store.add_late_rows(rows, None if untimed else since)
-        store.append_new("enriched", enriched, unique=True)
-        store.append_new("alerts", alerts, unique=True)
+        store.append_new("enriched", enriched, unique=True, fresh=fresh)
+        store.append_new("alerts", alerts, unique=True, fresh=fresh)
         store.append_audit(decisions.audit_events(enriched, now, *run))
         store.write_profiles(card_profiles(enriched, now))
         if keep_snapshots and since is not None:

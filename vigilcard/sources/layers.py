@@ -74,19 +74,24 @@ class LayerStore:
         return merge_deltas([(seq, self._read(folder, PROFILE)) for _, seq, folder in deltas])
 
     def append_new(
-        self, layer: str, df: DataFrame, stored_ids: DataFrame | None = None, unique: bool = False
+        self,
+        layer: str,
+        df: DataFrame,
+        stored_ids: DataFrame | None = None,
+        unique: bool = False,
+        fresh: bool = False,
     ) -> None:
         """Appends the rows whose id is not stored yet; stored rows are never changed.
 
         ``unique`` says that every row has an id of its own; otherwise rows without an id go to
         the rejected layer and one row of each id is taken, see ``one_per_id``. ``stored_ids``
-        may hand over the ids of ``df`` that are known to be stored.
+        may hand over the ids of ``df`` that are known to be stored; ``fresh`` says that none is.
         """
         rows = df.select(*SCHEMAS[layer].names)
         if not unique:
             self.append_rejected(rows.filter("transaction_id IS NULL"), f"no id for {layer}")
             rows = one_per_id(rows)
-        met = self.ids_already_in(layer, rows) if stored_ids is None else stored_ids
+        met = self.ids_already_in(layer, rows) if stored_ids is None and not fresh else stored_ids
         if met is not None:
             rows = rows.join(met, "transaction_id", "left_anti")
         self._write(layer, rows)
