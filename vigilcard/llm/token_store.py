@@ -59,7 +59,7 @@ FRAME, FRAME_DOCUMENTS = 4_000_000, 4096
 SAMPLE, SAMPLE_IDS = 400, 4096
 DICTIONARY_BYTES = 65_536
 LEVEL = 3
-_CACHED = 200_000
+_CACHED = 500_000
 
 
 class _Pieces(dict):
