@@ -61,6 +61,20 @@ def test_recall_at_the_threshold(spark):
     assert 0.9 * 600 <= found <= sum(n for n, _ in brute(rows).values())
 
 
+@pytest.mark.parametrize("dimension", [16, 32, 64, 384])
+@pytest.mark.parametrize("vectors", [600, 1_000_000, 30_000_000])
+def test_recall_of_the_plan_at_any_size(vectors, dimension):
+    rng = np.random.default_rng(6)
+    x, y = rng.standard_normal((2, 4000, dimension))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y -= (x * y).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + math.sqrt(1 - 0.9**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    bits, bands = dedup.band_plan(vectors, dimension, 0.9, 0.98)
+    assert bits >= min(dimension, round(math.log2(vectors)) - 3)
+    shared = (dedup.band_keys(x, bits, bands) == dedup.band_keys(y, bits, bands)).any(axis=1)
+    assert shared.mean() >= 0.97
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(4)
     unit = rng.standard_normal((400, 64))

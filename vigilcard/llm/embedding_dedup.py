@@ -8,10 +8,11 @@ for a chance of 2 exp(-e^2 / 2) or so. A pair whose estimate plus bound stays be
 threshold is dropped; every other pair has its cosine recomputed in double precision, so no
 link is ever below the threshold.
 
-Candidates come from the same codes. ``bands`` bands take ``bits`` bits of several rotations
-each; vectors that agree in a band share a bucket. ``bits`` grows with the logarithm of the
-number of vectors, so buckets stay small, and ``bands`` is set so that a pair at the threshold
-shares a bucket with the chance ``recall``. A pair counts in the first band it shares only.
+Candidates come from codes too. ``bands`` bands take ``bits`` bits each, no bit twice, from as many
+rotations as that needs; vectors that agree in a band share a bucket. ``bits`` grows with the
+logarithm of the number of vectors, so buckets stay small, and ``bands`` is set by the measured
+chance of a miss so that a pair at the threshold shares a bucket with the chance ``recall``, at
+any number of vectors. A pair counts in the first band it shares only.
 
 Equal vectors are one class from the start. Buckets of more than ``BLOCK`` classes are cut into
 blocks, and every pair of blocks is a task of its own, so no group is gathered whole. Tasks
@@ -38,11 +39,9 @@ from vigilcard.llm.common import Forest, connected_components, stage
 BLOCK = 2048
 #: Standard deviations of the estimate's error that the confidence bound allows.
 CONFIDENCE = 4.5
-#: Rotations whose bits the bands draw on.
-ROTATIONS = 4
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=256)
 def rotation(dimension: int, number: int) -> np.ndarray:
     """A fixed random orthogonal matrix."""
     rng = np.random.Generator(np.random.PCG64([dimension, number]))
@@ -50,22 +49,46 @@ def rotation(dimension: int, number: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+@lru_cache(maxsize=64)
+def _missed(dimension: int, bits: int, threshold: float) -> np.ndarray:
+    """Chance that a pair at the threshold shares none of the first 0, 1, 2, ... bands of a random
+    rotation, measured on random pairs, plus two standard errors."""
+    per, rng = dimension // bits, np.random.Generator(np.random.PCG64([dimension, bits]))
+    rows, step = max(4_000, 40_000 // per), max(1, 1_000_000 // dimension)
+    first = np.zeros(per + 1, np.int64)
+    for start in range(0, rows, step):
+        x, y = rng.standard_normal((2, min(step, rows - start), dimension))
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        y *= math.sqrt(max(0.0, 1 - threshold**2)) / np.maximum(np.sqrt((y * y).sum(axis=1, keepdims=True)), 1e-300)
+        same = (x > 0) == (threshold * x + y > 0)
+        shared = same[:, : per * bits].reshape(len(x), per, bits).all(axis=2)
+        first += np.bincount(np.where(shared.any(axis=1), shared.argmax(axis=1), per), minlength=per + 1)
+    missed = 1 - np.concatenate(([0], np.cumsum(first[:-1]))) / rows
+    return np.minimum(1.0, missed + 2 * np.sqrt(missed * (1 - missed) / rows))
+
+
+@lru_cache(maxsize=64)
 def band_plan(vectors: int, dimension: int, threshold: float, recall: float) -> tuple[int, int]:
     """Bits of a band and number of bands."""
-    agree = 1 - math.acos(min(1.0, threshold)) / math.pi
-    bits = max(4, min(round(math.log2(max(vectors, 2))) - 3, 40, dimension))
-    return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - agree**bits)))
+    bits = min(max(4, min(round(math.log2(max(vectors, 2))) - 3, 40)), dimension)
+    missed, allowed = _missed(dimension, bits, min(1.0, threshold)), max(1 - recall, 1e-9)
+    per, whole = dimension // bits, 0  # rotations are independent, so their chances multiply
+    if 0 < missed[-1] < 1:
+        whole = max(0, math.ceil(math.log(allowed) / math.log(missed[-1])) - 1)
+    return bits, max(1, whole * per + int(np.argmax(missed[-1] ** whole * missed <= allowed)))
 
 
 def band_keys(unit: np.ndarray, bits: int, bands: int) -> np.ndarray:
-    """Bucket of each vector in each band: bits of rotated coordinates, as integers."""
+    """Bucket of each vector in each band: bits of rotated coordinates, as integers. No two bands
+    share a bit; a rotation gives as many bands as it has bits for."""
     dimension = unit.shape[1]
-    signs = np.concatenate([unit @ rotation(dimension, r) > 0 for r in range(ROTATIONS)], axis=1)
-    rng = np.random.Generator(np.random.PCG64([dimension, bits, bands]))
+    per, powers = dimension // bits, 1 << np.arange(bits, dtype=np.int64)[::-1]
     keys = np.zeros((len(unit), bands), np.int64)
-    for band in range(bands):
-        for bit in rng.choice(signs.shape[1], bits, replace=False):
-            keys[:, band] = keys[:, band] * 2 + signs[:, bit]
+    for start in range(0, bands, per):
+        count = min(per, bands - start)
+        signs = unit @ rotation(dimension, start // per)[:, : count * bits] > 0
+        keys[:, start : start + count] = signs.reshape(len(unit), count, bits) @ powers
     return keys
 
 
