@@ -1,10 +1,12 @@
 """The mix against its closed form, its targets against resharing round by round."""
 
+import math
 import random
 import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from vigilcard.llm import source_mix
 
@@ -81,6 +83,29 @@ def test_every_stretch_of_slots_has_the_shares(spark):
             assert abs(n - goal[sid] * 500) <= 8
 
 
+def test_many_slots(spark):
+    rows = [("big", 800_000_000)] + [(f"s{k:03}", size) for k, size in enumerate([1, 400, 900, 1_700, 3_000, 6_000, 20_000, 60_000] * 12)]
+    sized = spark.createDataFrame([(k, s, n) for k, (s, n) in enumerate(rows)], "doc_id long, source string, size long")
+    goals = source_mix.targets(sized, share=1.0, epochs=1).cache()
+    total = goals.agg({"total": "max"}).first()[0]
+    found = source_mix.slots(spark, goals, total).cache()
+    got = {r.sid: (r.n, r.blocks, r.last) for r in found.groupBy("sid").agg(
+        F.count("*").alias("n"), F.countDistinct("block").alias("blocks"), F.max("block").alias("last")).collect()}
+    for r in goals.collect():
+        n = max(1, math.floor(r.target / 1024 + 0.5))
+        assert got[r.sid] == (n, n, n - 1)
+    assert sum(n for n, *_ in got.values()) > source_mix.EVEN
+    assert found.agg(F.countDistinct("slot")).first()[0] == found.agg(F.max("slot")).first()[0] + 1
+
+
+@pytest.mark.parametrize("n", [600_001, 1_048_576, 7_324_219, 1_000_000_007])
+def test_places_are_even_at_any_number_of_slots(n):
+    step, places = source_mix.lattice_step(n), 50_000
+    assert math.gcd(step, n) == 1
+    at = sorted(k * step % n for k in range(places))
+    assert max(b - a for a, b in zip(at, at[1:], strict=False)) <= 6 * n / places
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert source_mix.taken(df).count() == 0 and source_mix.apply(df).count() == 0

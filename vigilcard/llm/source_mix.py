@@ -7,8 +7,11 @@ lies above is dealt again by weight until nothing does. With sources in the orde
 
 Schedule. The mix is a row of slots of equal word counts. Slot k takes the point k * g mod 1,
 g the golden ratio (in 31-bit integers), and the source whose part of the cumulative targets
-holds it; so every stretch of slots has nearly the target shares. The j-th slot of a source
-takes block j of its stream: its documents in a hashed order, word after word, again and again.
+holds it; so every stretch of slots has nearly the target shares. These points are even for some
+500,000 slots only. Of more than ``EVEN`` slots each source gets its target in whole slots (at
+least one if its target is above 0), and slot k takes place k * step mod n of the n places that
+the sources share out; a step whose ratio to n has small partial quotients alone (as the golden
+ratio has) is looked for, so that stretches have the shares at any n. The j-th slot of a source takes block j of its stream: its documents in a hashed order, word after word, again and again.
 Slots and pieces of documents meet in a join on (source, block).
 
 Ranks and positions are running counts within chunks of slots and within hashed buckets of a
@@ -33,6 +36,8 @@ from vigilcard.llm.common import stage, text_or_empty, word_count
 POINTS, STEP = 2**31, 1_327_217_885
 #: Words of a slot at most, and the slots that a small mix is cut into.
 SLOT_WORDS, SLOTS = 1024, 2**18
+#: Slots up to which the points are even; only mixes whose slots have SLOT_WORDS have more.
+EVEN = 2 * SLOTS
 CELLS, CHUNK, BUCKETS = 1024, 2**14, 1024
 _PRIME = 2**31 - 1
 
@@ -82,13 +87,39 @@ def slot_words(total: float) -> int:
     return max(1, min(SLOT_WORDS, math.floor(total / SLOTS)))
 
 
+def lattice_step(n: int) -> int:
+    """A step prime to n whose ratio to n has the least greatest partial quotient among the 4,096
+    steps next to n / golden ratio; n times the step has to fit a long."""
+    def greatest(step: int) -> int:
+        a, b, most = n, step, 0
+        while b:
+            a, b, most = b, a % b, max(most, a // b)
+        return most if a == 1 else n
+
+    middle = round(n * (math.sqrt(5) - 1) / 2)
+    return min(range(max(1, middle - 2048), min(n, middle + 2048)), key=lambda step: (greatest(step), abs(step - middle)))
+
+
+def shared_out(goals: DataFrame) -> DataFrame:
+    """The places of each source among all: sid, lower, upper."""
+    count = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.floor(F.col("target") / SLOT_WORDS + 0.5))).otherwise(0).cast("long")
+    upper = F.sum("count").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0))
+    return goals.withColumn("count", count).withColumn("upper", upper).select(
+        "sid", (F.col("upper") - F.col("count")).alias("lower"), "upper")
+
+
 def slots(spark: SparkSession, goals: DataFrame, total: float) -> DataFrame:
     """The schedule of sources: slot, sid, block (rank of the slot in its source)."""
-    shift = int(math.log2(POINTS // CELLS))
+    count, modulus, step = math.floor(total / slot_words(total) + 0.5), POINTS, STEP
+    if count > EVEN:
+        goals = shared_out(goals)
+        count = modulus = goals.agg(F.max("upper")).first()[0]
+        step = lattice_step(count)
+    shift = max(0, math.ceil(math.log2(modulus / CELLS)))
     parts = goals.where("upper > lower").select("sid", "lower", "upper", F.explode(F.sequence(
         F.shiftright("lower", shift), F.shiftright(F.col("upper") - 1, shift))).alias("cell"))
-    points = spark.range(math.floor(total / slot_words(total) + 0.5)).select(
-        F.col("id").alias("slot"), (((F.col("id") % POINTS) * STEP) % POINTS).alias("point"))
+    points = spark.range(count).select(
+        F.col("id").alias("slot"), (((F.col("id") % modulus) * step) % modulus).alias("point"))
     points = points.withColumn("cell", F.shiftright("point", shift))
     found = points.join(parts, "cell").where("point >= lower AND point < upper").select(
         "slot", "sid", (F.col("slot") / CHUNK).cast("long").alias("chunk"))
@@ -169,7 +200,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
-#: The same in closed form: a source's slots cover the beginning of its stream.
+#: The same in closed form: a source's slots cover the beginning of its stream. For mixes of at
+#: most EVEN slots (2**29 words).
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
