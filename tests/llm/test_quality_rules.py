@@ -100,6 +100,21 @@ def test_counts_distances_and_verdicts(spark):
         assert r.kept == (not r.base_failed and not far)
 
 
+def test_any_language_has_its_own_reference(spark, tmp_path):
+    rng = random.Random(5)
+    russian, english = "и в не на я быть он с что а дом вода город книга".split(), "the of and to in is cat dog house water".split()
+    some = lambda words, n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(some(english, 120) + ".", "en") for _ in range(60)] + [(some(russian, 120) + ".", "ru") for _ in range(30)]
+    bad = [("#### $$$$ 12345 |||| " * 2 + some(["@@@@9", "%%%%1", "&&&&7", "~~~~3", "99"], 80), "ru") for _ in range(2)]
+    rows += [*bad, (some(["ναι", "όχι", "και", "σπίτι"], 100), "el"), (some(russian, 100), None)]
+    df = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in rules.query(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows) and all(found[k].kept and found[k].class_distance is not None for k in range(90))
+    assert not any(found[k].kept for k in (90, 91))
+    assert all(found[k].kept and found[k].class_distance is None for k in (92, 93))
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert rules.judge(df).count() == 0

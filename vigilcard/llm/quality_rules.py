@@ -4,14 +4,16 @@ A text has two histograms: of its characters over classes, and of its words over
 of common words of some languages and "other". The reference of a language is the sum over the
 documents of that language that pass the base rules (see ``judge``). A text is rejected if the Jensen-Shannon
 distance (base 2, 0 to 1) of either histogram from its reference is above a limit. Guards:
-texts under ``min_words`` words are not compared, and a language whose documents have fewer than
-``min_reference`` words together, or that is not in ``languages``, is compared with all documents.
+texts under ``min_words`` words are not compared. With ``languages`` None, as in the query, every
+value of the lang column is a language; one whose documents have fewer than ``min_reference``
+words together has no reference, and its texts and those without language are not compared. With a
+list of languages, what is not in the list or has no reference is compared with all documents.
 
 Only Spark SQL functions are used. Texts are read once; what later steps need are narrow rows
-of counts. References are one row per listed language and one for all.
+of counts. References are one row per language and, with a list, one for all.
 
 Defined cases: a null or empty text has no words, fails the base rules and is not kept; a null
-language is an unlisted one; repeated rows count each time; ids play no role and may be null;
+language is an unlisted one; without a list, the value ``*`` is one like null; repeated rows count each time; ids play no role and may be null;
 an empty table gives an empty result; other columns are ignored.
 """
 
@@ -65,10 +67,11 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) > WINDOW, let(windows, covered)).otherwise(0)
 
 
-def measure(documents: DataFrame) -> DataFrame:
+def measure(documents: DataFrame, languages: tuple[str, ...] | None = LANGUAGES) -> DataFrame:
     """Counts of each document: doc_id, language, the base columns, character classes and the
     common words it has with their counts."""
-    lang = F.when(F.col("lang").isin(*LANGUAGES), F.col("lang")).otherwise(ALL)
+    listed = F.col("lang").isNotNull() if languages is None else F.col("lang").isin(*languages)
+    lang = F.when(listed, F.col("lang")).otherwise(ALL)
     rows = documents.select("doc_id", lang.alias("language"), text_or_empty().alias("text"))
     rows = rows.select("*", F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.col("text").alias("rest"), F.length("text").alias("left"))
     counts = []
@@ -88,10 +91,13 @@ def measure(documents: DataFrame) -> DataFrame:
         F.array(*counts, F.col("left").cast("long")).alias("classes"), counted.alias("common"))
 
 
-def references(measured: DataFrame, min_reference: int) -> DataFrame:
-    """language, class_shares, word_shares (map): one row for each listed language, and ``*``."""
+def references(measured: DataFrame, min_reference: int, with_all: bool = True) -> DataFrame:
+    """language, class_shares, word_shares (map): one row for each language with a reference, and
+    ``*`` if all documents are one too."""
     width = len(CLASSES) + 1
-    rows = measured.withColumn("language", F.explode(F.array_distinct(F.array("language", F.lit(ALL)))))
+    rows = measured.where(F.col("language") != ALL)
+    if with_all:
+        rows = measured.withColumn("language", F.explode(F.array_distinct(F.array("language", F.lit(ALL)))))
     sums = rows.groupBy("language").agg(
         F.sum("n_words").alias("words"), F.array(*(F.sum(F.col("classes")[k]) for k in range(width))).alias("sums"))
     words = rows.select("language", F.explode("common").alias("w")).groupBy("language", "w.word").agg(F.sum("w.n").alias("n"))
@@ -115,14 +121,14 @@ def _distance(divergence: Column) -> Column:
     return F.sqrt(F.least(F.greatest(divergence, F.lit(0.0)), F.lit(1.0)))
 
 
-def distances(measured: DataFrame, good: DataFrame, min_words: int, min_reference: int) -> DataFrame:
+def distances(measured: DataFrame, good: DataFrame, min_words: int, min_reference: int, with_all: bool = True) -> DataFrame:
     """The measured rows with class_distance and word_distance from the references of ``good``
-    (null where not compared)."""
-    given = references(good, min_reference)
+    (null where not compared); ``with_all``: rows without a reference are compared with all."""
+    # Staged, so that Spark knows the size and broadcasts the languages only if they are few.
+    given = stage(references(good, min_reference, with_all), "quality-references")
     own = given.where(F.col("language") != ALL).withColumnRenamed("language", "of")
     every = given.where(F.col("language") == ALL).select(F.col("class_shares").alias("all_classes"), F.col("word_shares").alias("all_words"))
-    # At most one row per listed language, and one: bounded broadcasts.
-    rows = measured.join(F.broadcast(own), F.col("language") == F.col("of"), "left").join(F.broadcast(every), F.lit(True), "left")
+    rows = measured.join(own, F.col("language") == F.col("of"), "left").join(F.broadcast(every), F.lit(True), "left")  # one row at most
     rows = rows.withColumn("class_shares", F.coalesce("class_shares", "all_classes")).withColumn("word_shares", F.coalesce("word_shares", "all_words"))
     compared = (F.col("n_words") >= min_words) & F.col("class_shares").isNotNull()
     total = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
@@ -145,7 +151,7 @@ def distances(measured: DataFrame, good: DataFrame, min_words: int, min_referenc
 
 
 def judge(documents: DataFrame, min_words: int = 40, min_reference: int = 2_000, class_limit: float = 0.12,
-          word_limit: float = 0.4, short_slack: float = 1.2) -> DataFrame:
+          word_limit: float = 0.4, short_slack: float = 1.2, languages: tuple[str, ...] | None = LANGUAGES) -> DataFrame:
     """One row per document: doc_id, base columns, base_failed, class_distance, word_distance
     (null where not compared), kept.
 
@@ -156,18 +162,18 @@ def judge(documents: DataFrame, min_words: int = 40, min_reference: int = 2_000,
     them that lie within twice the limits of the first references, so that the bad text in
     the corpus does not move what it is compared with.
     """
-    measured = stage(measure(documents), "quality-counts")
+    measured, with_all = stage(measure(documents, languages), "quality-counts"), languages is not None
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     measured = measured.withColumn("base_failed", failed)
     passed = measured.where("NOT base_failed")
-    near = distances(passed, passed, min_words, min_reference).where(
+    near = distances(passed, passed, min_words, min_reference, with_all).where(
         f"class_distance <= {2 * class_limit} AND word_distance <= {2 * word_limit}").select(*measured.columns)
-    rows = distances(measured, near, min_words, min_reference).drop("language", "classes", "common")
+    rows = distances(measured, near, min_words, min_reference, with_all).drop("language", "classes", "common")
     limit = class_limit + short_slack / F.sqrt("n_words")
     far = F.coalesce((F.col("class_distance") > limit) | (F.col("word_distance") > word_limit), F.lit(False))
     return rows.withColumn("kept", ~F.col("base_failed") & ~far)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op4: base counts and verdict of all documents."""
-    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """op4: base counts and verdict of all documents, each language compared with itself."""
+    return judge(spark.read.parquet(f"{sf_dir}/documents.parquet"), languages=None)
