@@ -91,3 +91,10 @@ def test_repeated_ids_and_empty(spark):
     found = sorted(((r.vec_id or -1), r.n_links, r.component_id) for r in dedup.deduplicate(df).collect())
     assert [(i, c) for i, _, c in found if i > 0] == [(1, 1), (1, 1), (2, 1), (3, 1)]
     assert dedup.deduplicate(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_shared_id_that_is_no_representative(spark):
+    rows = [(3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [-1.0, 0.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    found = sorted((r.vec_id, r.component_id) for r in dedup.deduplicate(df).collect())
+    assert found == [(3, 3), (4, 3), (5, 3), (5, 3), (6, 6)]

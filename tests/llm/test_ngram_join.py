@@ -76,6 +76,14 @@ def test_repeated_and_missing_ids(spark):
         ("3", "a b c d e"), ("9", None), ("None", "a b c d e")]
 
 
+def test_shared_id_that_is_no_representative(spark):
+    rows = [(3, "a b c d e"), (4, "p q r s t"), (5, "a b c d e"), (5, "p q r s t"), (6, "k l m n o"), (6, "p q r s t"), (1, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.component_id) for r in ngram_join.join(docs, 4, 85).collect())
+    assert found == [(1, 1), (3, 3), (4, 3), (5, 3), (5, 3), (6, 3), (6, 3)]
+    assert sorted(r.doc_id for r in ngram_join.keep_one(docs).collect()) == [1, 3]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.join(docs).count() == 0

@@ -115,6 +115,16 @@ def limited_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def shared_ids(rows: DataFrame, name: str) -> DataFrame:
+    """Edges (a, b) between the classes that rows of one id are in, from rows (id, rep): each rep
+    of an id with the least of them, whether or not the id is a rep itself."""
+    several = rows.groupBy("id").agg(F.min("rep").alias("b"), F.max("rep").alias("most")).where("b < most").drop("most")
+    several = stage(several, name)
+    if several.isEmpty():
+        return several.select(F.col("b").alias("a"), "b")
+    return rows.join(several, "id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Smallest reachable id of each node that has an edge: (node, component).
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilcard.llm.common import Forest, connected_components, stage
+from vigilcard.llm.common import Forest, connected_components, shared_ids, stage
 
 BLOCK = 2048
 #: Standard deviations of the estimate's error that the confidence bound allows.
@@ -250,8 +250,7 @@ def deduplicate(vectors: DataFrame, threshold: float = 0.9, recall: float = 0.98
     rows = mine.join(classes, "v", "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("rep")).alias("rep"), "copies")
     rows = stage(rows, "embedding-rows")
     # A vec_id on rows with different vectors connects their classes.
-    shared = rows.where("rep <> vec_id").select(F.col("vec_id").cast("long").alias("a"), F.col("rep").alias("b"))
-    shared = shared.join(classes.select(F.col("rep").alias("a")), "a", "left_semi")
+    shared = shared_ids(rows.where("rep IS NOT NULL").select(F.col("vec_id").alias("id"), "rep"), "embedding-shared")
     groups = connected_components(forest.unionByName(shared), "embedding-components")
     return (
         rows.join(counts, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilcard.llm.common import (
-    Forest, WordHashes, connected_components, limited_broadcast, pieces, shingles, stage, text_or_empty,
+    Forest, WordHashes, connected_components, limited_broadcast, pieces, shared_ids, shingles, stage, text_or_empty,
 )
 
 #: Lists of more classes than this do not give pairs but a star.
@@ -303,9 +303,7 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     linked = connected_components(_links(documents, groups, n, percent), "ngram-links")
     # A doc_id on rows with different texts connects their classes.
     shared = sets.where("size > 0 AND doc_id IS NOT NULL").select("doc_id", *key).join(classes.drop("short"), key)
-    again = shared.where("doc_id <> rep").select(F.col("doc_id").cast("long").alias("node"), "rep")
-    reps = classes.select(F.col("rep").alias("node"))
-    twice = again.join(reps, "node", "left_semi").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    twice = shared_ids(shared.select(F.col("doc_id").alias("id"), "rep"), "ngram-shared")
     if not twice.isEmpty():
         linked = connected_components(
             linked.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(twice), "ngram-links")
