@@ -49,8 +49,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their bins."""
-    return packing.pack(docs)
+    """Pieces of all documents with their bins; the rows that the mix gives of a document, cut or
+    whole, are a cluster."""
+    return packing.pack(docs, cluster="doc_id")
 
 
 STAGES = [

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+import corpus_pipeline
 from vigilcard.llm import packing
 
 
@@ -63,5 +64,24 @@ def test_pack(spark):
     assert sorted(map(str, packing.pack(df, 100, 4, 60).collect())) == sorted(map(str, found))
 
 
+def test_near_copies_are_never_together(spark, tmp_path):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(k, " ".join([*words[:-1], f"end{k}"]), f"s{k}") for k in range(6)]
+    rows += [(10 + k, " ".join(f"v{k}x{j}" for j in range(100)), "t") for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.bin for r in packing.query(spark, str(tmp_path)).collect()}
+    assert len(found) == 10 and len({found[k] for k in range(6)}) == 6
+
+
+def test_rows_of_a_document_and_equal_texts_are_never_together(spark):
+    rows = [(1, "a b c d e f", "s"), (1, "a b c", "t"), (2, "x y z", "s"), (None, "x y z", "t"), (None, "q r", "s"), (None, "u v", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = corpus_pipeline.pack(spark, df, "").collect()
+    assert len({r.bin for r in found if r.doc_id == 1}) == 2
+    assert len({r.bin for r in found if r.n_words == 3 and r.doc_id != 1}) == 2
+    assert len({r.bin for r in found}) == 2
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
