@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test data is
 @pytest.mark.parametrize("name", sorted(catalog.ORACLES))
 def test_query_equals_sql(spark, name):
     duck = pytest.importorskip("duckdb").connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     answer = duck.execute(catalog.ORACLES[name])
     columns = sorted(d[0] for d in answer.description)

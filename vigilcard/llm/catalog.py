@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from vigilcard.llm import (
-    chat_format, embedding_dedup, license_scan, ngram_join, packing, quality, quality_rules, source_mix, token_store,
-    toxicity,
+    chat_format, collocations, embedding_dedup, license_scan, ngram_join, packing, quality, quality_rules, resampling,
+    source_mix, token_store, toxicity, vector_search,
 )
 
 QUERIES = {
@@ -18,6 +18,9 @@ QUERIES = {
     "op8_license_scan": license_scan.query,
     "op9_embedding_dedup": embedding_dedup.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_vector_search": vector_search.query,
+    "op12_resampling": resampling.query,
+    "op13_collocations": collocations.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,6 @@ ORACLES: dict[str, str] = {
     "op8_license_scan": license_scan.oracle(),
     "op9_embedding_dedup": embedding_dedup.ORACLE,
     "op10_ngram_join": ngram_join.ORACLE,
+    "op12_resampling": resampling.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
