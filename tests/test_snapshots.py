@@ -69,6 +69,27 @@ def test_snapshots_are_taken_at_day_borders(spark, tmp_path):
     assert len(store._snapshots()) == 3  # one for each day that began
 
 
+def test_late_rows_and_fast_clocks_do_not_stop_renewal(spark, tmp_path):
+    """Each batch holds a row of a month ago, the last one of next year; four snapshots stay."""
+    store, taken = LayerStore(spark, str(tmp_path)), []
+    for k in range(7):
+        store.append_new("raw", frame(spark, [tx(transaction_id=f"t{k}", timestamp=START + timedelta(days=k))]))
+        store.maintain_snapshot(int((START + timedelta(days=k) - datetime(1970, 1, 1)).total_seconds()))
+        taken.append(store._snapshots())
+    assert [len(t) for t in taken] == [1, 2, 3, 4, 4, 4, 4] and taken[6][0] == taken[3][3]
+    store.add_late_rows(frame(spark, [tx(transaction_id="late", card_id="9", timestamp=START - timedelta(days=9))]), None)
+    seen = store.snapshot_before(2**40).seen
+    assert "9" in {r.card_id for r in seen.collect()} and "batch" not in seen.columns
+
+
+def test_batches_renew_by_their_latest_row(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    late, ahead = tx(transaction_id="l", timestamp=START - timedelta(days=31)), tx(transaction_id="f", timestamp=datetime(2027, 1, 1))
+    process_batch(frame(spark, [tx(), late, ahead]), store, CONFIG, START + timedelta(hours=1), keep_snapshots=True).release()
+    day = START.replace(hour=0, minute=0) - timedelta(days=1)
+    assert store._snapshots() == [int((day - datetime(1970, 1, 1)).total_seconds())]
+
+
 def test_snapshot_must_end_before_the_batch(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path))
     with pytest.raises(LookupError):

@@ -507,6 +507,50 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("raw").select("transaction_id", _rounded("amount", 2))
 
 
+@query("upsert_id_index")
+def upsert_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History in three batches, then everything: what raw holds and what its id index knows."""
+    history, _ = fixtures.history_and_batch(spark, sf_dir)
+    store = _store(spark, "layers")
+    for k in range(3):
+        store.append_new("raw", history.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == k))
+    store.append_new("raw", fixtures.transactions(spark, sf_dir).withColumn("amount", F.col("amount") + 1000))
+    known = store.indexed_ids().withColumn("indexed", F.lit(True))
+    both = store.read("raw").select("transaction_id", _rounded("amount", 2)).join(known, "transaction_id", "full")
+    return both.withColumn("indexed", F.coalesce("indexed", F.lit(False)))
+
+
+class _Killed(Exception):
+    """Stands for the end of a process between two layers."""
+
+
+class _KilledStore(LayerStore):
+    """A store whose process ends before the audit log is written."""
+
+    def append_audit(self, events: DataFrame) -> None:
+        raise _Killed
+
+
+@query("layer_commit_recovery")
+def layer_commit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that is killed before its audit events is absent; delivered again it is there once."""
+    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    store = _store(spark, "layers")
+    store.append_new("raw", history)
+    run = ("query", 0)
+    try:
+        process_batch(batch, _KilledStore(spark, store.root), default_config(), DECIDED_AT, run=run)
+    except _Killed:
+        pass
+    counts = [store.read("raw").agg(F.lit("raw before").alias("layer"), F.count(F.lit(1)).alias("n"))]
+    counts[0] = Scratch(spark).stage(counts[0], "counts")
+    process_batch(batch, LayerStore(spark, store.root), default_config(), DECIDED_AT, run=run).release()
+    layers = {name: store.read(name) for name in ("raw", "enriched", "alerts")}
+    layers |= {"audit": store.read_audit(), "profiles": store.read_profiles(), "ids": store.indexed_ids()}
+    counts += [table.agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("n")) for name, table in layers.items()]
+    return reduce(DataFrame.union, counts)
+
+
 @query("audit_log")
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "layers")

@@ -502,6 +502,17 @@ FROM scored s LEFT JOIN labels_of l ON l.transaction_id = s.transaction_id WHERE
     out["upsert_idempotent"] = _on_tx(f"""
 SELECT transaction_id, round(CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN amount ELSE amount + 1000 END, 2) AS amount
 FROM tx""")
+    out["upsert_id_index"] = _on_tx(f"""
+SELECT transaction_id, round(CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN amount ELSE amount + 1000 END, 2) AS amount,
+  true AS indexed FROM tx""")
+    out["layer_commit_recovery"] = _on_scores(f"""
+SELECT 'raw before' AS layer, count(*) AS n FROM tx WHERE timestamp < TIMESTAMP '{SPLIT}'
+UNION ALL SELECT 'raw', count(*) FROM tx
+UNION ALL SELECT 'ids', count(*) FROM tx
+UNION ALL SELECT 'enriched', count(*) FROM scored
+UNION ALL SELECT 'audit', count(*) FROM scored
+UNION ALL SELECT 'profiles', count(DISTINCT card_id) FROM scored
+UNION ALL SELECT 'alerts', count(*) FROM scored WHERE {ALERTED}""")
     out["audit_log"] = _on_scores(f"""
 SELECT 'decision' AS event, transaction_id, customer_id, card_id, {_time_text('timestamp', ' ')} AS timestamp,
   amount, risk_score, risk_level, triggered_rules, rule_reasons, '1.0.0' AS model_version,

@@ -59,11 +59,16 @@ def process_batch(
     ``one_per_id``; rows without an id, and lines that a stream could not parse, go to the
     rejected layer. ``run`` is the query and epoch of a micro-batch, for the audit log.
 
+    All layers become visible in one step, see ``LayerStore.batch``: a batch that is killed on the
+    way is absent, and a stream takes its remains back when the batch is delivered again.
+
     With ``keep_snapshots`` the history snapshot is renewed at day borders, so that later
     batches read little history. Rows too old for the newest snapshot are scored in a part of
     their own and do not widen what the rest reads; no decision depends on either.
     """
     scratch = Scratch(store.spark)
+    if write and run[0]:
+        store.roll_back(run[0])  # what an earlier, killed delivery has left
     try:
         return _process(batch, store, config, decision_ts, write, run, keep_snapshots, scratch)
     except BaseException:
@@ -121,15 +126,17 @@ def _process(
     if write:
         lines = [c for c in batch.columns if c == "rejected_line"]
         without_id = batch.filter("transaction_id IS NULL").select(*RAW.names, *lines)
-        store.append_rejected(without_id, "no transaction id", *run)
-        store.append_new("raw", rows, stored_ids, unique=True)
-        store.add_late_rows(rows, None if untimed else since)
-        store.append_new("enriched", enriched, unique=True, fresh=fresh)
-        store.append_new("alerts", alerts, unique=True, fresh=fresh)
-        store.append_audit(decisions.audit_events(enriched, now, *run))
-        store.write_profiles(card_profiles(enriched, now))
-        if keep_snapshots and since is not None:
-            store.maintain_snapshot(since)
+        with store.batch(run[0] or "none"):
+            store.append_rejected(without_id, "no transaction id", *run)
+            store.append_new("raw", rows, stored_ids, unique=True, fresh=fresh)
+            store.add_late_rows(rows, None if untimed else since)
+            store.append_new("enriched", enriched, unique=True, fresh=fresh)
+            store.append_new("alerts", alerts, unique=True, fresh=fresh)
+            store.append_audit(decisions.audit_events(enriched, now, *run))
+            store.write_profiles(card_profiles(enriched, now))
+        if keep_snapshots and until is not None:
+            # A clock that is ahead must not take a snapshot of days still to come.
+            store.maintain_snapshot(min(until, int(moment.replace(tzinfo=moment.tzinfo or timezone.utc).timestamp())))
     return BatchResult(enriched, alerts, scratch)
 
 

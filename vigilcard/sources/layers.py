@@ -3,33 +3,42 @@
 Transaction layers are Parquet, partitioned by ``dt`` (UTC date). They are read at their
 root with an explicit schema, so ``dt`` prunes and no file is opened for inference.
 
-Profiles are kept as deltas: each batch writes its own profiles into a new folder and names it
-in an index, which is the commit; a folder without index entry (a killed write) does not
-exist for readers. Reading merges the deltas; now and then they are merged into one.
+Everything a batch writes carries the name of the batch, as a folder below the date or the
+table. A marker file stands for as long as the batch is pending; readers leave out what belongs
+to a pending batch, and deleting the marker is the commit of all layers at once. A killed batch
+therefore does not exist for readers; its writer takes its files back before it starts again.
+
+Profiles are kept as deltas named in a manifest. Reading merges them; now and then they are
+merged into one. Ids of raw are kept in levels, so that a batch finds out which of its ids are
+stored without reading raw.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType
 
 from vigilcard.functions.cards import utc_date
 from vigilcard.operators.align import align, day_literal
 from vigilcard.operators.profiles import merge_deltas
 from vigilcard.operators.snapshots import Snapshot, snapshot_of
 from vigilcard.schemas import ALERT, AUDIT_READ, ENRICHED, FRAUD_LABELS, PROFILE, RAW, REJECTED
+from vigilcard.sources.levels import Levels
+from vigilcard.sources.manifest import Files, Manifest
 
 SCHEMAS = {"raw": RAW, "enriched": ENRICHED, "alerts": ALERT}
-PROFILE_INDEX = StructType(
-    [StructField("generation", LongType()), StructField("seq", LongType()), StructField("folder", StringType())]
-)
-# Profile deltas of one generation before they are merged into one.
+# Profile deltas before they are merged into one.
 PROFILE_DELTAS = 50
+# History snapshots that are kept, the newest ones.
+SNAPSHOTS = 4
+BATCH = "batch"
 EXPORT_FORMATS = ("parquet", "csv", "json", "jsonl")
 # Text exports keep microseconds, which the default text form of a timestamp cuts off.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -41,6 +50,66 @@ class LayerStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._files = Files(spark)
+        self._profiles = Manifest(self._files, f"{self.path('profiles')}/index")
+        self._snapshot_list = Manifest(self._files, f"{self.path('snapshots')}/index")
+        self._ids = Levels(spark, self.path("ids"), StructType([RAW["transaction_id"]]), "transaction_id")
+        self._batch: str | None = None
+
+    @contextmanager
+    def batch(self, owner: str = "none") -> Iterator[str]:
+        """Everything written inside becomes visible at the end, in one step, or never.
+
+        A pending batch of the same owner, left by a killed run, is taken back first; an owner
+        writes one batch at a time. Inside another batch, that batch goes on.
+        """
+        if self._batch is not None:
+            yield self._batch
+            return
+        if owner != "none":
+            self.roll_back(owner)
+        self._batch = f"b-{uuid.uuid4().hex}"
+        marker = f"{self._markers()}/{owner}.{self._batch}"
+        self._files.write_new(marker, "")
+        try:
+            yield self._batch
+            self._files.delete(marker)
+        finally:
+            self._batch = None
+        self._merge_profiles()
+        self._ids.merge(self._pending())
+
+    def roll_back(self, owner: str | None = None) -> int:
+        """Takes back the pending batches of an owner, or all; only for writers that are gone."""
+        markers = [n for n in self._files.names(self._markers()) if owner is None or n.split(".")[0] == owner]
+        for marker in markers:
+            name = marker.split(".")[1]
+            folders = [f"{layer}/dt=*" for layer in SCHEMAS] + ["audit", "rejected", "fraud_labels", "snapshots/as_of=*/*"]
+            for folder in folders:
+                for path in self._files.matching(f"{self.root}/{folder}/{BATCH}={name}"):
+                    self._files.delete(path)
+            self._ids.forget(name)
+            gone = [e["folder"] for e in self._profiles.entries() if e["batch"] == name]
+            if gone:
+                self._profiles.change(lambda entries, name=name: [e for e in entries if e["batch"] != name])
+            for path in gone:
+                self._files.delete(path)
+            self._files.delete(f"{self._markers()}/{marker}")
+        return len(markers)
+
+    def _markers(self) -> str:
+        return self.path("_pending")
+
+    def _pending(self) -> frozenset[str]:
+        """Names of pending batches, without the one that this store is writing."""
+        return frozenset(n.split(".")[1] for n in self._files.names(self._markers())) - {self._batch}
+
+    def _visible(self, table: DataFrame | None) -> DataFrame | None:
+        """A table without the rows of pending batches and without their names."""
+        if table is None:
+            return None
+        pending = sorted(self._pending())
+        return (table.filter(~F.col(BATCH).isin(pending)) if pending else table).drop(BATCH)
 
     def path(self, layer: str) -> str:
         """Folder of a layer."""
@@ -48,30 +117,30 @@ class LayerStore:
 
     def read(self, layer: str) -> DataFrame | None:
         """A transaction layer with its ``dt`` column, or None when it was never written."""
-        partitioned = StructType(SCHEMAS[layer].fields + [StructField("dt", DateType(), True)])
-        return self._read(self.path(layer), partitioned)
+        dated = StructType(SCHEMAS[layer].fields + [StructField("dt", DateType(), True)])
+        return self._visible(self._read(self.path(layer), named(dated)))
 
     def read_audit(self) -> DataFrame | None:
         """Audit events with all columns an event may have, or None when none were written.
 
         Every delivery of a micro-batch adds its events; ``distinct_events`` keeps one of each.
         """
-        return _if_present(lambda: self.spark.read.schema(AUDIT_READ).json(self.path("audit")))
+        return self._visible(_if_present(lambda: self.spark.read.schema(named(AUDIT_READ)).json(self.path("audit"))))
 
     def read_rejected(self) -> DataFrame | None:
         """Lines and rows that carried no id, or None when there were none."""
-        return self._read(self.path("rejected"), REJECTED)
+        return self._visible(self._read(self.path("rejected"), named(REJECTED)))
 
     def read_labels(self) -> DataFrame | None:
         """Ground-truth labels, or None when there are none."""
-        return self._read(self.path("fraud_labels"), FRAUD_LABELS)
+        return self._visible(self._read(self.path("fraud_labels"), named(FRAUD_LABELS)))
 
     def read_profiles(self) -> DataFrame | None:
         """The card profiles, or None when none was written."""
         deltas = self._profile_deltas()
         if not deltas:
             return None
-        return merge_deltas([(seq, self._read(folder, PROFILE)) for _, seq, folder in deltas])
+        return merge_deltas([(e["seq"], self._read(e["folder"], PROFILE)) for e in deltas])
 
     def append_new(
         self,
@@ -88,24 +157,49 @@ class LayerStore:
         may hand over the ids of ``df`` that are known to be stored; ``fresh`` says that none is.
         """
         rows = df.select(*SCHEMAS[layer].names)
-        if not unique:
-            self.append_rejected(rows.filter("transaction_id IS NULL"), f"no id for {layer}")
-            rows = one_per_id(rows)
-        met = self.ids_already_in(layer, rows) if stored_ids is None and not fresh else stored_ids
-        if met is not None:
-            rows = rows.join(met, "transaction_id", "left_anti")
-        self._write(layer, rows)
+        with self.batch() as name:
+            if not unique:
+                self.append_rejected(rows.filter("transaction_id IS NULL"), f"no id for {layer}")
+                rows = one_per_id(rows)
+            met = self.ids_already_in(layer, rows) if stored_ids is None and not fresh else stored_ids
+            if met is not None:
+                rows = rows.join(met, "transaction_id", "left_anti")
+            if layer == "raw" and not self._ids.started() and self.read("raw") is None:
+                self._ids.start()
+            self._write(layer, rows)
+            if layer == "raw" and self._ids.started():
+                self._index_ids(name)
+
+    def _index_ids(self, name: str) -> None:
+        """Adds the ids that a batch has written to raw to the id index."""
+        written = self._files.matching(f"{self.path('raw')}/dt=*/{BATCH}={name}")
+        if written:
+            reader = self.spark.read.option("basePath", self.path("raw")).schema(StructType([RAW["transaction_id"]]))
+            self._ids.add(reader.parquet(f"{self.path('raw')}/dt=*/{BATCH}={name}").select("transaction_id"), name)
+
+    def indexed_ids(self) -> DataFrame:
+        """Ids in the index of raw, as ``transaction_id``."""
+        return self._ids.read(self._pending()).distinct()
+
+    def rebuild_id_index(self) -> None:
+        """Indexes a raw layer that was written before there was an id index."""
+        raw = self.read("raw")
+        if raw is not None and not self._ids.started():
+            self._ids.add(raw.select("transaction_id"), "rebuilt")
 
     def ids_already_in(self, layer: str, df: DataFrame) -> DataFrame | None:
         """Ids of ``df`` that a layer holds, or None when the layer does not exist.
 
-        The large side is only scanned for its id column: with a small ``df`` the join
+        Ids of raw come from the id index, of which only the buckets are opened that ids of
+        ``df`` fall in. Else the id column of the layer is scanned. With a small ``df`` the join
         broadcasts the ids of ``df``, and the result is never larger than ``df``.
         """
         stored = self.read(layer)
         if stored is None:
             return None
         ids = df.select("transaction_id")
+        if layer == "raw" and self._ids.started():
+            stored = self._ids.near(ids, self._pending())
         return stored.select("transaction_id").join(ids, "transaction_id", "left_semi").distinct()
 
     def append_rejected(
@@ -122,46 +216,53 @@ class LayerStore:
             F.lit(epoch).cast("long").alias("epoch"),
         )
         if not rejected.isEmpty():
-            rejected.write.mode("append").parquet(self.path("rejected"))
+            with self.batch() as name:
+                rejected.write.mode("append").parquet(f"{self.path('rejected')}/{BATCH}={name}")
 
     def append_audit(self, events: DataFrame) -> None:
         """Appends audit events as JSON lines; every call adds its events again."""
-        events.write.mode("append").option("ignoreNullFields", "false").json(self.path("audit"))
+        with self.batch() as name:
+            writer = events.write.mode("append").option("ignoreNullFields", "false")
+            writer.json(f"{self.path('audit')}/{BATCH}={name}")
 
     def write_profiles(self, batch_profiles: DataFrame) -> None:
         """Adds the profiles of a batch as a delta; many deltas are merged into one."""
-        deltas = self._profile_deltas()
-        generation = deltas[0][0] if deltas else 0
-        folder = self._new_profile_folder(batch_profiles)
-        self._commit_profiles(generation, deltas[-1][1] + 1 if deltas else 0, folder)
-        if len(deltas) >= PROFILE_DELTAS:
+        with self.batch() as name:
+            folder = self._new_profile_folder(batch_profiles)
+
+            def added(entries: list[dict]) -> list[dict]:
+                seq = max((e["seq"] for e in entries), default=-1) + 1
+                return [*entries, {"seq": seq, "folder": folder, "batch": name, "old": False}]
+
+            self._profiles.change(added)
+
+    def _merge_profiles(self) -> None:
+        if len(self._profile_deltas()) > PROFILE_DELTAS:
             self.compact_profiles()
 
     def compact_profiles(self) -> None:
-        """Merges all deltas into one, the first of a new generation. Older folders stay until
-        they are cleaned up, as readers may still use them."""
+        """Merges all deltas into one. Replaced folders are deleted one merge later, as readers
+        may still use them."""
         deltas = self._profile_deltas()
         if len(deltas) > 1:
-            folder = self._new_profile_folder(self.read_profiles())
-            self._commit_profiles(deltas[0][0] + 1, 0, folder)
+            names, last = {e["folder"] for e in deltas}, deltas[-1]["seq"]
+            merged = {"seq": last, "folder": self._new_profile_folder(self.read_profiles()), "batch": "merged", "old": False}
+            before = [e["folder"] for e in self._profiles.entries() if e["old"]]
+            self._profiles.change(lambda entries: [
+                merged, *({**e, "old": e["folder"] in names} for e in entries if e["folder"] not in before)])
+            for folder in before:
+                self._files.delete(folder)
 
     def _new_profile_folder(self, profiles: DataFrame) -> str:
         folder = f"{self.path('profiles')}/{uuid.uuid4().hex}"
         profiles.select(*PROFILE.names).write.parquet(folder)
         return folder
 
-    def _commit_profiles(self, generation: int, seq: int, folder: str) -> None:
-        entry = self.spark.createDataFrame([(generation, seq, folder)], PROFILE_INDEX)
-        entry.coalesce(1).write.mode("append").parquet(f"{self.path('profiles')}/index")
-
-    def _profile_deltas(self) -> list[tuple[int, int, str]]:
-        """Committed deltas (generation, seq, folder) of the newest generation, oldest first."""
-        index = self._read(f"{self.path('profiles')}/index", PROFILE_INDEX)
-        if index is None:
-            return []
-        newest = index.withColumn("newest", F.max("generation").over(Window.partitionBy()))
-        rows = newest.filter("generation = newest").orderBy("seq", "folder").collect()
-        return [(r["generation"], r["seq"], r["folder"]) for r in rows]
+    def _profile_deltas(self) -> list[dict]:
+        """Deltas that count, oldest first."""
+        pending = self._pending()
+        found = [e for e in self._profiles.entries() if not e["old"] and e["batch"] not in pending]
+        return sorted(found, key=lambda e: e["seq"])
 
     def write_snapshot(self, as_of: date) -> None:
         """Builds the history snapshot as of a day from raw, on top of the newest earlier one."""
@@ -175,9 +276,12 @@ class LayerStore:
             rows = raw.filter((F.col("dt") >= day_literal(base.as_of)) & (F.col("dt") < F.lit(as_of)))
         made = snapshot_of(align(rows), second, base)
         for table in Snapshot.TABLES:
-            getattr(made, table).write.mode("overwrite").parquet(self._snapshot_path(second, table))
-        index = self.spark.range(1).select(F.lit(second).cast("long").alias("as_of"))
-        index.coalesce(1).write.mode("append").parquet(self.path("snapshots/index"))
+            getattr(made, table).write.mode("overwrite").parquet(f"{self._snapshot_path(second, table)}/{BATCH}=base")
+        gone = sorted({*self._snapshots(), second})[:-SNAPSHOTS]
+        self._snapshot_list.change(
+            lambda entries: [e for e in entries if e["as_of"] not in (*gone, second)] + [{"as_of": second}])
+        for old in gone:
+            self._files.delete(f"{self.path('snapshots')}/as_of={old}")
 
     def maintain_snapshot(self, second: int) -> None:
         """Takes the snapshot that a batch of a later second of this day can use, if a day has
@@ -192,7 +296,7 @@ class LayerStore:
         if not usable:
             return None
         newest = max(usable)
-        tables = [self.spark.read.parquet(self._snapshot_path(newest, table)) for table in Snapshot.TABLES]
+        tables = [self._visible(self.spark.read.parquet(self._snapshot_path(newest, table))) for table in Snapshot.TABLES]
         return Snapshot(newest, *tables)
 
     def add_late_rows(self, rows: DataFrame, since: int | None) -> None:
@@ -205,19 +309,22 @@ class LayerStore:
         for second in late:
             early = rows.filter(F.col("timestamp").isNull() | (F.col("timestamp") < F.timestamp_seconds(F.lit(second))))
             made = snapshot_of(align(early), second)
-            for table in Snapshot.TABLES:
-                getattr(made, table).write.mode("append").parquet(self._snapshot_path(second, table))
+            with self.batch() as name:
+                for table in Snapshot.TABLES:
+                    path = f"{self._snapshot_path(second, table)}/{BATCH}={name}"
+                    getattr(made, table).write.mode("append").parquet(path)
 
     def _snapshot_path(self, second: int, table: str) -> str:
         return f"{self.path('snapshots')}/as_of={second}/{table}"
 
     def _snapshots(self) -> list[int]:
-        index = self._read(self.path("snapshots/index"), StructType([StructField("as_of", LongType(), True)]))
-        return [] if index is None else [row["as_of"] for row in index.distinct().collect()]
+        return [entry["as_of"] for entry in self._snapshot_list.entries()]
 
     def write_labels(self, labels: DataFrame) -> None:
         """Appends ground-truth labels."""
-        labels.select(*FRAUD_LABELS.names).write.mode("append").parquet(self.path("fraud_labels"))
+        with self.batch() as name:
+            path = f"{self.path('fraud_labels')}/{BATCH}={name}"
+            labels.select(*FRAUD_LABELS.names).write.mode("append").parquet(path)
 
     def register_views(self) -> None:
         """Temp views ``raw``, ``enriched``, ``alerts`` and ``fraud_labels``; empty if missing."""
@@ -247,9 +354,14 @@ class LayerStore:
         return _if_present(lambda: self.spark.read.schema(schema).parquet(path))
 
     def _write(self, layer: str, df: DataFrame) -> None:
-        dated = df.withColumn("dt", utc_date(F.col("timestamp")))
+        dated = df.withColumns({"dt": utc_date(F.col("timestamp")), BATCH: F.lit(self._batch)})
         # Rows of one date meet in few files; a large date is split again by size.
-        dated.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt").parquet(self.path(layer))
+        dated.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt", BATCH).parquet(self.path(layer))
+
+
+def named(schema: StructType) -> StructType:
+    """A stored schema with the name of the batch that wrote a row."""
+    return StructType(schema.fields + [StructField(BATCH, StringType(), True)])
 
 
 def one_per_id(rows: DataFrame) -> DataFrame:
