@@ -77,12 +77,12 @@ def test_trie_counts_and_spills_sorted_runs(entries, burst):
     for k, (key, n) in enumerate(entries):
         trie.add([key], [n])
         wanted[key] += n
-        runs = list(trie.spill(trie.size // 2)) if k % 50 == 49 else []
-        for one in runs:
-            assert one == sorted(one)
-            found.update(dict(one))
-    for one in trie.spill(0):
-        found.update(dict(one))
+        for keys, counts in [*trie.spill(trie.size // 2)] if k % 50 == 49 else []:
+            run_keys = [row.tobytes() for row in keys]
+            assert run_keys == sorted(run_keys)
+            found.update(dict(zip(run_keys, counts.tolist(), strict=True)))
+    for keys, counts in trie.spill(0):
+        found.update(dict(zip([row.tobytes() for row in keys], counts.tolist(), strict=True)))
     assert trie.size == 0 and found == wanted
 
 

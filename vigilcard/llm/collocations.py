@@ -135,17 +135,23 @@ class HatTrie:
                 child[key] = n
         return slots
 
-    def spill(self, keep: int) -> Iterator[list[tuple[bytes, int]]]:
+    def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Takes out whole subtrees below the root, the largest first, until ``keep`` entries are
-        left; each comes as a sorted run."""
+        left; each comes as a sorted run of keys, one per row of bytes, and counts."""
         sizes = {k: sum(map(len, _containers(child))) for k, child in enumerate(self.slots) if child is not None}
         for k in sorted(sizes, key=lambda k: -sizes[k]):
             if self.size <= keep:
                 return
-            run = sorted(entry for held in _containers(self.slots[k]) for entry in held.items())
+            keys: list[bytes] = []
+            counts: list[int] = []
+            for held in _containers(self.slots[k]):
+                keys += held.keys()
+                counts += held.values()
             self.slots[k] = None
-            self.size -= len(run)
-            yield run
+            self.size -= len(keys)
+            flat, width = b"".join(keys), len(keys[0])
+            order = np.argsort(np.frombuffer(flat, f"S{width}"), kind="stable")
+            yield np.frombuffer(flat, np.uint8).reshape(-1, width)[order], np.array(counts, np.int64)[order]
 
 
 def _containers(child) -> Iterator[dict]:
@@ -256,16 +262,15 @@ def count_phrases(documents: DataFrame, n: int, least: int, bitmap: np.ndarray,
     bits = min(8 * LEAD, max(4, math.ceil(math.log2(words / PARTITION + 1))))
     width = LEAD + 8 * n
 
-    def row(lang: str, run: list[tuple[bytes, int]]) -> pa.RecordBatch:
+    def row(lang: str, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         """A sorted run, cut where prefix partitions end."""
-        keys, counts = b"".join(k for k, _ in run), np.array([c for _, c in run], np.int64)
-        lead = np.frombuffer(keys, np.uint8).reshape(-1, width)[:, :LEAD].astype(np.int64) @ (256 ** np.arange(LEAD - 1, -1, -1))
+        lead = keys[:, :LEAD].astype(np.int64) @ (256 ** np.arange(LEAD - 1, -1, -1))
         part = lead >> (8 * LEAD - bits)
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(counts)]
         pairs = list(zip(cuts[:-1], cuts[1:], strict=True))
         return pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(pairs), pa.string()), pa.array([int(part[a]) for a, _ in pairs], pa.int32()),
-             pa.array([keys[a * width : b * width] for a, b in pairs], pa.binary()),
+             pa.array([keys[a:b].tobytes() for a, b in pairs], pa.binary()),
              pa.array([counts[a:b].tobytes() for a, b in pairs], pa.binary())], names=["lang", "part", "keys", "counts"])
 
     def spill(batches):
@@ -276,9 +281,9 @@ def count_phrases(documents: DataFrame, n: int, least: int, bitmap: np.ndarray,
             trie.add(*phrase_keys(one, language_id(lang), n, sent.value))
             if sum(t.size for t in tries.values()) > ENTRIES:
                 for name, trie in tries.items():
-                    yield from (row(name, run) for run in trie.spill(trie.size // 2))
+                    yield from (row(name, *run) for run in trie.spill(trie.size // 2))
         for name, trie in tries.items():
-            yield from (row(name, run) for run in trie.spill(0))
+            yield from (row(name, *run) for run in trie.spill(0))
 
     def merge(table: pa.Table) -> pa.Table:
         lang = table["lang"][0].as_py()
