@@ -143,22 +143,29 @@ def _frequent(documents: DataFrame, n: int) -> np.ndarray:
         for batch in pieces(batches, 4096):
             found = [text_shingles(t, n, hashes) for t in batch["text"].to_pylist()]
             values = np.sort(np.concatenate(found)) if found else _NOTHING
+            # Equal ones go on as one with a count; from LIST + 1 on the number no longer matters.
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
+            seen = np.minimum(np.diff(np.append(first, len(values))), LIST + 1).astype(np.uint8)
+            values = values[first]
             cuts = np.searchsorted(values >> top, np.arange(2**bits + 1, dtype=np.uint64))
             short = (values >> low).astype(np.uint32)  # the 32 bits that follow the range
             used = np.flatnonzero(np.diff(cuts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), pa.array([short[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary())],
-                names=["part", "h"])
+                [pa.array(used, pa.int32()), *(pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary()) for x in (short, seen))],
+                names=["part", "h", "seen"])
 
     def count(table: pa.Table) -> pa.Table:
-        values = np.sort(np.concatenate([np.frombuffer(x, np.uint32) for x in table["h"].to_pylist()]))
-        edges = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
-        often = values[edges[:-1][np.diff(edges) > LIST]]
+        values = np.concatenate([np.frombuffer(x, np.uint32) for x in table["h"].to_pylist()])
+        seen = np.concatenate([np.frombuffer(x, np.uint8) for x in table["seen"].to_pylist()])
+        order = np.argsort(values, kind="stable")
+        values, seen = values[order], seen[order]
+        edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
+        often = values[edges[np.add.reduceat(seen, edges, dtype=np.int64) > LIST]]
         marked = np.zeros(2 ** (BITMAP - bits), bool)
         marked[often >> np.uint32(32 - (BITMAP - bits))] = True
         return pa.table({"part": table["part"][:1], "bits": pa.array([np.packbits(marked, bitorder="little").tobytes()], pa.binary())})
 
-    parts = documents.select("text").mapInArrow(deal, "part int, h binary").groupBy("part").applyInArrow(count, "part int, bits binary")
+    parts = documents.select("text").mapInArrow(deal, "part int, h binary, seen binary").groupBy("part").applyInArrow(count, "part int, bits binary")
     bitmap = np.zeros((2**bits, 2 ** (BITMAP - bits) // 8), np.uint8)
     for row in parts.collect():  # one slice per range, 8 MB together at any size of the corpus
         bitmap[row["part"]] = np.frombuffer(row["bits"], np.uint8)

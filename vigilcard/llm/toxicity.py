@@ -21,6 +21,7 @@ rows, or 0. Other columns of the documents are passed through by ``score``.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -34,6 +35,8 @@ from vigilcard.llm.common import id_fold, limited_broadcast, pieces
 _TOKEN = re.compile(r"\w+")
 _STEMS = (7, 6, 5, 4)
 DISCOUNT = 0.75
+#: Word counts and pairs that a task holds before it hands them on, and texts it takes at a time.
+HELD_WORDS, HELD_PAIRS, TEXTS = 100_000, 500_000, 128
 
 
 def tokens(text: str | None) -> list[str]:
@@ -57,7 +60,8 @@ class Lexicon(dict):
 
 @dataclass
 class KneserNey:
-    """Log-likelihood ratios by word and by kept bigram."""
+    """Log-likelihood ratios by word and by kept bigram. The name stands for the vocabulary, which
+    is not changed once the model was sent to a task."""
 
     vocabulary: list[str] = field(default_factory=list)
     word_ratio: np.ndarray = field(default_factory=lambda: np.zeros(2))
@@ -65,6 +69,7 @@ class KneserNey:
     bigram_ratio: np.ndarray = field(default_factory=lambda: np.zeros(0))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(3))
     window: int = 2
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def index(self) -> Lexicon:
         return Lexicon((word, k + 2) for k, word in enumerate(self.vocabulary))
@@ -90,6 +95,18 @@ class KneserNey:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+_LEXICONS: dict[str, Lexicon] = {}
+
+
+def _lexicon(sent) -> Lexicon:
+    """The index of a broadcast model, built once in a worker; that of another one is let go."""
+    name = sent.value.name
+    if name not in _LEXICONS:
+        _LEXICONS.clear()
+        _LEXICONS[name] = sent.value.index()
+    return _LEXICONS[name]
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, rows_per_class: int) -> DataFrame:
     """Texts of at most ``rows_per_class`` labelled rows of each class: doc_id, text, label."""
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -114,13 +131,13 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = 20_000, v
 
     def word_counts(batches):
         counts, sizes = Counter(), Counter()
-        for batch in pieces(batches):
+        for batch in pieces(batches, TEXTS):
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
                 sizes[label] += 1
                 counts.update((w, label) for w in with_stems(set(tokens(text))))
-            if len(counts) > 500_000:
-                yield _count_rows(counts)
-                counts.clear()
+                if len(counts) > HELD_WORDS:
+                    yield _count_rows(counts)
+                    counts.clear()
         yield _count_rows(counts)
         yield _count_rows(Counter({(None, k): n for k, n in sizes.items()}))
 
@@ -155,8 +172,8 @@ def _corpus_frequencies(documents: DataFrame, vocabulary: list[str]) -> np.ndarr
     sent = documents.sparkSession.sparkContext.broadcast(KneserNey(vocabulary))
 
     def frequencies(batches):
-        index, total = sent.value.index(), np.zeros(size, np.int64)
-        for batch in pieces(batches):
+        index, total = _lexicon(sent), np.zeros(size, np.int64)
+        for batch in pieces(batches, TEXTS):
             found = [np.unique(index.ids(list(set(tokens(text))))) for text in batch["text"].to_pylist()]
             total += np.bincount(np.concatenate(found), minlength=size)
             total[1] += len(found)
@@ -178,13 +195,13 @@ def _fit_ratios(model: KneserNey, rows: DataFrame, shared: np.ndarray, least: in
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def pairs(batches):
-        index = sent.value.index()
+        index = _lexicon(sent)
         held: list[np.ndarray] = []
-        for batch in pieces(batches):
+        for batch in pieces(batches, TEXTS):
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
                 ids = index.ids(tokens(text))
                 held.append((np.concatenate(([1], ids))[:-1] * size + ids) * 2 + label)
-            if sum(map(len, held)) > 2_000_000:
+            if sum(map(len, held)) > HELD_PAIRS:
                 yield _pair_rows(held)
                 held = []
         yield _pair_rows(held)
@@ -256,9 +273,8 @@ def _with_features(documents: DataFrame, model: KneserNey, keep: list[str], scor
         schema = schema.add(name, "double")
 
     def run(batches):
-        model = sent.value
-        index = model.index()
-        for batch in pieces(batches):
+        model, index = sent.value, _lexicon(sent)
+        for batch in pieces(batches, TEXTS):
             x = np.array([model.features(t, index) for t in batch["text"].to_pylist()]).reshape(-1, 2)
             out = [pa.array(model.probability(x))] if scored else [pa.array(x[:, 0]), pa.array(x[:, 1])]
             yield pa.RecordBatch.from_arrays([batch[c] for c in keep] + out, names=schema.names)
