@@ -26,7 +26,7 @@ from vigilcard.operators.seconds import with_windows
 from vigilcard.plans import fixtures, reports
 from vigilcard.plans.batch import backfill, process_batch
 from vigilcard.plans.replay import verify_replay
-from vigilcard.plans.scoring import rule_hits, score_transactions, transaction_features
+from vigilcard.plans.scoring import rule_hits, score_transactions, transaction_features, with_row_features
 from vigilcard.schemas import ALERT, AUDIT, ENRICHED, RAW
 from vigilcard.sources.layers import LayerStore, csv_ready, csv_schema, distinct_events
 from vigilcard.sources.scratch import Scratch, scratch_path
@@ -210,6 +210,29 @@ def amount_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("amount_profile_partials")
+def amount_profile_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``amount_profile``, with history's whole days from stored moments of two batches."""
+    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    store, late = _store(spark, "layers"), F.substring("transaction_id", -1, 1) == "7"
+    for part in (history.filter(~late), history.filter(late)):
+        store.append_new("raw", part)
+        store.write_day_moments(part)
+    rows = align(batch).withColumn("is_batch", F.lit(True))
+    past = align(store.read("raw")).withColumn("is_batch", F.lit(False))
+    days = [r[0] for r in rows.select(F.expr("ts_epoch div 86400")).distinct().collect()]
+    featured = with_windows(rows, past, fixtures.SPLIT_EPOCH, history_ended=True, families=("customer",),
+                            moments=store.read_day_moments(), days=days)
+    return with_row_features(featured, default_config(), ("customer",)).select(
+        "transaction_id",
+        _rounded("amount_mean_90d", 8),
+        _rounded("amount_std_90d", 6),
+        "amount_count_90d",
+        _rounded("amount_zscore", 4),
+        _rounded("amount_vs_avg_ratio", 4),
+    )
+
+
 @query("amount_profile_large")
 def amount_profile_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deviation of amounts that are ten million larger."""

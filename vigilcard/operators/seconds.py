@@ -19,10 +19,12 @@ single key holds a large part of the data:
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilcard.operators.align import since_seconds
+from vigilcard.operators.align import day_literal, since_seconds
 from vigilcard.operators.replay import in_second_predecessors
 
 # Window lengths in seconds.
@@ -41,6 +43,7 @@ CARD_PAYLOAD = (
 )
 BIN_PAYLOAD = ("transaction_id", "timestamp", "auth_result")
 
+_EPOCH = date(1970, 1, 1).toordinal()
 # Parts a second plays in a slot.
 OWN, REACHED, CARRIED = "own", "reached", "carried"
 
@@ -94,15 +97,16 @@ def _slot(length: int) -> str:
 
 
 def _in_slots(
-    seconds: DataFrame, key: str, slot: int, reach: int, since: int | None, carry: bool = False
+    seconds: DataFrame, key: str, slot: int, reach: int, since: int | None, carry: bool = False, ahead: int = 1
 ) -> DataFrame:
-    """Seconds in their own slot and, as ``reached``, in the next one if a frame there needs them.
+    """Seconds in their own slot and, as ``reached``, in the next one (or the one ``ahead`` slots
+    later) if a frame there needs them.
 
     ``countdown`` is the time left in the slot, the order in which a slot is read backwards.
     ``carry`` adds the last second of the previous used slot as ``carried``, without values.
     """
     near_end = "" if reach >= slot else f"WHEN pmod(ts_epoch, {slot}) < {slot - reach} THEN array(0)"
-    hops = f"explode(CASE {near_end} WHEN true THEN array(0, 1) END) AS hop"
+    hops = f"explode(CASE {near_end} WHEN true THEN array(0, {ahead}) END) AS hop"
     role = f"CASE WHEN hop = 0 THEN '{OWN}' ELSE '{REACHED}' END AS role"
     copies = seconds.selectExpr("*", hops).selectExpr("*", f"({_slot(slot)}) + hop AS slot", role).drop("hop")
     if since is not None:
@@ -194,27 +198,92 @@ def card_seconds(
     )
 
 
+# Count, mean and centred squares of amounts; equal amounts have exactly their own mean.
+_MOMENTS = {
+    "n": "count(amount)",
+    "mean": "CASE WHEN min(amount) = max(amount) THEN min(amount) ELSE avg(amount) END",
+    "squares": "CASE WHEN min(amount) = max(amount) THEN 0D ELSE var_pop(amount) * count(amount) END",
+}
+
+
+def day_moments(rows: DataFrame) -> DataFrame:
+    """Count, mean and centred squares of the amounts of each (customer_key, day) of aligned rows.
+
+    Such rows of several batches may stand side by side; readers merge them.
+    """
+    known = rows.filter("ts_epoch IS NOT NULL AND amount IS NOT NULL")
+    day = F.expr(f"{_slot(ONE_DAY)} AS day")
+    return known.groupBy("customer_key", day).agg(*[F.expr(f"{text} AS {name}") for name, text in _MOMENTS.items()])
+
+
+def _whole_days(moments: DataFrame, asked: DataFrame) -> DataFrame:
+    """Moments of the 89 days before each asked (customer_key, day), as n_whole, mean_whole, rest_whole.
+
+    A customer has one row per day and batch here, however many transactions there were.
+    """
+    key = "customer_key"
+    marked = moments.select(key, "day", "n", "mean", "squares", F.lit(False).alias("asked")).unionByName(
+        asked.selectExpr(key, "day", "0L AS n", "CAST(NULL AS DOUBLE) AS mean", "0D AS squares", "true AS asked"))
+    near = "first(mean, true) OVER (PARTITION BY customer_key ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    shifted = marked.selectExpr("*", f"{near} AS shift")
+    frame = "OVER (PARTITION BY customer_key ORDER BY day RANGE BETWEEN 89 PRECEDING AND 1 PRECEDING)"
+    summed = shifted.selectExpr(
+        key, "day", "asked", "shift",
+        f"coalesce(sum(n) {frame}, 0) AS n_whole",
+        f"coalesce(sum(n * (mean - shift)) {frame}, 0D) AS moved",
+        f"coalesce(sum(squares + n * (mean - shift) * (mean - shift)) {frame}, 0D) AS moved_squares",
+    ).filter("asked")
+    return summed.selectExpr(
+        key, "day AS slot", "n_whole",
+        "CASE WHEN n_whole > 0 THEN shift + moved / n_whole END AS mean_whole",
+        "CASE WHEN n_whole > 0 THEN greatest(moved_squares - moved * moved / n_whole, 0D) ELSE 0D END AS rest_whole")
+
+
+def _merged(df: DataFrame, first: str, second: str, into: str) -> DataFrame:
+    """Adds the moments of two parts as one; nothing of the size of a squared amount is subtracted."""
+    n, apart = f"(n_{first} + n_{second})", f"coalesce(mean_{first} - mean_{second}, 0D)"
+    share = [f"coalesce(mean_{part} * (n_{part} / {n}), 0D)" for part in (first, second)]
+    return df.selectExpr(
+        "*",
+        f"{n} AS n_{into}",
+        f"CASE WHEN {n} > 0 THEN {' + '.join(share)} END AS mean_{into}",
+        f"rest_{first} + rest_{second} + CASE WHEN {n} > 0 THEN {apart} * {apart} * n_{first} * (n_{second} / {n}) ELSE 0D END"
+        f" AS rest_{into}")
+
+
 def customer_seconds(
-    batch: DataFrame, history: DataFrame | None, since: int | None = None, few_keys: bool = False
+    batch: DataFrame,
+    history: DataFrame | None,
+    since: int | None = None,
+    few_keys: bool = False,
+    moments: DataFrame | None = None,
+    days: list[int] | None = None,
 ) -> DataFrame:
     """90-day spending profile for each (customer_key, ts_epoch) with batch rows.
 
-    A second keeps the number of its amounts, their mean and their centred squares. The two
-    halves of a frame are summed as distances from a shift near the half's own amounts (its
-    median second), which stay small where amounts are large, and are then combined by the
-    rule for merging moments; nothing of the size of a squared amount is ever subtracted.
+    A second keeps the number of its amounts, their mean and their centred squares. The parts of
+    a frame are summed as distances from a shift near the part's own amounts, which stay small
+    where amounts are large, and are then combined by the rule for merging moments.
+
+    ``moments`` are the day moments of all history. With them, and with ``days``, the days since
+    1970 on which the batch has rows, history is read for the two days only where a frame
+    begins or ends inside; the 89 whole days between them come from the moments.
     """
     key = "customer_key"
-    measures = {
-        "n": "count(amount)",
-        "mean": "CASE WHEN min(amount) = max(amount) THEN min(amount) ELSE avg(amount) END",
-        "squares": "CASE WHEN min(amount) = max(amount) THEN 0D ELSE var_pop(amount) * count(amount) END",
-    }
+    slot, ahead = (NINETY_DAYS, 1) if moments is None else (ONE_DAY, NINETY_DAYS // ONE_DAY)
+    if moments is not None:
+        if since is None or days is None:
+            raise ValueError("day moments need the first second and the days of the batch")
+        edges = sorted({*days, *(day - ahead for day in days)})
+        if history is not None:
+            if "dt" in history.columns:
+                history = history.filter(F.col("dt").isin([date.fromordinal(_EPOCH + day) for day in edges]))
+            history = history.filter(F.expr(_slot(ONE_DAY)).isin(edges))
     seconds = _second_rows(
-        batch, history, key, ("amount",), measures, since, NINETY_DAYS, keep_older=False, few_keys=few_keys
+        batch, history, key, ("amount",), _MOMENTS, since, NINETY_DAYS, keep_older=False, few_keys=few_keys
     )
     shift = f"percentile_approx(CASE WHEN role = '{{}}' THEN mean END, 0.5) OVER (PARTITION BY {key}, slot)"
-    placed = _in_slots(seconds, key, NINETY_DAYS, NINETY_DAYS, since).selectExpr(
+    placed = _in_slots(seconds, key, slot, slot, since, ahead=ahead).selectExpr(
         "*", f"CASE WHEN role = '{OWN}' THEN {shift.format(OWN)} ELSE {shift.format(REACHED)} END AS shift"
     )
     moved = placed.selectExpr(
@@ -227,27 +296,36 @@ def customer_seconds(
     summed = moved.selectExpr(
         key,
         "ts_epoch",
+        "slot",
         KEPT,
         f"{shift.format(OWN)} AS shift_own",
         f"{shift.format(REACHED)} AS shift_old",
         *[f"{text} AS {name}" for name, text in halves.items()],
     ).filter("kept")
-    centred = summed.selectExpr(
-        "*",
-        "n_own + n_old AS n",
+    found = summed.selectExpr(
+        key, "ts_epoch", "slot", "n_own", "n_old",
         *[f"CASE WHEN n_{h} > 0 THEN shift_{h} + moved_{h} / n_{h} END AS mean_{h}" for h in ("own", "old")],
         *[f"CASE WHEN n_{h} > 0 THEN greatest(moved_squares_{h} - moved_{h} * moved_{h} / n_{h}, 0D) ELSE 0D END AS rest_{h}"
           for h in ("own", "old")],
     )
-    apart = "coalesce(mean_own - mean_old, 0D)"
-    return centred.selectExpr(
+    found = _merged(found, "own", "old", "both")
+    part = "both"
+    if moments is not None:
+        asked = batch.filter("ts_epoch IS NOT NULL").select(key, F.expr(f"{_slot(ONE_DAY)} AS day")).distinct()
+        kept = moments.filter(F.col("day") >= since // ONE_DAY - ahead)
+        if "dt" in moments.columns:
+            kept = kept.filter(F.col("dt") >= day_literal(since - NINETY_DAYS)).drop("dt")
+        if few_keys:
+            kept = kept.join(F.broadcast(asked.select(key).distinct()), key, "left_semi")
+        whole = _whole_days(kept.unionByName(day_moments(batch)), asked)
+        found = _merged(found.join(whole, [key, "slot"]), "both", "whole", "all")
+        part = "all"
+    return found.selectExpr(
         key,
         "ts_epoch",
-        "CASE WHEN n > 0 THEN coalesce(mean_own * (n_own / n), 0D) + coalesce(mean_old * (n_old / n), 0D) ELSE 0D END"
-        " AS amount_mean_90d",
-        f"CASE WHEN n > 1 THEN sqrt((rest_own + rest_old + {apart} * {apart} * n_own * (n_old / n)) / (n - 1))"
-        " ELSE 0D END AS amount_std_90d",
-        "n AS amount_count_90d",
+        f"coalesce(mean_{part}, 0D) AS amount_mean_90d",
+        f"CASE WHEN n_{part} > 1 THEN sqrt(rest_{part} / (n_{part} - 1)) ELSE 0D END AS amount_std_90d",
+        f"n_{part} AS amount_count_90d",
     )
 
 
@@ -324,6 +402,8 @@ def with_windows(
     as_of: DataFrame | None = None,
     snapshot=None,
     few_keys: bool = False,
+    moments: DataFrame | None = None,
+    days: list[int] | None = None,
 ) -> DataFrame:
     """Adds the window features and predecessors of aligned batch rows, whose ids are unique.
 
@@ -332,6 +412,7 @@ def with_windows(
     of the batch. ``as_of`` asks for the predecessors of a replay, see ``_with_row_before``.
     ``snapshot`` stands for history before its day, which must end a day or more before
     ``since``; ``few_keys`` says that the keys of the batch are few enough to broadcast.
+    ``moments`` and ``days`` shorten what the spending profile reads, see ``customer_seconds``.
     """
     if snapshot is not None and (since is None or snapshot.as_of > since - ONE_DAY):
         raise ValueError("a snapshot must end at least a day before the batch begins")
@@ -355,7 +436,7 @@ def with_windows(
         )
     if "customer" in families:
         narrow = batch.select("transaction_id", "customer_key", "ts_epoch")
-        seconds = customer_seconds(batch, history, since, few_keys)
+        seconds = customer_seconds(batch, history, since, few_keys, moments, days)
         found.append(
             narrow.join(seconds, ["customer_key", "ts_epoch"], "left").selectExpr(
                 "transaction_id",

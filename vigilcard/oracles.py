@@ -367,6 +367,7 @@ SELECT transaction_id, prev_ts, prev_merchant_city, prev_terminal_id, prev_devic
 SELECT transaction_id, round(mean90, 8) AS amount_mean_90d, round(std90, 6) AS amount_std_90d,
   count90 AS amount_count_90d, round(zscore, 4) AS amount_zscore, round(ratio, 4) AS amount_vs_avg_ratio FROM feats""")
     larger = windows().replace("AS part FROM tx)", "AS part FROM (SELECT * REPLACE (amount + 1e7 AS amount) FROM tx))")
+    out["amount_profile_partials"] = out["amount_profile"]
     out["amount_profile_large"] = f"""WITH {TX}, {larger}
 SELECT transaction_id, round(std90, 5) AS amount_std_90d, count90 AS amount_count_90d FROM wins WHERE part = 1"""
     guarded = "CASE WHEN mean90 > 0 AND std90 >= 0.001 THEN (amount - mean90) / std90 ELSE 0 END"

@@ -12,8 +12,9 @@ from vigilcard.operators.align import KEYS, align, day_literal
 from vigilcard.operators.decisions import enriched_transactions, timestamp_literal, with_decision
 from vigilcard.operators.novelty import with_novelty_as_of
 from vigilcard.operators.replay import compare_decisions
-from vigilcard.operators.seconds import with_windows
+from vigilcard.operators.seconds import NINETY_DAYS, with_windows
 from vigilcard.plans.scoring import with_row_features
+from vigilcard.sources.scratch import Scratch
 
 # So many ids are few enough to broadcast them and their keys.
 FEW_IDS = 100_000
@@ -25,14 +26,18 @@ def recompute_decisions(
     """Enriched rows of the given ids (all rows without ids), each against its own past.
 
     Up to ``FEW_IDS`` ids are looked up first; then only rows of their cards, customers and BINs
-    up to their latest time are read for the windows, which no other row can enter.
+    up to their latest time are read for the windows, which no other row can enter. The ids, their
+    times and keys are staged and stay in the scratch folder, as the result is lazy.
     """
     rows, rest = align(raw).drop("dt"), None
     everything = rows
     if ids is not None:
-        wanted = ids.select("transaction_id").distinct()
-        if wanted.limit(FEW_IDS + 1).count() <= FEW_IDS:
-            everything = _related(raw, rows.join(F.broadcast(wanted), "transaction_id", "left_semi"))
+        scratch = Scratch(raw.sparkSession)
+        wanted = scratch.stage(ids.select("transaction_id").distinct(), "replay-ids")
+        if wanted.count() <= FEW_IDS:
+            # Raw is searched for the ids once; times and keys are taken from what was found.
+            found = rows.join(F.broadcast(wanted), "transaction_id", "left_semi")
+            everything = _related(raw, scratch.stage(found.select("ts_epoch", *KEYS), "replay-asked"))
         rows = everything.join(wanted, "transaction_id", "left_semi")
         rest = everything.join(wanted, "transaction_id", "left_anti").withColumn("is_batch", F.lit(False))
     rows = rows.withColumn("is_batch", F.lit(True))
@@ -44,8 +49,10 @@ def recompute_decisions(
 
 def _related(raw: DataFrame, asked: DataFrame) -> DataFrame:
     """Aligned rows that share a card, customer or BIN with the asked rows, up to their latest
-    time; rows without a time stay."""
-    latest, untimed = asked.agg(F.max("ts_epoch"), F.count_if(F.col("ts_epoch").isNull())).first()
+    time; rows that share the customer alone from 90 days before the earliest time on, as the row
+    before and the values seen belong to cards and BINs. Rows without a time stay."""
+    earliest, latest, untimed = asked.agg(
+        F.min("ts_epoch"), F.max("ts_epoch"), F.count_if(F.col("ts_epoch").isNull())).first()
     if latest is not None and not untimed:
         if "dt" in raw.columns:
             raw = raw.filter(F.col("dt").isNull() | (F.col("dt") <= day_literal(latest)))
@@ -54,7 +61,10 @@ def _related(raw: DataFrame, asked: DataFrame) -> DataFrame:
     for key in KEYS:
         mine = asked.select(key).distinct().withColumn(f"_{key}", F.lit(True))
         rows = rows.join(F.broadcast(mine), key, "left")
-    met = F.coalesce(*[F.col(f"_{key}") for key in KEYS], F.lit(False))
+    reached = F.lit(True)
+    if earliest is not None:
+        reached = F.col("ts_epoch").isNull() | (F.col("ts_epoch") >= earliest - NINETY_DAYS)
+    met = F.coalesce("_card_key", "_bin", F.col("_customer_key") & reached, F.lit(False))
     return rows.filter(met).drop(*[f"_{key}" for key in KEYS])
 
 

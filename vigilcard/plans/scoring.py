@@ -52,6 +52,8 @@ def transaction_features(
     snapshot: Snapshot | None = None,
     few_keys: bool = False,
     companions: DataFrame | None = None,
+    moments: DataFrame | None = None,
+    days: list[int] | None = None,
 ) -> DataFrame:
     """Batch rows with every unrounded feature of the chosen families.
 
@@ -63,7 +65,8 @@ def transaction_features(
     ``snapshot`` replaces history before its day where only its last or distinct values
     matter. ``few_keys`` allows to broadcast the keys of the batch. ``companions`` are rows of
     the same batch, all before ``since``, that are scored elsewhere: windows see them,
-    novelty does not.
+    novelty does not. ``moments`` and ``days`` shorten what the spending profile reads, see
+    ``customer_seconds``.
     """
     rows = align(batch).withColumn("is_batch", F.lit(True))
     past = None if history is None else align(history).withColumn("is_batch", F.lit(False))
@@ -75,7 +78,8 @@ def transaction_features(
         before = beside if past is None else past.unionByName(beside)
         known = None if snapshot is None else with_rows(snapshot, beside)
     featured = with_windows(
-        rows, before, since, config.bin_window_seconds, history_ended, families, snapshot=known, few_keys=few_keys
+        rows, before, since, config.bin_window_seconds, history_ended, families, snapshot=known, few_keys=few_keys,
+        moments=moments, days=days,
     )
     if "novelty" in families:
         featured = with_novelty(featured, rows, _seen(past, rows, snapshot, few_keys))
@@ -109,6 +113,8 @@ def score_transactions(
     snapshot: Snapshot | None = None,
     few_keys: bool = False,
     companions: DataFrame | None = None,
+    moments: DataFrame | None = None,
+    days: list[int] | None = None,
 ) -> DataFrame:
     """Features and decisions of a batch, unrounded and lazy.
 
@@ -116,7 +122,8 @@ def score_transactions(
     """
     moment = decision_ts or datetime.now(timezone.utc)
     features = transaction_features(
-        batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys, companions=companions
+        batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys, companions=companions,
+        moments=moments, days=days,
     )
     return with_decision(features, config, timestamp_literal(moment))
 

@@ -23,17 +23,22 @@ from datetime import date, datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from vigilcard.functions.cards import utc_date
 from vigilcard.operators.align import align, day_literal
 from vigilcard.operators.profiles import merge_deltas
+from vigilcard.operators.seconds import day_moments
 from vigilcard.operators.snapshots import Snapshot, snapshot_of
 from vigilcard.schemas import ALERT, AUDIT_READ, ENRICHED, FRAUD_LABELS, PROFILE, RAW, REJECTED
 from vigilcard.sources.levels import Levels
 from vigilcard.sources.manifest import Files, Manifest
 
 SCHEMAS = {"raw": RAW, "enriched": ENRICHED, "alerts": ALERT}
+DAY_MOMENTS = StructType(
+    [StructField("customer_key", StringType()), StructField("day", LongType()), StructField("n", LongType()),
+     StructField("mean", DoubleType()), StructField("squares", DoubleType()), StructField("dt", DateType())]
+)
 # Profile deltas before they are merged into one.
 PROFILE_DELTAS = 50
 # History snapshots that are kept, the newest ones.
@@ -84,7 +89,7 @@ class LayerStore:
         markers = [n for n in self._files.names(self._markers()) if owner is None or n.split(".")[0] == owner]
         for marker in markers:
             name = marker.split(".")[1]
-            folders = [f"{layer}/dt=*" for layer in SCHEMAS] + ["audit", "rejected", "fraud_labels", "snapshots/as_of=*/*"]
+            folders = [f"{layer}/dt=*" for layer in (*SCHEMAS, "day_moments")] + ["audit", "rejected", "fraud_labels", "snapshots/as_of=*/*"]
             for folder in folders:
                 for path in self._files.matching(f"{self.root}/{folder}/{BATCH}={name}"):
                     self._files.delete(path)
@@ -320,6 +325,17 @@ class LayerStore:
     def _snapshots(self) -> list[int]:
         return [entry["as_of"] for entry in self._snapshot_list.entries()]
 
+    def write_day_moments(self, rows: DataFrame) -> None:
+        """Adds the amounts of transactions that are new in raw to the moments of their days."""
+        found = day_moments(align(rows)).withColumn("dt", F.date_from_unix_date(F.col("day").cast("int")))
+        with self.batch() as name:
+            dated = found.withColumn(BATCH, F.lit(name)).hint("rebalance", F.col("dt"))
+            dated.write.mode("append").partitionBy("dt", BATCH).parquet(self.path("day_moments"))
+
+    def read_day_moments(self) -> DataFrame | None:
+        """Moments per customer, day and batch, or None when there are none."""
+        return self._visible(self._read(self.path("day_moments"), named(DAY_MOMENTS)))
+
     def write_labels(self, labels: DataFrame) -> None:
         """Appends ground-truth labels."""
         with self.batch() as name:
