@@ -152,7 +152,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = 20_000, v
         return model
     least = max(2, round(np.log2(sizes["n"]) / 2))
     kept = counted.where((F.col("n") >= least) & F.col("word").isNotNull())
-    kept = kept.orderBy(F.desc("n"), "word").limit(vocabulary).toPandas()
+    kept = kept.orderBy(F.desc("n"), "word").limit(vocabulary).toArrow().to_pandas()
     model.vocabulary = kept["word"].tolist()
     shared = _corpus_frequencies(documents, model.vocabulary)
     _fit_ratios(model, rows.where("NOT tune"), shared, 4 * least, bigrams)
@@ -184,7 +184,7 @@ def _corpus_frequencies(documents: DataFrame, vocabulary: list[str]) -> np.ndarr
 
     parts = documents.select("text").mapInArrow(frequencies, "block int, n array<long>")
     parts = parts.select("block", F.posexplode("n").alias("k", "n")).groupBy("block", "k").agg(F.sum("n").alias("n"))
-    rows = parts.where("n > 0").select((F.col("block") * block + F.col("k")).alias("word"), "n").toPandas()
+    rows = parts.where("n > 0").select((F.col("block") * block + F.col("k")).alias("word"), "n").toArrow().to_pandas()
     total = np.zeros(size)
     total[rows["word"].to_numpy()] = rows["n"].to_numpy()
     return total
@@ -213,14 +213,14 @@ def _fit_ratios(model: KneserNey, rows: DataFrame, shared: np.ndarray, least: in
 
     counted = stage(counted, "toxicity-bigrams")
     contexts = counted.groupBy("label", F.expr(f"pair DIV {size}").alias("word")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("kinds")).toPandas()
+        F.sum("n").alias("n"), F.count("*").alias("kinds")).toArrow().to_pandas()
     sums = contexts.groupby("word")[["n", "kinds"]].sum()
     backoff = np.ones(size)  # one weight for both classes: class sizes must not look like evidence
     backoff[sums.index] = DISCOUNT * sums["kinds"] / sums["n"]
-    endings = counted.groupBy("label", F.expr(f"pair % {size}").alias("word")).agg(F.count("*").alias("kinds")).toPandas()
+    endings = counted.groupBy("label", F.expr(f"pair % {size}").alias("word")).agg(F.count("*").alias("kinds")).toArrow().to_pandas()
     top = counted.groupBy("pair").agg(
         F.sum(F.expr("IF(label = 1, n, 0)")).alias("toxic"), F.sum(F.expr("IF(label = 0, n, 0)")).alias("ordinary"))
-    top = top.where(f"toxic + ordinary >= {least}").orderBy(F.desc(F.expr("toxic + ordinary")), "pair").limit(bigrams).toPandas()
+    top = top.where(f"toxic + ordinary >= {least}").orderBy(F.desc(F.expr("toxic + ordinary")), "pair").limit(bigrams).toArrow().to_pandas()
     top = top.sort_values("pair")
     background = (shared + 1) / (shared.sum() + size)
     by_word, totals = [], []
@@ -252,7 +252,7 @@ def _column(rows, label: int, name: str, size: int) -> np.ndarray:
 
 def _fit_curve(spark: SparkSession, model: KneserNey, rows: DataFrame) -> None:
     """Logistic curve over the two ratios, by Newton steps with a small ridge."""
-    found = _with_features(rows, model, ["label"]).toPandas()
+    found = _with_features(rows, model, ["label"]).toArrow().to_pandas()
     x = np.column_stack([found["whole"], found["peak"], np.ones(len(found))])
     y = found["label"].to_numpy(float)
     if len(set(y)) < 2:
