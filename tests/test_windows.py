@@ -7,6 +7,7 @@ import pytest
 from rows import START, _epoch, collect, frame, model, random_rows, tx
 
 from vigilcard.config import default_config
+from vigilcard.operators import seconds
 from vigilcard.plans.scoring import transaction_features
 
 CONFIG = default_config()
@@ -93,6 +94,26 @@ def test_hot_card_plan_has_bounded_groups(spark):
     assert windows and not whole_key
 
 
+@pytest.mark.parametrize("rate,most", [(1, 255), (2, 3)])
+def test_ranges_of_a_second_give_the_same_rows_before(spark, monkeypatch, rate, most):
+    """Every id, or each second one, is a border; history shares seconds with the batch."""
+    monkeypatch.setattr(seconds, "BORDER_RATE", rate)
+    monkeypatch.setattr(seconds, "MOST_BORDERS", most)
+    rows = random_rows(7, 200, days=20)
+    check(spark, rows[:90], rows[90:])
+    check(spark, [tx(transaction_id=f"t{n:03d}", amount=1.0 + n, timestamp=START + timedelta(microseconds=n)) for n in range(60)], None)
+
+
+def test_a_hot_second_is_spread_over_tasks(spark):
+    """A second with half of all rows is ordered in several groups of several partitions."""
+    many = spark.range(80_000).selectExpr(
+        "concat('t', lpad(id, 6, '0')) AS transaction_id", "IF(id % 2 = 0, 'hot', concat('c', id)) AS card_key", "7L AS ts_epoch")
+    borders = seconds._borders(many, "card_key")
+    found = seconds._in_ranges(many, borders, "card_key", "left").filter("card_key = 'hot'").groupBy("id_range").count().collect()
+    assert borders.count() == 1 and len(found) >= 5
+    assert sum(r["count"] for r in found) == 40_000 and max(r["count"] for r in found) < 20_000
+
+
 @pytest.mark.parametrize("base", [1e4, 1e6, 1e7, 1e8])
 def test_deviation_of_large_amounts(spark, base):
     """Amounts close together around a large one, after ninety days of small ones."""

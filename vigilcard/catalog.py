@@ -198,6 +198,20 @@ def previous_transaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("previous_in_hot_second")
+def previous_in_hot_second(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row before of card and BIN when half of all rows share one card and one second."""
+    hot = F.substring("transaction_id", -1, 1).cast("int") % 2 == 0
+    rows = fixtures.transactions(spark, sf_dir).withColumns({
+        "card_id": F.when(hot, "4532010000000001").otherwise(F.col("card_id")),
+        "timestamp": F.when(hot, F.timestamp_seconds(F.lit(fixtures.SPLIT_EPOCH + 60))).otherwise(F.col("timestamp"))})
+    split = F.timestamp_seconds(F.lit(fixtures.SPLIT_EPOCH))
+    past = align(rows.filter(F.col("timestamp") < split)).withColumn("is_batch", F.lit(False))
+    batch = align(rows.filter(F.col("timestamp") >= split)).withColumn("is_batch", F.lit(True))
+    found = with_windows(batch, past, fixtures.SPLIT_EPOCH, history_ended=True, families=("card", "bin"))
+    return comparable(found.select("transaction_id", "prev_ts", "prev_amount", "previous_transaction_id", "prev_bin_approved"))
+
+
 @query("amount_profile")
 def amount_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _features(spark, sf_dir, "customer").select(

@@ -43,6 +43,10 @@ CARD_PAYLOAD = (
 )
 BIN_PAYLOAD = ("transaction_id", "timestamp", "auth_result")
 
+# One id in so many, by its hash, may be a border between ranges of ids of a crowded second,
+# and the most borders a second has.
+BORDER_RATE, MOST_BORDERS = 4096, 255
+
 _EPOCH = date(1970, 1, 1).toordinal()
 # Parts a second plays in a slot.
 OWN, REACHED, CARRIED = "own", "reached", "carried"
@@ -358,6 +362,26 @@ def bin_seconds(
     )
 
 
+def _borders(rows: DataFrame, key: str) -> DataFrame:
+    """For each crowded (key, second), ids that cut it into ranges of about equal size.
+
+    Only sampled ids are shuffled, so a second with two or more of them holds thousands of rows. The
+    borders decide where rows are ordered, never in which order.
+    """
+    sampled = rows.filter(f"ts_epoch IS NOT NULL AND pmod(xxhash64(transaction_id), {BORDER_RATE}) = 0")
+    marks = sampled.groupBy(key, "ts_epoch").agg(F.expr("sort_array(collect_list(transaction_id)) AS marks"))
+    step = f"ceil(size(marks) / {MOST_BORDERS})"
+    return marks.filter("size(marks) > 1").selectExpr(
+        key, "ts_epoch", f"filter(marks, (mark, k) -> k % {step} = 0) AS borders")
+
+
+def _in_ranges(rows: DataFrame, borders: DataFrame, key: str, how: str) -> DataFrame:
+    """Adds ``id_range``, the number of borders up to the row's id; 0 in seconds without borders."""
+    placed = rows.join(borders, [key, "ts_epoch"], how)
+    at = "coalesce(size(filter(borders, border -> border <= transaction_id)), 0)"
+    return placed.withColumn("id_range", F.expr(f"CASE WHEN borders IS NULL THEN 0 ELSE {at} END")).drop("borders")
+
+
 def _with_row_before(
     batch: DataFrame,
     beside: DataFrame | None,
@@ -371,7 +395,8 @@ def _with_row_before(
     The row before is the one with the next smaller id in the same second, else the last
     row of the previous used second. ``beside`` is history that may share seconds with the
     batch. With ``as_of``, all rows there are, a row of the same second that happened later
-    is not a predecessor.
+    is not a predecessor. The rows of a crowded second are ordered in ranges of ids, each in a
+    group of its own; the first row of a range gets the last one of the range before.
     """
     rows = batch
     if beside is not None:
@@ -380,9 +405,14 @@ def _with_row_before(
     joined = rows.join(seconds, [key, "ts_epoch"], "left")
     if beside is not None:
         joined = joined.filter("is_batch OR matched").drop("matched")
-    in_second = f"lag(struct(ts_epoch, {', '.join(payload)})) OVER (PARTITION BY {key}, ts_epoch ORDER BY transaction_id)"
     columns = [f"`{c}`" for c in joined.columns if c != "row_before"]
-    chained = joined.selectExpr(*columns, f"{in_second} AS beside", "row_before AS earlier")
+    row, ranges, borders = f"struct(ts_epoch, {', '.join(payload)})", [key, "ts_epoch", "id_range"], _borders(rows, key)
+    ends = _in_ranges(rows, borders, key, "inner").groupBy(*ranges).agg(F.expr(f"max_by({row}, transaction_id) AS end"))
+    carried = ends.selectExpr(*ranges, f"lag(end) OVER (PARTITION BY {key}, ts_epoch ORDER BY id_range) AS carried")
+    # The shuffle is asked for: one on (key, second) would satisfy the window as well.
+    placed = _in_ranges(joined, borders, key, "left").repartition(*ranges).join(carried, ranges, "left")
+    in_range = f"lag({row}) OVER (PARTITION BY {', '.join(ranges)} ORDER BY transaction_id)"
+    chained = placed.selectExpr(*columns, f"coalesce({in_range}, carried) AS beside", "row_before AS earlier")
     if beside is not None:
         chained = chained.filter("is_batch")
     neighbour = "beside"

@@ -363,6 +363,11 @@ SELECT transaction_id, velocity_1min, velocity_5min, velocity_1h, velocity_24h,
     out["previous_transaction"] = _on_windows("""
 SELECT transaction_id, prev_ts, prev_merchant_city, prev_terminal_id, prev_device_id, prev_amount, prev_entry_mode,
   previous_transaction_id""")
+    crowded = windows().replace("AS part FROM tx)", f"""AS part FROM (SELECT * REPLACE (
+  CASE WHEN event_id % 2 = 0 THEN '4532010000000001' ELSE card_id END AS card_id,
+  CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '{SPLIT}' + INTERVAL 60 SECOND ELSE timestamp END AS timestamp) FROM tx))""")
+    out["previous_in_hot_second"] = f"""WITH {TX}, {crowded}
+SELECT transaction_id, prev_ts, prev_amount, previous_transaction_id, prev_bin_approved FROM wins WHERE part = 1"""
     out["amount_profile"] = _on_features("""
 SELECT transaction_id, round(mean90, 8) AS amount_mean_90d, round(std90, 6) AS amount_std_90d,
   count90 AS amount_count_90d, round(zscore, 4) AS amount_zscore, round(ratio, 4) AS amount_vs_avg_ratio FROM feats""")
