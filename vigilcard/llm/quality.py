@@ -6,6 +6,9 @@ non-negative unbiased risk ``prior * R+(p) + max(0, R-(u) - prior * R-(p))`` wit
 loss: where the second part falls below zero, the step goes against it instead. The class
 prior is estimated from the scores of first classifiers that tell positives from unlabelled
 text: the share of unlabelled rows that score like positives on rows they were not fitted on.
+That gives a ratio for each of several cuts; which quantile of them is the prior is chosen on an
+inner fold of the given labels: a quarter of the positives and rows labelled bad, which judge
+the candidates and are no examples. Rows whose labels are not given count as unlabelled text.
 
 Features are shares and rates of the whole text: character classes, repeated words, lines and
 neighbours, word lengths, symbols; each is cut into quantile bins of the sample, so that the
@@ -13,7 +16,7 @@ linear model can follow any shape. The fit uses a bounded sample (``rows`` posit
 many unlabelled rows, those with the least hash of the id); scoring reads every whole text.
 
 Defined cases: a null text is an empty one and gets a score like any other; rows without
-label, id or text are unlabelled or unused; repeated rows score alike; an empty table gives an
+label, id or text are unlabelled or unused, and a row without id is not held out; repeated rows score alike; an empty table gives an
 empty result; without positives every score is 0, without unlabelled rows 1. ``score`` keeps
 other columns.
 """
@@ -120,10 +123,10 @@ def _minimise(model: PuClassifier, pos: np.ndarray, unl: np.ndarray, prior: floa
         model.weights -= 0.05 * first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
 
 
-def _estimate_prior(model: PuClassifier, pos: np.ndarray, unl: np.ndarray) -> float:
+def _prior_ratios(model: PuClassifier, pos: np.ndarray, unl: np.ndarray) -> np.ndarray:
     """Cross-fitted: a classifier of one half ranks the other half's rows. Above a cut that
     most positives pass, the ratio of unlabelled to positive shares is the prior plus what bad
-    text passes; the least of the ratios is taken over several cuts."""
+    text passes; a ratio for each of several cuts."""
     ratios = []
     for k in (0, 1):
         _minimise(model, pos[k::2], unl[k::2], None, steps=150)
@@ -131,22 +134,44 @@ def _estimate_prior(model: PuClassifier, pos: np.ndarray, unl: np.ndarray) -> fl
         if len(zp) and len(zu):
             cuts = np.quantile(zp, np.linspace(0.02, 0.3, 15))
             ratios.append([(zu >= c).mean() / (zp >= c).mean() for c in cuts])
-    return float(np.clip(np.mean(ratios, axis=0).min(), 0.05, 0.98)) if ratios else 0.5
+    return np.mean(ratios, axis=0) if ratios else np.array([0.5])
+
+
+def _as_prior(ratios: np.ndarray, quantile: float) -> float:
+    return float(np.clip(np.quantile(ratios, quantile), 0.05, 0.98))
+
+
+def _estimate_prior(
+    model: PuClassifier, pos: np.ndarray, unl: np.ndarray, bad: np.ndarray, quantiles: tuple[float, ...] = (0.0, 0.25, 0.5, 0.75)
+) -> float:
+    """The prior by the quantile of the ratios whose classifier has the least loss on the inner
+    fold, good and bad rows weighing alike; the first one if the fold lacks a class."""
+    inner, rest, best = pos[::4], np.delete(pos, np.s_[::4], axis=0), quantiles[0]
+    if len(rest) and len(bad):
+        ratios, losses = _prior_ratios(model, rest, unl), []
+        for quantile in quantiles:
+            _minimise(model, rest, unl, _as_prior(ratios, quantile))
+            losses.append(np.logaddexp(0, -model.margin(inner)).mean() + np.logaddexp(0, model.margin(bad)).mean())
+        best = quantiles[int(np.argmin(losses))]
+    return _as_prior(_prior_ratios(model, pos, unl), best)
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows: int = 20_000, bins: int = 12, prior: float | None = None) -> PuClassifier:
     """Fits on ``rows`` positives and ``rows`` unlabelled documents at most.
 
     ``labels`` has doc_id and label; only rows with label 1 are examples, and a document with
-    any row in it is not unlabelled. ``prior`` is estimated unless given.
+    any row in it is not unlabelled. ``prior`` is estimated unless given, with a quarter as many
+    rows of label 0 in the inner fold.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     known = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     good = known.where("label = 1").orderBy(*order).limit(rows).withColumn("positive", F.lit(1))
     free = documents.where("doc_id IS NOT NULL").select("doc_id").join(known, "doc_id", "left_anti")
     free = free.distinct().orderBy(*order).limit(rows).withColumn("positive", F.lit(0))
-    chosen = good.select("doc_id", "positive").unionByName(free.select("doc_id", "positive"))
-    sample = documents.select("doc_id", "text").join(limited_broadcast(chosen, 2 * rows), "doc_id")
+    bad = known.where("label = 0").orderBy(*order).limit(rows // 4).withColumn("positive", F.lit(-1))
+    chosen = [part.select("doc_id", "positive") for part in (good, free, bad)]
+    chosen = chosen[0].unionByName(chosen[1]).unionByName(chosen[2])
+    sample = documents.select("doc_id", "text").join(limited_broadcast(chosen, 3 * rows), "doc_id")
 
     def measure(batches):
         for batch in pieces(batches):
@@ -159,7 +184,8 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = 20_000, bins: int =
     if not (y == 1).any() or not (y == 0).any():
         model.weights = np.array([30.0 if (y == 1).any() else -30.0])
         return model
-    x = np.array(found["x"].tolist())
+    every = np.array(found["x"].tolist())
+    x, judged, y = every[y >= 0], every[y < 0], y[y >= 0]
     # Half of the bins part the good rows, half all rows: rare bad text gets bins of its own.
     at = np.linspace(0, 1, bins // 2 + 2)[1:-1]
     tails = np.concatenate(([0.01, 0.03], at, [0.97, 0.99]))
@@ -168,7 +194,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows: int = 20_000, bins: int =
     where = model.design(x)
     pos, unl = where[y == 1], where[y == 0]
     if prior is None:
-        prior = _estimate_prior(model, pos, unl)
+        prior = _estimate_prior(model, pos, unl, model.design(judged))
     model.prior = prior
     _minimise(model, pos, unl, prior)
     return model
@@ -196,4 +222,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     usable = labels.where(id_fold(4) != 2).select("doc_id", F.col("quality").cast("int").alias("label"))
     scored = score(docs, fit(docs, usable), keep=["doc_id"])
     return scored.select(
-        "doc_id", (id_fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(id_fold(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

@@ -5,16 +5,17 @@ backoff. Levels: class bigram, class continuation unigram, shared unigram. The s
 counts documents of the whole corpus and the backoff weights of contexts are shared too, so
 that an expression the labelled rows hardly know has about one likelihood in both classes. A
 word below a minimum of labelled documents counts as its longest frequent beginning of 4 to 7
-letters, or else as one unknown word. A text is compared by its length-normalised log-likelihood ratio, over the whole
-text and in its most toxic window of ``window`` words, and a logistic curve fitted on labelled
-rows that were not counted makes a probability of it.
+letters, or else as one unknown word. A text is compared by its length-normalised log-likelihood
+ratio, over the whole text and in its most toxic window of a few words, and a logistic curve
+fitted on labelled rows that were not counted makes a probability of it. The window's length is
+chosen on the same rows: each half of them judges the curve of the other, and the least loss wins.
 
 The labelled rows are a bounded sample: at most ``rows_per_class`` of each class, those with
 the least hash of the id. Corpus counts cover every document.
 
 Defined cases: a null text is an empty one; an empty text has the ratio 0 and so the curve's
-value there; rows without label, id or text teach nothing; repeated rows score alike; an empty
-table gives an empty result; without rows of both classes every score is the share of toxic
+value there; rows without label, id or text teach nothing, and a row without id is not held out;
+repeated rows score alike; an empty table gives an empty result; without rows of both classes every score is the share of toxic
 rows, or 0. Other columns of the documents are passed through by ``score``.
 """
 
@@ -74,11 +75,12 @@ class KneserNey:
     def index(self) -> Lexicon:
         return Lexicon((word, k + 2) for k, word in enumerate(self.vocabulary))
 
-    def features(self, text: str | None, index: Lexicon) -> tuple[float, float]:
-        """Ratio per word over the whole text and in the window where it is largest."""
-        found = tokens(text)
+    def features(self, text: str | None, index: Lexicon, windows: tuple[int, ...] = ()) -> tuple[float, ...]:
+        """Ratio per word over the whole text and in the window, of each length (default: the
+        model's), where it is largest."""
+        windows, found = windows or (self.window,), tokens(text)
         if not found:
-            return 0.0, 0.0
+            return (0.0,) * (1 + len(windows))
         ids = index.ids(found)
         before = np.concatenate(([1], ids[:-1]))
         ratio = self.word_ratio[ids]
@@ -87,8 +89,8 @@ class KneserNey:
             at = np.minimum(np.searchsorted(self.bigram_keys, keys), len(self.bigram_keys) - 1)
             ratio = np.where(self.bigram_keys[at] == keys, self.bigram_ratio[at], ratio)
         sums = np.concatenate(([0.0], np.cumsum(ratio)))
-        width = min(self.window, len(ids))
-        return float(sums[-1] / len(ids)), float((sums[width:] - sums[:-width]).max() / width)
+        widths = [min(window, len(ids)) for window in windows]
+        return float(sums[-1] / len(ids)), *(float((sums[w:] - sums[:-w]).max() / w) for w in widths)
 
     def probability(self, features: np.ndarray) -> np.ndarray:
         z = features @ self.weights[:2] + self.weights[2]
@@ -118,16 +120,16 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, rows_per_class: int
 
 
 def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = 20_000, vocabulary: int = 200_000,
-        bigrams: int = 500_000, window: int = 2) -> KneserNey:
+        bigrams: int = 500_000, windows: tuple[int, ...] = (1, 2, 3, 4, 8)) -> KneserNey:
     """Fits both models; ``labels`` has doc_id and label (1 toxic, 0 ordinary).
 
     ``vocabulary`` and ``bigrams`` bound what the driver holds: the words in most labelled
-    documents and the bigrams counted most.
+    documents and the bigrams counted most; a bigram is kept from four times the least number of
+    documents of a word on. ``windows`` are the lengths to choose from.
     """
-    spark = documents.sparkSession
     rows = labelled_sample(documents, labels, rows_per_class)
     rows = rows.withColumn("tune", F.pmod(F.xxhash64("doc_id", F.lit("tune")), F.lit(4)) == 0)
-    model = KneserNey(window=window)
+    model = KneserNey(window=windows[0])
 
     def word_counts(batches):
         counts, sizes = Counter(), Counter()
@@ -156,7 +158,7 @@ def fit(documents: DataFrame, labels: DataFrame, rows_per_class: int = 20_000, v
     model.vocabulary = kept["word"].tolist()
     shared = _corpus_frequencies(documents, model.vocabulary)
     _fit_ratios(model, rows.where("NOT tune"), shared, 4 * least, bigrams)
-    _fit_curve(spark, model, rows.where("tune"))
+    _fit_curve(model, rows.where("tune"), windows)
     return model
 
 
@@ -250,33 +252,49 @@ def _column(rows, label: int, name: str, size: int) -> np.ndarray:
     return out
 
 
-def _fit_curve(spark: SparkSession, model: KneserNey, rows: DataFrame) -> None:
-    """Logistic curve over the two ratios, by Newton steps with a small ridge."""
-    found = _with_features(rows, model, ["label"]).toArrow().to_pandas()
-    x = np.column_stack([found["whole"], found["peak"], np.ones(len(found))])
-    y = found["label"].to_numpy(float)
+def _fit_curve(model: KneserNey, rows: DataFrame, windows: tuple[int, ...]) -> None:
+    """Chooses the window and fits the curve over its two ratios."""
+    rows = rows.withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0)
+    found = _with_features(rows, model, ["label", "half"], windows=windows).toArrow().to_pandas()
+    y, half = found["label"].to_numpy(float), found["half"].to_numpy(bool)
     if len(set(y)) < 2:
         model.weights = np.array([0.0, 8.0, -8.0])
         return
+    choices = [np.column_stack([found["whole"], found[f"peak_{w}"], np.ones(len(found))]) for w in windows]
+    best = 0
+    if all(len(set(y[part])) == 2 for part in (half, ~half)):
+        best = int(np.argmin([_loss(x[~h], y[~h], _curve(x[h], y[h])) + _loss(x[h], y[h], _curve(x[~h], y[~h]))
+                              for x in choices for h in [half]]))
+    model.window, model.weights = windows[best], _curve(choices[best], y)
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic curve by Newton steps with a small ridge."""
     w, ridge = np.zeros(3), np.diag([1e-2, 1e-2, 1e-3])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
         w += np.clip(step, -5, 5)
-    model.weights = w
+    return w
+
+
+def _loss(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    return float(np.logaddexp(0, np.where(y > 0, -1, 1) * (x @ w)).sum())
 
 
-def _with_features(documents: DataFrame, model: KneserNey, keep: list[str], scored: bool = False) -> DataFrame:
+def _with_features(
+    documents: DataFrame, model: KneserNey, keep: list[str], scored: bool = False, windows: tuple[int, ...] = ()
+) -> DataFrame:
     sent = documents.sparkSession.sparkContext.broadcast(model)
     schema = documents.select(*keep).schema
-    for name in ["score"] if scored else ["whole", "peak"]:
+    for name in ["score"] if scored else ["whole", *(f"peak_{w}" for w in windows)]:
         schema = schema.add(name, "double")
 
     def run(batches):
         model, index = sent.value, _lexicon(sent)
         for batch in pieces(batches, TEXTS):
-            x = np.array([model.features(t, index) for t in batch["text"].to_pylist()]).reshape(-1, 2)
-            out = [pa.array(model.probability(x))] if scored else [pa.array(x[:, 0]), pa.array(x[:, 1])]
+            x = np.array([model.features(t, index, windows) for t in batch["text"].to_pylist()]).reshape(batch.num_rows, -1)
+            out = [pa.array(model.probability(x))] if scored else [pa.array(column) for column in x.T]
             yield pa.RecordBatch.from_arrays([batch[c] for c in keep] + out, names=schema.names)
 
     source = documents.select(*keep, "text") if "text" not in keep else documents.select(*keep)
@@ -302,4 +320,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit(docs, training_labels(labels, "toxic", 5, 0))
     scored = score(docs, model, keep=["doc_id"])
     return scored.select(
-        "doc_id", (id_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(id_fold(5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
