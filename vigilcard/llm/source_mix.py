@@ -5,18 +5,18 @@ times all words, dealt by weight, and no source gives more than ``epochs`` times
 lies above is dealt again by weight until nothing does. With sources in the order of
 (limit / weight) those at their limit come first, so one pass of running sums finds the level.
 
-Schedule. The mix is a row of slots of equal word counts. Slot k takes the point k * g mod 1,
-g the golden ratio (in 31-bit integers), and the source whose part of the cumulative targets
-holds it; so every stretch of slots has nearly the target shares. These points are even for some
-500,000 slots only. Of more than ``EVEN`` slots each source gets its target in whole slots (at
-least one if its target is above 0), and slot k takes place k * step mod n of the n places that
-the sources share out; a step whose ratio to n has small partial quotients alone (as the golden
-ratio has) is looked for, so that stretches have the shares at any n. The j-th slot of a source takes block j of its stream: its documents in a hashed order, word after word, again and again.
-Slots and pieces of documents meet in a join on (source, block).
-
-Ranks and positions are running counts within chunks of slots and within hashed buckets of a
-source's documents, plus running sums over chunks and buckets, so that a source with a third
-of all rows is spread over many tasks. A rerun gives the same schedule.
+Schedule. The mix is a row of slots of equal word counts. A source gets its target, rounded to
+whole words, in as many slots as that takes; its last slot may be partial. All slots share out n
+places, a source's side by side, and slot k takes place k * step mod n: a rank-1 lattice, whose
+step is looked for near n / golden ratio such that its ratio to n has small partial quotients
+alone (as the golden ratio has). So every stretch of slots has nearly the target shares, at any
+n, and each source gets exactly its slots. The j-th slot of a source takes block j of its stream:
+its documents in a hashed order, word after word, again and again. Slots and pieces of documents
+meet in a join on (source, block).
+
+Ranks and positions are running counts within chunks of slots and within ranges of the hash of a
+source's documents, as many as the documents ask for, plus running sums over both, so that a
+source with a third of all rows is spread over many tasks. A rerun gives the same schedule.
 
 Defined cases: a null or empty text has size 0 and nothing taken; a null source is one of its
 own, last; null doc_ids and repeated rows are rows like others; an empty table gives an empty
@@ -32,13 +32,11 @@ from pyspark.sql import functions as F
 
 from vigilcard.llm.common import stage, text_or_empty, word_count
 
-#: Points are multiples of 2**-31; the step is the odd integer nearest to 2**31 / golden ratio.
-POINTS, STEP = 2**31, 1_327_217_885
 #: Words of a slot at most, and the slots that a small mix is cut into.
 SLOT_WORDS, SLOTS = 1024, 2**18
-#: Slots up to which the points are even; only mixes whose slots have SLOT_WORDS have more.
-EVEN = 2 * SLOTS
-CELLS, CHUNK, BUCKETS = 1024, 2**14, 1024
+#: Places that one source's cell and one chunk of slots hold, and documents of a range of the hash.
+CELLS, CHUNK, RANGE = 1024, 2**14, 50_000
+HASH_BITS = 31
 _PRIME = 2**31 - 1
 
 
@@ -55,8 +53,8 @@ def sizes(documents: DataFrame) -> DataFrame:
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, epochs: int = 2) -> DataFrame:
-    """One row per source: source, sid (its rank), source_size, target, lower and upper (its
-    part of the points), total (of all targets)."""
+    """One row per source: source, sid (its rank), source_size, target, goal (the target in whole
+    words), total (of all targets)."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     rows = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     rows = rows.withColumn("sid", F.row_number().over(by_name) - 1)
@@ -74,13 +72,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     rows = rows.withColumn("level", level.over(everything))
     most = F.col("most").cast("double")
     rows = rows.withColumn("target", F.least(most, F.coalesce(F.col("weight") * F.col("level"), most)))
-    running = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("total", F.sum("target").over(everything)).withColumn("upper", F.sum("target").over(running))
-    rows = rows.withColumn("upper", F.when(F.col("total") > 0, F.floor(F.col("upper") / F.col("total") * POINTS)).otherwise(0).cast("long"))
-    last = F.max("sid").over(everything)
-    rows = rows.withColumn("upper", F.when((F.col("sid") == last) & (F.col("total") > 0), F.lit(POINTS)).otherwise(F.col("upper")).cast("long"))
-    lower = F.coalesce(F.lag("upper").over(Window.orderBy("sid")), F.lit(0))
-    return rows.select("source", "sid", "source_size", "target", lower.alias("lower"), "upper", "total")
+    goal = F.floor(F.col("target") + 0.5).cast("long")
+    return rows.select("source", "sid", "source_size", "target", goal.alias("goal"), F.sum("target").over(everything).alias("total"))
 
 
 def slot_words(total: float) -> int:
@@ -96,30 +89,27 @@ def lattice_step(n: int) -> int:
             a, b, most = b, a % b, max(most, a // b)
         return most if a == 1 else n
 
+    if n < 3:
+        return 1
     middle = round(n * (math.sqrt(5) - 1) / 2)
     return min(range(max(1, middle - 2048), min(n, middle + 2048)), key=lambda step: (greatest(step), abs(step - middle)))
 
 
-def shared_out(goals: DataFrame) -> DataFrame:
+def shared_out(goals: DataFrame, words: int) -> DataFrame:
     """The places of each source among all: sid, lower, upper."""
-    count = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.floor(F.col("target") / SLOT_WORDS + 0.5))).otherwise(0).cast("long")
+    rows = goals.withColumn("count", F.ceil(F.col("goal") / words).cast("long"))
     upper = F.sum("count").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0))
-    return goals.withColumn("count", count).withColumn("upper", upper).select(
-        "sid", (F.col("upper") - F.col("count")).alias("lower"), "upper")
+    return rows.withColumn("upper", upper).select("sid", (F.col("upper") - F.col("count")).alias("lower"), "upper")
 
 
 def slots(spark: SparkSession, goals: DataFrame, total: float) -> DataFrame:
     """The schedule of sources: slot, sid, block (rank of the slot in its source)."""
-    count, modulus, step = math.floor(total / slot_words(total) + 0.5), POINTS, STEP
-    if count > EVEN:
-        goals = shared_out(goals)
-        count = modulus = goals.agg(F.max("upper")).first()[0]
-        step = lattice_step(count)
-    shift = max(0, math.ceil(math.log2(modulus / CELLS)))
-    parts = goals.where("upper > lower").select("sid", "lower", "upper", F.explode(F.sequence(
+    places = shared_out(goals, slot_words(total))
+    count = places.agg(F.max("upper")).first()[0] or 0
+    step, shift = lattice_step(count), max(0, math.ceil(math.log2(max(1, count) / CELLS)))
+    parts = places.where("upper > lower").select("sid", "lower", "upper", F.explode(F.sequence(
         F.shiftright("lower", shift), F.shiftright(F.col("upper") - 1, shift))).alias("cell"))
-    points = spark.range(count).select(
-        F.col("id").alias("slot"), (((F.col("id") % modulus) * step) % modulus).alias("point"))
+    points = spark.range(count).select(F.col("id").alias("slot"), (F.col("id") * step % max(1, count)).alias("point"))
     points = points.withColumn("cell", F.shiftright("point", shift))
     found = points.join(parts, "cell").where("point >= lower AND point < upper").select(
         "slot", "sid", (F.col("slot") / CHUNK).cast("long").alias("chunk"))
@@ -132,8 +122,10 @@ def slots(spark: SparkSession, goals: DataFrame, total: float) -> DataFrame:
 
 def streams(sized: DataFrame, goals: DataFrame) -> DataFrame:
     """Documents with their place in their source's stream: start, and (sid, bucket, place)."""
-    rows = sized.join(goals.select("source", "sid", "source_size"), F.equal_null(sized["source"], goals["source"])).drop(goals["source"])
-    rows = rows.withColumn("h", hashed(F.col("doc_id"))).withColumn("bucket", F.col("h") % BUCKETS)
+    rows = sized.join(goals.select("source", "sid", "source_size", "goal"), F.equal_null(sized["source"], goals["source"])).drop(goals["source"])
+    rows = rows.withColumn("h", hashed(F.col("doc_id")))
+    bits = min(HASH_BITS, max(0, math.ceil(math.log2(max(1, sized.count()) / RANGE))))
+    rows = rows.withColumn("bucket", F.shiftright("h", HASH_BITS - bits))
     inside = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size")
     rows = rows.withColumn("place", F.row_number().over(inside))
     rows = rows.withColumn("start", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
@@ -158,8 +150,9 @@ def schedule(documents: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share:
     rows = rows.withColumn("begin", begin).withColumn("block", F.explode_outer(
         F.when(F.col("size") > 0, F.sequence(block(F.col("begin")), block(F.col("begin") + F.col("size") - 1)))))
     first = F.greatest(F.col("begin"), F.col("block") * words)
-    last = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * words)
-    rows = rows.withColumn("from_word", first - F.col("begin")).withColumn("n_words", last - first).drop("begin")
+    last = F.least(F.col("begin") + F.col("size"), (F.col("block") + 1) * words, "goal")
+    rows = rows.withColumn("from_word", first - F.col("begin")).withColumn("n_words", F.greatest(last - first, F.lit(0)))
+    rows = rows.drop("begin", "goal")
     return goals, rows.join(slots(spark, goals, total), ["sid", "block"], "left")
 
 
@@ -200,8 +193,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
-#: The same in closed form: a source's slots cover the beginning of its stream. For mixes of at
-#: most EVEN slots (2**29 words).
+#: The same in closed form: a source's slots cover the beginning of its stream up to its target.
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
@@ -214,24 +206,15 @@ WITH sized AS (
             / sum(weight) OVER (ORDER BY most / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::BIGINT AS level FROM weighted
 ), targets AS (
   SELECT *, least(most::DOUBLE, coalesce(weight * (SELECT arg_min(level, most / weight) FROM levels WHERE most / weight > level), most::DOUBLE)) AS target FROM levels
-), ends AS (
-  SELECT *, sum(target) OVER (ORDER BY sid) AS upper_sum, sum(target) OVER () AS total, max(sid) OVER () AS last FROM targets
-), parts AS (
-  SELECT *, CASE WHEN sid = last THEN 2147483648 ELSE floor(upper_sum / total * 2147483648)::BIGINT END AS upper FROM ends
-), bounds AS (
-  SELECT *, coalesce(lag(upper) OVER (ORDER BY sid), 0) AS lower, greatest(1, least(1024, floor(total / 262144)))::BIGINT AS words_per_slot FROM parts
-), points AS (
-  SELECT (k % 2147483648) * 1327217885 % 2147483648 AS point
-  FROM (SELECT unnest(range((SELECT floor(max(total / words_per_slot) + 0.5)::BIGINT FROM bounds))) AS k)
 ), covered AS (
-  SELECT b.sid, b.source, b.source_size, b.target, (SELECT count(*) FROM points WHERE point >= b.lower AND point < b.upper) * b.words_per_slot AS reach FROM bounds AS b
+  SELECT sid, source, source_size, target, floor(target + 0.5)::BIGINT AS reach FROM targets
 ), hash1 AS (
   SELECT *, (((coalesce(doc_id, 0) % 2147483647) + 2147483647) % 2147483647 * 48271 + 11) % 2147483647 AS h1 FROM sized
 ), hash2 AS (
   SELECT *, (xor(h1, h1 >> 15) * 69621) % 2147483647 AS h2 FROM hash1
 ), placed AS (
   SELECT doc_id, size, source_size, target, reach,
-         sum(size) OVER (PARTITION BY sid ORDER BY xor(h2, h2 >> 13) % 1024, xor(h2, h2 >> 13), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS start
+         sum(size) OVER (PARTITION BY sid ORDER BY xor(h2, h2 >> 13), doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS start
   FROM hash2 JOIN covered ON hash2.source IS NOT DISTINCT FROM covered.source
 )
 SELECT doc_id, size::BIGINT AS size, source_size, target,
