@@ -588,6 +588,19 @@ def layer_commit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, counts)
 
 
+@query("layer_compaction")
+def layer_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw after nine batches over the same dates and two compactions, one of them between."""
+    rows = fixtures.transactions(spark, sf_dir)
+    store, part = _store(spark, "layers"), F.pmod(F.xxhash64("transaction_id"), F.lit(9))
+    for k in range(9):
+        store.append_new("raw", rows.filter(part == k))
+        if k == 4:
+            store.compact("raw", 4)
+    store.compact("raw", 4)
+    return comparable(store.read("raw"))
+
+
 @query("audit_log")
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, "layers")

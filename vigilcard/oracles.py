@@ -504,6 +504,7 @@ SELECT count(*) AS normal_transactions, {_count(ALERTED)} AS false_alerts,
 FROM scored s LEFT JOIN labels_of l ON l.transaction_id = s.transaction_id WHERE NOT coalesce(l.is_fraud, FALSE)""")
 
     out["layer_roundtrip_raw"] = _on_tx(f"SELECT {RAW}, {dated} FROM tx")
+    out["layer_compaction"] = out["layer_roundtrip_raw"]
     out["export_raw_parquet"] = _on_tx(f"SELECT {RAW} FROM tx")
     out["upsert_idempotent"] = _on_tx(f"""
 SELECT transaction_id, round(CASE WHEN timestamp < TIMESTAMP '{SPLIT}' THEN amount ELSE amount + 1000 END, 2) AS amount

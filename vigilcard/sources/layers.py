@@ -8,6 +8,11 @@ table. A marker file stands for as long as the batch is pending; readers leave o
 to a pending batch, and deleting the marker is the commit of all layers at once. A killed batch
 therefore does not exist for readers; its writer takes its files back before it starts again.
 
+Dates that many batches have written to are compacted: ``FAN`` folders of a level become one of
+the next. A manifest per layer says which folders a compaction is making and which it has replaced;
+one new version of it is the swap, and replaced folders are deleted one compaction later, as
+readers may still use them.
+
 Profiles are kept as deltas named in a manifest. Reading merges them; now and then they are
 merged into one. Ids of raw are kept in levels, so that a batch finds out which of its ids are
 stored without reading raw.
@@ -15,13 +20,14 @@ stored without reading raw.
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, LongType, StringType, StructField, StructType
 
@@ -31,14 +37,18 @@ from vigilcard.operators.profiles import merge_deltas
 from vigilcard.operators.seconds import day_moments
 from vigilcard.operators.snapshots import Snapshot, snapshot_of
 from vigilcard.schemas import ALERT, AUDIT_READ, ENRICHED, FRAUD_LABELS, PROFILE, RAW, REJECTED
-from vigilcard.sources.levels import Levels
+from vigilcard.sources.levels import FAN, Levels
 from vigilcard.sources.manifest import Files, Manifest
 
 SCHEMAS = {"raw": RAW, "enriched": ENRICHED, "alerts": ALERT}
+# The folder of rows without a time.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 DAY_MOMENTS = StructType(
     [StructField("customer_key", StringType()), StructField("day", LongType()), StructField("n", LongType()),
      StructField("mean", DoubleType()), StructField("squares", DoubleType()), StructField("dt", DateType())]
 )
+# Tables whose dates can be compacted.
+DATED = {**SCHEMAS, "day_moments": DAY_MOMENTS}
 # Profile deltas before they are merged into one.
 PROFILE_DELTAS = 50
 # History snapshots that are kept, the newest ones.
@@ -89,7 +99,7 @@ class LayerStore:
         markers = [n for n in self._files.names(self._markers()) if owner is None or n.split(".")[0] == owner]
         for marker in markers:
             name = marker.split(".")[1]
-            folders = [f"{layer}/dt=*" for layer in (*SCHEMAS, "day_moments")] + ["audit", "rejected", "fraud_labels", "snapshots/as_of=*/*"]
+            folders = [f"{layer}/dt=*" for layer in DATED] + ["audit", "rejected", "fraud_labels", "snapshots/as_of=*/*"]
             for folder in folders:
                 for path in self._files.matching(f"{self.root}/{folder}/{BATCH}={name}"):
                     self._files.delete(path)
@@ -109,36 +119,124 @@ class LayerStore:
         """Names of pending batches, without the one that this store is writing."""
         return frozenset(n.split(".")[1] for n in self._files.names(self._markers())) - {self._batch}
 
-    def _visible(self, table: DataFrame | None) -> DataFrame | None:
-        """A table without the rows of pending batches and without their names."""
+    def _visible(self, read: Callable[[], DataFrame | None]) -> DataFrame | None:
+        """A table without the rows of pending batches and without their names.
+
+        Files are listed when the table is read; what was pending before or is pending after
+        that may have been listed in part, so both are left out.
+        """
+        before = self._pending()
+        table = read()
         if table is None:
             return None
-        pending = sorted(self._pending())
+        pending = sorted(before | self._pending())
         return (table.filter(~F.col(BATCH).isin(pending)) if pending else table).drop(BATCH)
 
+    def _dated(self, layer: str) -> DataFrame | None:
+        """A table by date without what compactions are making or have replaced; listed again
+        if a compaction came between."""
+        schema = DATED[layer] if "dt" in DATED[layer].names else StructType(DATED[layer].fields + [StructField("dt", DateType())])
+        generations = self._generations(layer)
+        while True:
+            entries = generations.entries()
+            table = self._read(self.path(layer), named(schema))
+            if generations.entries() == entries:
+                break
+        making = sorted(e["batch"] for e in entries if "batch" in e)
+        replaced = sorted(e["folder"] for e in entries if "folder" in e)
+        if table is not None and making:
+            table = table.filter(~F.col(BATCH).isin(making))
+        if table is not None and replaced:
+            table = table.filter(~_folder().isin(replaced))
+        return table
+
+    def _generations(self, layer: str) -> Manifest:
+        return Manifest(self._files, f"{self.path(layer)}/_generations")
+
+    def compact(self, layer: str, fan: int = FAN) -> int:
+        """Merges the folders of dates, ``fan`` or more of one level to one of the next; returns
+        how many folders were replaced.
+
+        All dates of a level are rewritten by one job, a row once per level, and a date ends with
+        less than ``fan`` folders per level, whatever the number of batches. Batches may be written
+        and read meanwhile; one compaction of a layer runs at a time, and what a killed one left
+        is taken away first. Pending batches are not touched.
+        """
+        self._clear_replaced(layer)
+        schema = DATED[layer] if "dt" in DATED[layer].names else StructType(DATED[layer].fields + [StructField("dt", DateType())])
+        generations, level, count = self._generations(layer), 0, 0
+        while True:
+            replaced = {e["folder"] for e in generations.entries() if "folder" in e}
+            found = [_date_and_batch(p) for p in self._files.matching(f"{self.path(layer)}/dt=*/{BATCH}=*")]
+            pending = self._pending()  # read behind the list: what has begun since is not on it
+            found = [(d, b) for d, b in found if b not in pending and f"{d}/{b}" not in replaced]
+            dates: dict[str, list[str]] = {}
+            for day, batch in found:
+                if _level(batch) == level:
+                    dates.setdefault(day, []).append(f"{day}/{batch}")
+            full = sorted(folder for folders in dates.values() if len(folders) >= fan for folder in folders)
+            if full:
+                made = f"g{level + 1}-{uuid.uuid4().hex}"
+                generations.change(lambda entries: [*entries, {"batch": made}])
+                rows = self._read(self.path(layer), named(schema)).filter(_folder().isin(full))
+                self._write_dated(layer, rows.withColumn(BATCH, F.lit(made)))
+                self._swap(generations, made, full)
+                count += len(full)
+            elif not any(_level(b) > level for _, b in found):
+                return count
+            level += 1
+
+    def _swap(self, generations: Manifest, made: str, full: list[str]) -> None:
+        """Shows what a compaction has made and hides what it replaces, unless another one has
+        taken it away as the remains of a killed one; then nothing changes."""
+        lost = []
+
+        def swapped(entries: list[dict]) -> list[dict]:
+            lost[:] = [] if {"batch": made} in entries else [made]
+            if lost:
+                return [*entries, {"batch": made}]
+            return [e for e in entries if e != {"batch": made}] + [{"folder": f} for f in full]
+
+        generations.change(swapped)
+        if lost:
+            raise RuntimeError("two compactions of one layer ran at the same time")
+
+    def _clear_replaced(self, layer: str) -> None:
+        """Deletes what earlier compactions have replaced, or were making when they were killed."""
+        generations = self._generations(layer)
+        entries = generations.entries()
+        for entry in entries:
+            if "batch" in entry:
+                for path in self._files.matching(f"{self.path(layer)}/dt=*/{BATCH}={entry['batch']}"):
+                    self._files.delete(path)
+            else:
+                day, batch = entry["folder"].split("/")
+                self._files.delete(f"{self.path(layer)}/dt={day}/{BATCH}={batch}")
+        if entries:
+            generations.change(lambda now: [e for e in now if e not in entries])
+
     def path(self, layer: str) -> str:
         """Folder of a layer."""
         return f"{self.root}/{layer}"
 
     def read(self, layer: str) -> DataFrame | None:
         """A transaction layer with its ``dt`` column, or None when it was never written."""
-        dated = StructType(SCHEMAS[layer].fields + [StructField("dt", DateType(), True)])
-        return self._visible(self._read(self.path(layer), named(dated)))
+        return self._visible(lambda: self._dated(layer))
 
     def read_audit(self) -> DataFrame | None:
         """Audit events with all columns an event may have, or None when none were written.
 
         Every delivery of a micro-batch adds its events; ``distinct_events`` keeps one of each.
         """
-        return self._visible(_if_present(lambda: self.spark.read.schema(named(AUDIT_READ)).json(self.path("audit"))))
+        return self._visible(lambda: _if_present(lambda: self.spark.read.schema(named(AUDIT_READ)).json(self.path("audit"))))
 
     def read_rejected(self) -> DataFrame | None:
         """Lines and rows that carried no id, or None when there were none."""
-        return self._visible(self._read(self.path("rejected"), named(REJECTED)))
+        return self._visible(lambda: self._read(self.path("rejected"), named(REJECTED)))
 
     def read_labels(self) -> DataFrame | None:
         """Ground-truth labels, or None when there are none."""
-        return self._visible(self._read(self.path("fraud_labels"), named(FRAUD_LABELS)))
+        return self._visible(lambda: self._read(self.path("fraud_labels"), named(FRAUD_LABELS)))
 
     def read_profiles(self) -> DataFrame | None:
         """The card profiles, or None when none was written."""
@@ -301,7 +399,8 @@ class LayerStore:
         if not usable:
             return None
         newest = max(usable)
-        tables = [self._visible(self.spark.read.parquet(self._snapshot_path(newest, table))) for table in Snapshot.TABLES]
+        paths = [self._snapshot_path(newest, table) for table in Snapshot.TABLES]
+        tables = [self._visible(lambda path=path: self.spark.read.parquet(path)) for path in paths]
         return Snapshot(newest, *tables)
 
     def add_late_rows(self, rows: DataFrame, since: int | None) -> None:
@@ -329,12 +428,11 @@ class LayerStore:
         """Adds the amounts of transactions that are new in raw to the moments of their days."""
         found = day_moments(align(rows)).withColumn("dt", F.date_from_unix_date(F.col("day").cast("int")))
         with self.batch() as name:
-            dated = found.withColumn(BATCH, F.lit(name)).hint("rebalance", F.col("dt"))
-            dated.write.mode("append").partitionBy("dt", BATCH).parquet(self.path("day_moments"))
+            self._write_dated("day_moments", found.withColumn(BATCH, F.lit(name)))
 
     def read_day_moments(self) -> DataFrame | None:
         """Moments per customer, day and batch, or None when there are none."""
-        return self._visible(self._read(self.path("day_moments"), named(DAY_MOMENTS)))
+        return self._visible(lambda: self._dated("day_moments"))
 
     def write_labels(self, labels: DataFrame) -> None:
         """Appends ground-truth labels."""
@@ -370,11 +468,29 @@ class LayerStore:
         return _if_present(lambda: self.spark.read.schema(schema).parquet(path))
 
     def _write(self, layer: str, df: DataFrame) -> None:
-        dated = df.withColumns({"dt": utc_date(F.col("timestamp")), BATCH: F.lit(self._batch)})
+        self._write_dated(layer, df.withColumns({"dt": utc_date(F.col("timestamp")), BATCH: F.lit(self._batch)}))
+
+    def _write_dated(self, layer: str, dated: DataFrame) -> None:
         # Rows of one date meet in few files; a large date is split again by size.
         dated.hint("rebalance", F.col("dt")).write.mode("append").partitionBy("dt", BATCH).parquet(self.path(layer))
 
 
+def _folder() -> Column:
+    """Date and batch of a row as its folder names them; prunes like the two columns."""
+    return F.concat(F.coalesce(F.col("dt").cast("string"), F.lit(NO_DATE)), F.lit("/"), F.col(BATCH))
+
+
+def _date_and_batch(path: str) -> tuple[str, str]:
+    day, batch = path.rstrip("/").split("/")[-2:]
+    return day.split("=", 1)[1], batch.split("=", 1)[1]
+
+
+def _level(batch: str) -> int:
+    """Level of a folder by its name; 0 for what a batch has written."""
+    made = re.match(r"g(\d+)-", batch)
+    return int(made[1]) if made else 0
+
+
 def named(schema: StructType) -> StructType:
     """A stored schema with the name of the batch that wrote a row."""
     return StructType(schema.fields + [StructField(BATCH, StringType(), True)])

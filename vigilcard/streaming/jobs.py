@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vigilcard.config import EngineConfig
 from vigilcard.operators.decisions import batch_stats
 from vigilcard.plans.batch import process_batch
-from vigilcard.sources.layers import LayerStore
+from vigilcard.sources.layers import DATED, LayerStore
 
 
 def start_scoring(
@@ -23,12 +23,16 @@ def start_scoring(
     available_now: bool = False,
     decision_ts: datetime | None = None,
     keep_snapshots: bool = True,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Starts scoring a stream of raw transactions into the layers.
 
     A micro-batch may be delivered again after a failure. The layers keep their first copy
     of a transaction, and statistics are stored per query and epoch, so a second delivery
     changes neither; the audit log and the rejected layer record both, with query and epoch.
+
+    With ``compact_every`` the dates of the transaction layers are compacted once in so many
+    epochs; of the streams into one store only one may do that.
     """
     location = checkpoint or config.streaming.checkpoint_dir
     if not location:
@@ -44,6 +48,9 @@ def start_scoring(
             write_epoch_stats(result.enriched, local, epoch, query_id)
         finally:
             result.release()
+        if compact_every and epoch % compact_every == compact_every - 1:
+            for layer in DATED:
+                local.compact(layer)
 
     writer = rows.writeStream.foreachBatch(score).option("checkpointLocation", location)
     if available_now:
