@@ -9,7 +9,9 @@ from rows import START, frame, random_rows, tx
 from vigilcard.config import default_config
 from vigilcard.operators import decisions
 from vigilcard.operators.profiles import card_profiles, merge_profiles
+from vigilcard.plans import partials
 from vigilcard.plans.batch import backfill, first_transactions, process_batch
+from vigilcard.plans.partials import FROM_PARTIALS
 from vigilcard.plans.reports import REPORTS, run_query
 from vigilcard.schemas import ALERT, ENRICHED, PROFILE
 from vigilcard.sources.layers import LayerStore
@@ -135,6 +137,30 @@ def test_reports_run_on_empty_and_filled_layers(spark, store):
         run_query(spark, store, "no_such_report")
 
 
+def test_reports_from_partials_equal_the_direct_ones(spark, store):
+    process_batch(frame(spark, CLONE_PAIR), store, CONFIG, NOW).release()
+    assert store.read_report_partials() is None
+    store.keep_report_partials()
+    untimed = tx(transaction_id="u", timestamp=None, amount=None, merchant_category=None)
+    for _ in range(2):  # what is delivered again adds nothing
+        process_batch(frame(spark, [BAKERY, untimed]), store, CONFIG, NOW).release()
+    kept = store.read_report_partials()
+    assert kept.agg({"n": "sum"}).first()[0] == 4
+    enriched = store.read("enriched")
+    for name in FROM_PARTIALS:
+        assert run_query(spark, store, name).collect() == REPORTS[name][1](enriched).collect()
+    assert partials.batch_stats(kept).collect() == decisions.batch_stats(enriched).collect()
+    store.keep_report_partials()
+    assert store.read_report_partials().agg({"n": "sum"}).first()[0] == 4
+
+
+def test_partials_of_a_store_without_rows(spark, store):
+    store.keep_report_partials()
+    assert run_query(spark, store, "volume_by_hour").count() == 0
+    process_batch(frame(spark, CLONE_PAIR), store, CONFIG, NOW).release()
+    assert run_query(spark, store, "volume_by_hour").agg({"total_transactions": "sum"}).first()[0] == 2
+
+
 def test_no_normal_transactions_gives_no_rate(spark, store):
     process_batch(frame(spark, CLONE_PAIR), store, CONFIG, NOW).release()
     labels = [("c1", True, "card_cloning"), ("c2", True, "card_cloning")]

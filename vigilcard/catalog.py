@@ -23,7 +23,7 @@ from vigilcard.operators.align import align, without_ids_of
 from vigilcard.operators.novelty import seen_values, with_novelty
 from vigilcard.operators.profiles import card_profiles
 from vigilcard.operators.seconds import with_windows
-from vigilcard.plans import fixtures, reports
+from vigilcard.plans import fixtures, partials, reports
 from vigilcard.plans.batch import backfill, process_batch
 from vigilcard.plans.replay import verify_replay
 from vigilcard.plans.scoring import rule_hits, score_transactions, transaction_features, with_row_features
@@ -488,6 +488,42 @@ def false_positive_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.false_positive_rate(_enriched(spark, sf_dir), fixtures.fraud_labels(spark, sf_dir))
 
 
+def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials of three batches: one stored before partials were kept, one taken back and
+    delivered again, all dates compacted at the end."""
+    rows, store = Scratch(spark).stage(_enriched(spark, sf_dir), "enriched"), _store(spark, "layers")
+    store.append_new("enriched", rows.filter(~_later()))
+    store.keep_report_partials()
+    later = rows.filter(_later() | F.col("timestamp").isNull())
+    killed = LayerStore(spark, store.root)
+    try:
+        with killed.batch("query"):
+            killed.append_new("enriched", later)
+            raise _Killed
+    except _Killed:
+        pass
+    with store.batch("query"):
+        store.append_new("enriched", later.filter("channel = 'atm'"))
+    store.append_new("enriched", rows)
+    store.compact("report_partials", 2)
+    return store.read_report_partials()
+
+
+@query("report_partials")
+def report_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.fraud_rate_by_category(_partials(spark, sf_dir))
+
+
+@query("report_partials_by_hour")
+def report_partials_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.volume_by_hour(_partials(spark, sf_dir))
+
+
+@query("report_partials_thresholds")
+def report_partials_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partials.threshold_sweep(_partials(spark, sf_dir), SWEEP)
+
+
 # --- layers ---------------------------------------------------------------------------------
 
 

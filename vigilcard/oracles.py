@@ -503,6 +503,9 @@ SELECT count(*) AS normal_transactions, {_count(ALERTED)} AS false_alerts,
   round(100.0 * count(*) FILTER (WHERE {ALERTED}) / CAST(count(*) AS DOUBLE), 3) AS false_positive_rate_pct
 FROM scored s LEFT JOIN labels_of l ON l.transaction_id = s.transaction_id WHERE NOT coalesce(l.is_fraud, FALSE)""")
 
+    out["report_partials"] = out["fraud_rate_by_category"]
+    out["report_partials_by_hour"] = out["volume_by_hour"]
+    out["report_partials_thresholds"] = out["threshold_sweep"]
     out["layer_roundtrip_raw"] = _on_tx(f"SELECT {RAW}, {dated} FROM tx")
     out["layer_compaction"] = out["layer_roundtrip_raw"]
     out["export_raw_parquet"] = _on_tx(f"SELECT {RAW} FROM tx")

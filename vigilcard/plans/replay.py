@@ -18,6 +18,8 @@ from vigilcard.sources.scratch import Scratch
 
 # So many ids are few enough to broadcast them and their keys.
 FEW_IDS = 100_000
+# A second later than all.
+ALWAYS = 2**62
 
 
 def recompute_decisions(
@@ -26,8 +28,8 @@ def recompute_decisions(
     """Enriched rows of the given ids (all rows without ids), each against its own past.
 
     Up to ``FEW_IDS`` ids are looked up first; then only rows of their cards, customers and BINs
-    up to their latest time are read for the windows, which no other row can enter. The ids, their
-    times and keys are staged and stay in the scratch folder, as the result is lazy.
+    up to the latest time asked of each are read for the windows, which no other row can enter. The
+    ids, their times and keys are staged and stay in the scratch folder, as the result is lazy.
     """
     rows, rest = align(raw).drop("dt"), None
     everything = rows
@@ -48,24 +50,28 @@ def recompute_decisions(
 
 
 def _related(raw: DataFrame, asked: DataFrame) -> DataFrame:
-    """Aligned rows that share a card, customer or BIN with the asked rows, up to their latest
-    time; rows that share the customer alone from 90 days before the earliest time on, as the row
-    before and the values seen belong to cards and BINs. Rows without a time stay."""
-    earliest, latest, untimed = asked.agg(
-        F.min("ts_epoch"), F.max("ts_epoch"), F.count_if(F.col("ts_epoch").isNull())).first()
+    """Aligned rows that share a card, customer or BIN with the asked rows, up to the latest time
+    that is asked of that very key; rows that share the customer alone from 90 days before the
+    customer's earliest time on, as the row before and the values seen belong to cards and BINs.
+    Rows without a time stay, and so do all rows of a key that is asked without a time."""
+    latest, untimed = asked.agg(F.max("ts_epoch"), F.count_if(F.col("ts_epoch").isNull())).first()
     if latest is not None and not untimed:
         if "dt" in raw.columns:
             raw = raw.filter(F.col("dt").isNull() | (F.col("dt") <= day_literal(latest)))
         raw = raw.filter(F.col("timestamp").isNull() | (F.col("timestamp") < F.timestamp_seconds(F.lit(latest + 1))))
-    rows = align(raw).drop("dt")
+    rows, second = align(raw).drop("dt"), F.col("ts_epoch")
+    met = F.lit(False)
     for key in KEYS:
-        mine = asked.select(key).distinct().withColumn(f"_{key}", F.lit(True))
-        rows = rows.join(F.broadcast(mine), key, "left")
-    reached = F.lit(True)
-    if earliest is not None:
-        reached = F.col("ts_epoch").isNull() | (F.col("ts_epoch") >= earliest - NINETY_DAYS)
-    met = F.coalesce("_card_key", "_bin", F.col("_customer_key") & reached, F.lit(False))
-    return rows.filter(met).drop(*[f"_{key}" for key in KEYS])
+        timeless = F.count_if(second.isNull()) > 0
+        bounds = asked.groupBy(key).agg(
+            F.when(timeless, ALWAYS).otherwise(F.max("ts_epoch")).alias(f"_{key}_to"),
+            F.when(timeless, -ALWAYS).otherwise(F.min("ts_epoch") - NINETY_DAYS).alias(f"_{key}_from"))
+        rows = rows.join(F.broadcast(bounds), key, "left")  # a row per asked key, FEW_IDS at most
+        reached = second <= F.col(f"_{key}_to")
+        if key == "customer_key":
+            reached = reached & (second >= F.col(f"_{key}_from"))
+        met = met | (F.col(f"_{key}_to").isNotNull() & F.coalesce(reached, F.lit(True)))
+    return rows.filter(met).drop(*[f"_{key}_{end}" for key in KEYS for end in ("from", "to")])
 
 
 def verify_replay(

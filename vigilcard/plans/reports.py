@@ -12,26 +12,16 @@ from pyspark.sql import functions as F
 
 from vigilcard.functions.cards import utc_hour
 from vigilcard.operators.decisions import ALERT_LEVELS, LEVELS
+from vigilcard.plans.partials import FROM_PARTIALS, SCENARIOS, percent, sweep
 from vigilcard.sources.layers import LayerStore
 
 TOP_CLIENTS = 20
 
-# Threshold scenarios (name, review from, block from).
-SCENARIOS = (
-    ("Atual (30/70)", 30.0, 70.0),
-    ("Conservador (25/60)", 25.0, 60.0),
-    ("Agressivo (40/80)", 40.0, 80.0),
-)
-
 
 def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _percent(part: Column, whole: Column, decimals: int) -> Column:
-    return F.round(F.try_divide(F.lit(100.0) * part, whole.cast("double")), decimals)
-
-
 def _money(condition: Column, name: str) -> Column:
     return F.round(F.sum(F.when(condition, F.col("amount")).otherwise(F.lit(0.0))), 2).alias(name)
 
@@ -62,7 +52,7 @@ def fraud_rate_by_category(enriched: DataFrame) -> DataFrame:
         F.count_if(_level("block")).alias("block_count"),
         F.count_if(_level("review")).alias("review_count"),
         F.count_if(alerted).alias("alert_count"),
-        _percent(F.count_if(alerted), _rows(), 2).alias("alert_rate_pct"),
+        percent(F.count_if(alerted), _rows(), 2).alias("alert_rate_pct"),
         F.round(F.sum("amount"), 2).alias("total_volume_brl"),
         _money(_level("block"), "blocked_volume_brl"),
     )
@@ -83,7 +73,7 @@ def rule_effectiveness(enriched: DataFrame, labels: DataFrame) -> DataFrame:
         _rows().alias("times_triggered"),
         F.count_if(F.col("is_fraud")).alias("true_positives"),
         F.count_if(~F.col("is_fraud")).alias("false_positives"),
-        _percent(F.count_if(F.col("is_fraud")), _rows(), 2).alias("precision_pct"),
+        percent(F.count_if(F.col("is_fraud")), _rows(), 2).alias("precision_pct"),
     )
     return by_rule.orderBy(F.desc("times_triggered"), F.desc("precision_pct"), "rule_name")
 
@@ -103,7 +93,7 @@ def false_positives_by_rule(enriched: DataFrame, labels: DataFrame) -> DataFrame
         F.count_if(first & ~F.col("is_fraud")).alias("_normal"),
     )
     normal = F.sum("_normal").over(Window.partitionBy())  # over one row per rule
-    rate = _percent(F.col("false_positive_count"), F.col("_all_normal"), 3)
+    rate = percent(F.col("false_positive_count"), F.col("_all_normal"), 3)
     return (
         by_rule.withColumn("_all_normal", normal)
         .filter(F.col("rule_name").isNotNull())
@@ -129,27 +119,7 @@ def threshold_sweep(enriched: DataFrame, scenarios: Iterable[tuple[str, float, f
     Rows are reduced to one per distinct score first, and only that small table meets the
     scenarios, whose number is a parameter of the report.
     """
-    score = F.col("risk_score")
-    by_score = enriched.groupBy("risk_score").agg(_rows().alias("n"), F.sum("amount").alias("volume"))
-    cases = F.array(
-        *[
-            F.struct(F.lit(name).alias("scenario"), F.lit(float(low)).alias("low"), F.lit(float(high)).alias("high"))
-            for name, low, high in scenarios
-        ]
-    )
-    expanded = by_score.select("*", F.inline(cases))
-    below, above = score < F.col("low"), score >= F.col("high")
-
-    def rows_where(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
-
-    return expanded.groupBy("scenario").agg(
-        rows_where(below).alias("approve_count"),
-        rows_where(~below & ~above).alias("review_count"),
-        rows_where(above).alias("block_count"),
-        _percent(rows_where(above), F.sum("n"), 2).alias("block_pct"),
-        F.round(F.coalesce(F.sum(F.when(above, F.col("volume"))), F.lit(0.0)), 2).alias("blocked_amount_brl"),
-    )
+    return sweep(enriched.groupBy("risk_score").agg(_rows().alias("n"), F.sum("amount").alias("volume")), scenarios)
 
 
 def threshold_comparison(enriched: DataFrame) -> DataFrame:
@@ -167,7 +137,7 @@ def false_positive_rate(enriched: DataFrame, labels: DataFrame | None = None) ->
     return rows.agg(
         _rows().alias("normal_transactions"),
         alerted.alias("false_alerts"),
-        _percent(alerted, _rows(), 3).alias("false_positive_rate_pct"),
+        percent(alerted, _rows(), 3).alias("false_positive_rate_pct"),
     )
 
 
@@ -183,7 +153,13 @@ REPORTS: dict[str, tuple[tuple[str, ...], Callable[..., DataFrame]]] = {
 
 
 def run_query(spark: SparkSession, store: LayerStore, name_or_sql: str) -> DataFrame:
-    """A report by name, or SQL text over the views raw, enriched, alerts and fraud_labels."""
+    """A report by name, or SQL text over the views raw, enriched, alerts and fraud_labels.
+
+    Reports that partials can give are read from them if the store keeps them.
+    """
+    partials = store.read_report_partials() if name_or_sql in FROM_PARTIALS else None
+    if partials is not None:
+        return FROM_PARTIALS[name_or_sql](partials)
     store.register_views()
     if name_or_sql in REPORTS:
         layers, report = REPORTS[name_or_sql]

@@ -33,6 +33,7 @@ from pyspark.sql.types import ArrayType, DateType, DoubleType, LongType, StringT
 
 from vigilcard.functions.cards import utc_date
 from vigilcard.operators.align import align, day_literal
+from vigilcard.operators.partials import report_partials
 from vigilcard.operators.profiles import merge_deltas
 from vigilcard.operators.seconds import day_moments
 from vigilcard.operators.snapshots import Snapshot, snapshot_of
@@ -47,8 +48,12 @@ DAY_MOMENTS = StructType(
     [StructField("customer_key", StringType()), StructField("day", LongType()), StructField("n", LongType()),
      StructField("mean", DoubleType()), StructField("squares", DoubleType()), StructField("dt", DateType())]
 )
+REPORT_PARTIALS = StructType(
+    [StructField("merchant_category", StringType()), StructField("hour_of_day", LongType()), StructField("risk_level", StringType()),
+     StructField("risk_score", DoubleType()), StructField("n", LongType()), StructField("volume", DoubleType())]
+)
 # Tables whose dates can be compacted.
-DATED = {**SCHEMAS, "day_moments": DAY_MOMENTS}
+DATED = {**SCHEMAS, "day_moments": DAY_MOMENTS, "report_partials": REPORT_PARTIALS}
 # Profile deltas before they are merged into one.
 PROFILE_DELTAS = 50
 # History snapshots that are kept, the newest ones.
@@ -69,6 +74,7 @@ class LayerStore:
         self._profiles = Manifest(self._files, f"{self.path('profiles')}/index")
         self._snapshot_list = Manifest(self._files, f"{self.path('snapshots')}/index")
         self._ids = Levels(spark, self.path("ids"), StructType([RAW["transaction_id"]]), "transaction_id")
+        self._partials = Manifest(self._files, f"{self.path('report_partials')}/_kept")
         self._batch: str | None = None
 
     @contextmanager
@@ -271,14 +277,20 @@ class LayerStore:
                 self._ids.start()
             self._write(layer, rows)
             if layer == "raw" and self._ids.started():
-                self._index_ids(name)
-
-    def _index_ids(self, name: str) -> None:
-        """Adds the ids that a batch has written to raw to the id index."""
-        written = self._files.matching(f"{self.path('raw')}/dt=*/{BATCH}={name}")
-        if written:
-            reader = self.spark.read.option("basePath", self.path("raw")).schema(StructType([RAW["transaction_id"]]))
-            self._ids.add(reader.parquet(f"{self.path('raw')}/dt=*/{BATCH}={name}").select("transaction_id"), name)
+                written = self._written("raw", name, StructType([RAW["transaction_id"]]))
+                if written is not None:
+                    self._ids.add(written, name)
+            if layer == "enriched" and self._partials.exists():
+                written = self._written("enriched", name, ENRICHED)
+                if written is not None:
+                    self._write_report_partials(written, name)
+
+    def _written(self, layer: str, name: str, schema: StructType) -> DataFrame | None:
+        """Rows that a batch has written to a layer, or None if it has written none."""
+        folders = f"{self.path(layer)}/dt=*/{BATCH}={name}"
+        if not self._files.matching(folders):
+            return None
+        return self.spark.read.option("basePath", self.path(layer)).schema(schema).parquet(folders).select(*schema.names)
 
     def indexed_ids(self) -> DataFrame:
         """Ids in the index of raw, as ``transaction_id``."""
@@ -434,6 +446,32 @@ class LayerStore:
         """Moments per customer, day and batch, or None when there are none."""
         return self._visible(lambda: self._dated("day_moments"))
 
+    def keep_report_partials(self) -> None:
+        """Keeps partial aggregates for reports from now on. Those of stored rows are made once;
+        later batches add their own and commit them with their other layers. No batch may be
+        written meanwhile. Nothing happens if the store keeps them already."""
+        if self._partials.exists():
+            return
+        with self.batch("partials") as name:
+            stored = self.read("enriched")
+            if stored is not None:
+                self._write_report_partials(stored.drop("dt"), name)
+        self._partials.change(lambda entries: entries)
+
+    def _write_report_partials(self, enriched: DataFrame, name: str) -> None:
+        # In place of what the batch has written before: it may append more than once.
+        for path in self._files.matching(f"{self.path('report_partials')}/dt=*/{BATCH}={name}"):
+            self._files.delete(path)
+        self._write_dated("report_partials", report_partials(enriched).withColumn(BATCH, F.lit(name)))
+
+    def read_report_partials(self) -> DataFrame | None:
+        """Partial aggregates by date and batch, or None when the store keeps none."""
+        if not self._partials.exists():
+            return None
+        found = self._visible(lambda: self._dated("report_partials"))
+        dated = StructType(REPORT_PARTIALS.fields + [StructField("dt", DateType())])
+        return self.spark.createDataFrame([], dated) if found is None else found
+
     def write_labels(self, labels: DataFrame) -> None:
         """Appends ground-truth labels."""
         with self.batch() as name:
