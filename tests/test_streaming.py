@@ -8,7 +8,7 @@ from rows import START, frame, random_rows, tx
 from vigilcard.config import default_config
 from vigilcard.plans.batch import process_batch
 from vigilcard.schemas import RAW
-from vigilcard.sources.layers import LayerStore
+from vigilcard.sources.layers import DATED, LayerStore
 from vigilcard.streaming import jobs, sources
 
 CONFIG = default_config()
@@ -77,3 +77,22 @@ def test_two_micro_batches_and_second_delivery(spark, tmp_path):
 def test_stream_needs_a_checkpoint(spark, tmp_path):
     with pytest.raises(ValueError):
         jobs.start_scoring(frame(spark, [tx()]), LayerStore(spark, str(tmp_path)), CONFIG)
+
+
+def test_a_stream_compacts_its_dates(spark, tmp_path):
+    store, lines = LayerStore(spark, str(tmp_path / "layers")), str(tmp_path / "lines")
+    rows = [tx(transaction_id=f"t{k}", timestamp=START + timedelta(minutes=k)) for k in range(2)]
+    for k in range(2):
+        write_lines(frame(spark, [rows[k]]), lines)
+    stream = sources.read_json_lines(spark, CONFIG, lines, 1)
+    monkey = pytest.MonkeyPatch()
+    compacted = []
+    monkey.setattr(jobs.LayerStore, "compact", lambda self, layer: compacted.append(layer))
+    try:
+        jobs.start_scoring(
+            stream, store, CONFIG, str(tmp_path / "checkpoint"), available_now=True, decision_ts=NOW, compact_every=2
+        ).awaitTermination()
+    finally:
+        monkey.undo()
+    assert compacted == list(DATED)  # once, after the second of two epochs
+    assert store.read("raw").count() == 2
