@@ -52,9 +52,17 @@ def query(name: str) -> Callable[[Query], Query]:
     return add
 
 
+def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """History, batch and all rows, derived once; the many steps of a query read their columns back."""
+    late = F.col("timestamp") >= F.timestamp_seconds(F.lit(fixtures.SPLIT_EPOCH))
+    derived = fixtures.transactions(spark, sf_dir).withColumn("late", late)
+    rows = Scratch(spark).stage(derived, "transactions", "late")
+    return rows.filter("NOT late").drop("late"), rows.filter("late").drop("late"), rows.drop("late")
+
+
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Aligned history and batch."""
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     return (
         align(history).withColumn("is_batch", F.lit(False)),
         align(batch).withColumn("is_batch", F.lit(True)),
@@ -67,7 +75,7 @@ def _windows(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf_dir: str, *families: str) -> DataFrame:
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     return transaction_features(batch, history, default_config(), fixtures.SPLIT_EPOCH, True, families)
 
 
@@ -77,7 +85,11 @@ def _novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str, config: EngineConfig | None = None) -> DataFrame:
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
+    return _score(batch, history, config)
+
+
+def _score(batch: DataFrame, history: DataFrame, config: EngineConfig | None = None) -> DataFrame:
     return score_transactions(
         batch, history, config or default_config(), DECIDED_AT, fixtures.SPLIT_EPOCH, history_ended=True
     )
@@ -536,7 +548,7 @@ def layer_roundtrip_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _processed(spark: SparkSession, sf_dir: str) -> LayerStore:
     """Layers after processing the batch against stored history."""
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     store = _store(spark, "layers")
     store.append_new("raw", history)
     process_batch(batch, store, default_config(), DECIDED_AT).release()
@@ -551,7 +563,7 @@ def layer_roundtrip_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snapshot_scoring")
 def snapshot_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``layer_roundtrip_enriched``, from snapshots that late rows of history were added to."""
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     store = _store(spark, "layers")
     late = F.substring("transaction_id", -1, 1) == "7"
     store.append_new("raw", history.filter(~late))
@@ -571,8 +583,7 @@ def layer_roundtrip_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("upsert_idempotent")
 def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history, _ = fixtures.history_and_batch(spark, sf_dir)
-    everything = fixtures.transactions(spark, sf_dir)
+    history, _, everything = _staged(spark, sf_dir)
     store = _store(spark, "layers")
     store.append_new("raw", history)
     again = everything.unionByName(everything).withColumn("amount", F.col("amount") + 1000)
@@ -583,11 +594,11 @@ def upsert_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("upsert_id_index")
 def upsert_id_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History in three batches, then everything: what raw holds and what its id index knows."""
-    history, _ = fixtures.history_and_batch(spark, sf_dir)
+    history, _, everything = _staged(spark, sf_dir)
     store = _store(spark, "layers")
     for k in range(3):
         store.append_new("raw", history.filter(F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == k))
-    store.append_new("raw", fixtures.transactions(spark, sf_dir).withColumn("amount", F.col("amount") + 1000))
+    store.append_new("raw", everything.withColumn("amount", F.col("amount") + 1000))
     known = store.indexed_ids().withColumn("indexed", F.lit(True))
     both = store.read("raw").select("transaction_id", _rounded("amount", 2)).join(known, "transaction_id", "full")
     return both.withColumn("indexed", F.coalesce("indexed", F.lit(False)))
@@ -607,7 +618,7 @@ class _KilledStore(LayerStore):
 @query("layer_commit_recovery")
 def layer_commit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that is killed before its audit events is absent; delivered again it is there once."""
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     store = _store(spark, "layers")
     store.append_new("raw", history)
     run = ("query", 0)
@@ -627,7 +638,7 @@ def layer_commit_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("layer_compaction")
 def layer_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw after nine batches over the same dates and two compactions, one of them between."""
-    rows = fixtures.transactions(spark, sf_dir)
+    _, _, rows = _staged(spark, sf_dir)
     store, part = _store(spark, "layers"), F.pmod(F.xxhash64("transaction_id"), F.lit(9))
     for k in range(9):
         store.append_new("raw", rows.filter(part == k))
@@ -751,32 +762,33 @@ def profiles_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(store.read_profiles())
 
 
-def _verdicts(spark: SparkSession, sf_dir: str, raw: DataFrame, ids: DataFrame) -> DataFrame:
-    return comparable(verify_replay(raw, _enriched(spark, sf_dir), default_config(), DECIDED_AT, ids))
+def _verdicts(history: DataFrame, batch: DataFrame, raw: DataFrame, ids: DataFrame) -> DataFrame:
+    stored = decisions.enriched_transactions(_score(batch, history))
+    return comparable(verify_replay(raw, stored, default_config(), DECIDED_AT, ids))
 
 
 @query("replay_verify")
 def replay_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, batch = fixtures.history_and_batch(spark, sf_dir)
-    return _verdicts(spark, sf_dir, fixtures.transactions(spark, sf_dir), batch.select("transaction_id"))
+    history, batch, everything = _staged(spark, sf_dir)
+    return _verdicts(history, batch, everything, batch.select("transaction_id"))
 
 
 @query("replay_one_id")
 def replay_one_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first transaction of the batch alone, over the stored raw layer."""
+    history, batch, everything = _staged(spark, sf_dir)
     store = _store(spark, "layers")
-    store.append_new("raw", fixtures.transactions(spark, sf_dir))
-    _, batch = fixtures.history_and_batch(spark, sf_dir)
+    store.append_new("raw", everything)
     first = batch.agg(F.min("transaction_id").alias("transaction_id"))
-    return _verdicts(spark, sf_dir, store.read("raw"), first)
+    return _verdicts(history, batch, store.read("raw"), first)
 
 
 @query("replay_missing")
 def replay_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of history were never scored, and declined rows are taken out of raw."""
-    everything = fixtures.transactions(spark, sf_dir)
+    history, batch, everything = _staged(spark, sf_dir)
     raw = everything.filter(F.col("auth_result") == "approved")
-    verdicts = _verdicts(spark, sf_dir, raw, everything.select("transaction_id"))
+    verdicts = _verdicts(history, batch, raw, everything.select("transaction_id"))
     return verdicts.filter(F.col("status").startswith("not_in")).select("transaction_id", "status", "idempotent")
 
 
@@ -835,7 +847,7 @@ def _streamed(
 
     With ``own_folders`` every condition has a folder and a checkpoint, so a query, of its own.
     """
-    history, batch = fixtures.history_and_batch(spark, sf_dir)
+    history, batch, _ = _staged(spark, sf_dir)
     store, lines = _store(spark, "layers"), scratch_path(spark, "lines")
     store.append_new("raw", history)
     for condition in batches:

@@ -142,6 +142,20 @@ def _frame(key: str, seconds_back: int) -> str:
     return f"(PARTITION BY {key}, slot ORDER BY ts_epoch RANGE BETWEEN {seconds_back} PRECEDING AND 1 PRECEDING)"
 
 
+def _count_over(key: str, column: str, seconds_back: int) -> str:
+    """Sum of whole numbers over a frame: two running totals, one up to before the frame.
+
+    Unlike a sliding frame, which adds up all its rows again for every row, this costs linear time
+    however many seconds a frame holds; differences of whole numbers are exact.
+    """
+    totals = [
+        f"coalesce(sum({column}) OVER (PARTITION BY {key}, slot ORDER BY ts_epoch "
+        f"RANGE BETWEEN UNBOUNDED PRECEDING AND {end} PRECEDING), 0)"
+        for end in (1, seconds_back + 1)
+    ]
+    return " - ".join(totals)
+
+
 def _over_one_slot(key: str, function: str, column: str) -> tuple[str, str]:
     """The two halves of a frame as long as a slot: its own slot so far, the last one's rest."""
     running = f"(PARTITION BY {key}, slot ORDER BY ts_epoch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -192,7 +206,7 @@ def card_seconds(
             "ts_epoch",
             KEPT,
             _row_before(key),
-            *[f"coalesce(sum(n) OVER {_frame(key, length)}, 0) AS {name}" for name, length in counts.items()],
+            *[f"{_count_over(key, 'n', length)} AS {name}" for name, length in counts.items()],
             f"{_sum_over_one_slot(key, 'n')} AS velocity_24h",
             f"sum(total) OVER {ten} AS sum_10min",
             f"min(low) OVER {ten} AS min_10min",
@@ -355,7 +369,7 @@ def bin_seconds(
             "ts_epoch",
             KEPT,
             _row_before(key),
-            f"coalesce(sum(denials) OVER {_frame(key, window_seconds)}, 0) AS bin_denials_15min",
+            f"{_count_over(key, 'denials', window_seconds)} AS bin_denials_15min",
         )
         .filter("kept")
         .drop("kept")

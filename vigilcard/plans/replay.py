@@ -29,7 +29,8 @@ def recompute_decisions(
 
     Up to ``FEW_IDS`` ids are looked up first; then only rows of their cards, customers and BINs
     up to the latest time asked of each are read for the windows, which no other row can enter. The
-    ids, their times and keys are staged and stay in the scratch folder, as the result is lazy.
+    ids, their times and keys, and the rows that are read are staged once, as every window and flag
+    reads them; they stay in the scratch folder, as the result is lazy.
     """
     rows, rest = align(raw).drop("dt"), None
     everything = rows
@@ -40,8 +41,10 @@ def recompute_decisions(
             # Raw is searched for the ids once; times and keys are taken from what was found.
             found = rows.join(F.broadcast(wanted), "transaction_id", "left_semi")
             everything = _related(raw, scratch.stage(found.select("ts_epoch", *KEYS), "replay-asked"))
-        rows = everything.join(wanted, "transaction_id", "left_semi")
-        rest = everything.join(wanted, "transaction_id", "left_anti").withColumn("is_batch", F.lit(False))
+        marked = everything.join(wanted.withColumn("is_batch", F.lit(True)), "transaction_id", "left")
+        marked = marked.withColumn("is_batch", F.coalesce("is_batch", F.lit(False)))
+        everything = scratch.stage(marked, "replay-rows", "is_batch")
+        rows, rest = everything.filter("is_batch"), everything.filter("NOT is_batch")
     rows = rows.withColumn("is_batch", F.lit(True))
     timed = with_windows(rows, rest, None, config.bin_window_seconds, as_of=everything)
     known = with_novelty_as_of(timed, rows, everything)

@@ -39,11 +39,14 @@ class Scratch:
         self.spark = spark
         self._paths: list[str] = []
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Writes a DataFrame to the scratch folder and returns the stored table."""
+    def stage(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """Writes a DataFrame to the scratch folder and returns the stored table.
+
+        With ``by``, a column of few values, readers that filter on it open only their part.
+        """
         path = scratch_path(self.spark, name)
         self._paths.append(path)
-        df.write.parquet(path)
+        (df.write if by is None else df.write.partitionBy(by)).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
