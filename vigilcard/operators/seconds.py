@@ -9,9 +9,9 @@ single key holds a large part of the data:
 2. a key's time line is cut into slots, and each slot receives copies of the seconds its
    frames reach back to. A frame group is (key, slot): at most two slots of seconds, however
    many transactions they stand for;
-3. a frame exactly as long as a slot (24 h, 90 days) is the running total of its own slot
-   plus the running total, read backwards, of the slot before. Both are running frames of
-   linear cost, and nothing is subtracted, so minimum and maximum work like the sums;
+3. counts are differences of two running totals, which whole numbers allow. A frame exactly
+   as long as a slot (90 days) of other numbers is the running total of its own slot plus the
+   running total, read backwards, of the slot before. All are running frames of linear cost;
 4. the row before may lie any time back. It is the last row of an earlier second of the slot
    or, for the first second of a slot, of a carried row: the last second of the key's
    previous used slot, found in a table of one row per (key, slot).
@@ -30,6 +30,8 @@ from vigilcard.operators.replay import in_second_predecessors
 # Window lengths in seconds.
 ONE_MINUTE, FIVE_MINUTES, TEN_MINUTES, ONE_HOUR, ONE_DAY = 60, 300, 600, 3600, 86400
 NINETY_DAYS = 90 * ONE_DAY
+# A card's slot: most cards have few rows a day, and every group costs something.
+CARD_SLOT = 8 * ONE_DAY
 
 # Columns of the row before, behind its second; the id decides the order inside a second.
 CARD_PAYLOAD = (
@@ -97,7 +99,7 @@ def _second_rows(
 
 
 def _slot(length: int) -> str:
-    return f"ts_epoch div {length}"
+    return f"(ts_epoch - pmod(ts_epoch, {length})) div {length}"
 
 
 def _in_slots(
@@ -166,10 +168,6 @@ def _over_one_slot(key: str, function: str, column: str) -> tuple[str, str]:
     )
 
 
-def _sum_over_one_slot(key: str, column: str) -> str:
-    return " + ".join(f"coalesce({half}, 0)" for half in _over_one_slot(key, "sum", column))
-
-
 def _row_before(key: str) -> str:
     """Last row of the key's previous used second, from the slot itself or the carried row."""
     running = f"(PARTITION BY {key}, slot ORDER BY ts_epoch RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -196,18 +194,18 @@ def card_seconds(
         "velocity_1min": ONE_MINUTE,
         "velocity_5min": FIVE_MINUTES,
         "velocity_1h": ONE_HOUR,
+        "velocity_24h": ONE_DAY,
         "count_10min": TEN_MINUTES,
     }
     ten = _frame(key, TEN_MINUTES)
     return (
-        _in_slots(seconds, key, ONE_DAY, ONE_DAY, since, carry=True)
+        _in_slots(seconds, key, CARD_SLOT, ONE_DAY, since, carry=True)
         .selectExpr(
             key,
             "ts_epoch",
             KEPT,
             _row_before(key),
             *[f"{_count_over(key, 'n', length)} AS {name}" for name, length in counts.items()],
-            f"{_sum_over_one_slot(key, 'n')} AS velocity_24h",
             f"sum(total) OVER {ten} AS sum_10min",
             f"min(low) OVER {ten} AS min_10min",
         )
@@ -301,9 +299,12 @@ def customer_seconds(
         batch, history, key, ("amount",), _MOMENTS, since, NINETY_DAYS, keep_older=False, few_keys=few_keys
     )
     shift = f"percentile_approx(CASE WHEN role = '{{}}' THEN mean END, 0.5) OVER (PARTITION BY {key}, slot)"
-    placed = _in_slots(seconds, key, slot, slot, since, ahead=ahead).selectExpr(
-        "*", f"CASE WHEN role = '{OWN}' THEN {shift.format(OWN)} ELSE {shift.format(REACHED)} END AS shift"
-    )
+    # A slot without a row of the batch is left before anything is computed for it.
+    asked = f"bool_or(wanted AND role = '{OWN}') OVER (PARTITION BY {key}, slot) AS asked"
+    placed = _in_slots(seconds, key, slot, slot, since, ahead=ahead).selectExpr("*", asked).filter("asked")
+    placed = placed.drop("asked").selectExpr(
+        "*", f"{shift.format(OWN)} AS shift_own", f"{shift.format(REACHED)} AS shift_old"
+    ).selectExpr("*", f"CASE WHEN role = '{OWN}' THEN shift_own ELSE shift_old END AS shift")
     moved = placed.selectExpr(
         "*", "n * (mean - shift) AS moved", "squares + n * (mean - shift) * (mean - shift) AS moved_squares"
     )
@@ -316,8 +317,8 @@ def customer_seconds(
         "ts_epoch",
         "slot",
         KEPT,
-        f"{shift.format(OWN)} AS shift_own",
-        f"{shift.format(REACHED)} AS shift_old",
+        "shift_own",
+        "shift_old",
         *[f"{text} AS {name}" for name, text in halves.items()],
     ).filter("kept")
     found = summed.selectExpr(
