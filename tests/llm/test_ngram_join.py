@@ -3,12 +3,14 @@
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vigilcard.llm import ngram_join
-from vigilcard.llm.common import Forest
+from vigilcard.llm.common import Forest, shingles, text_pieces, word_hashes
 
 
 def shingle_set(text, n):
@@ -88,3 +90,38 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.join(docs).count() == 0
     assert ngram_join.keep_one(docs).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 4, 5])
+def test_hashed_shingles_stand_for_word_sequences(n):
+    rng = random.Random(n)
+    texts = [None, "", " ", "a", "A b", "x" * 300 + " y", "\x00 \x00\x00", "a" * 8 + " " + "a" * 9 + " " + "a" * 17, "é É x\x1cy"]
+    texts += ["".join(rng.choice("abC \n\t\x0bé") for _ in range(rng.randint(0, 60))) for _ in range(300)]
+    values, begins = shingles(*word_hashes([t.encode() if t is not None else None for t in texts]), n)
+    meaning = {}
+    for k, text in enumerate(texts):
+        own, expected = values[begins[k] : begins[k + 1]].tolist(), shingle_set(text, n)
+        assert own == sorted(set(own)) and len(own) == len(expected)
+        assert meaning.setdefault(tuple(own), expected) == expected
+
+
+def test_task_holds_few_words_and_no_table_of_them():
+    """The hashes of ten million bytes of different words take no more than their own pieces."""
+    text = pa.array([" ".join(f"w{k}x{j}" for j in range(1000)) for k in range(1000)])
+    batch = pa.RecordBatch.from_arrays([text], names=["text"])
+    tracemalloc.start()
+    found = sum(len(shingles(*word_hashes(texts), 5)[0]) for _, texts in text_pieces([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 1000 * 996 and peak < 30e6
+
+
+def test_divide_skip_probes_many_long_lists_at_once():
+    """Sets of a hundred near copies: as many links as connect them, in a few steps per set."""
+    base = np.arange(1, 4001, dtype=np.uint64)
+    sets = [np.unique(np.append(base, np.uint64(10_000 + k))) for k in range(100)]
+    calls, search = [], np.searchsorted
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ngram_join.np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+        found = ngram_join.divide_skip(sets, 80)
+    assert len(found) == 99 and len(calls) < 100 * (4000 // ngram_join.PROBED + 3)

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from vigilcard.sources.scratch import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of one side that a hint may broadcast; the rows are counted first.
 BROADCAST_ROWS = 2_000_000
-_CACHED_WORDS = 300_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,17 +53,43 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, with a cache of bounded size."""
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_FIRST_BYTES = np.array([2 ** (8 * k) - 1 for k in range(9)], np.uint64)
+#: Words longer than this are hashed one by one.
+_LONG_WORD = 256
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > _CACHED_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts (A-Z as a-z), one after the other, and where the
+    words of each text begin (one entry more than texts).
+
+    Words are read eight bytes at a time; equal hashes of words up to eight bytes are equal words
+    of their length.
+    """
+    lengths = np.array([len(t) if t else 0 for t in texts], np.int64)
+    joined = b"".join((b"\n", b"\n".join(t or b"" for t in texts).lower(), b"\n" * 9))
+    space = _SPACE[np.frombuffer(joined, np.uint8)]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, size = edges[0::2], edges[1::2] - edges[0::2]
+    eight = np.ndarray((len(joined) - 7,), np.dtype("<u8"), joined, strides=(1,))
+    found = _spread(eight[start] & _FIRST_BYTES[np.minimum(size, 8)] ^ size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    rest, done = np.flatnonzero((size > 8) & (size <= _LONG_WORD)), 8
+    while len(rest):
+        part = eight[start[rest] + done] & _FIRST_BYTES[np.minimum(size[rest] - done, 8)]
+        found[rest] = _spread(found[rest] * np.uint64(0xC2B2AE3D27D4EB4F) + part)
+        done += 8
+        rest = rest[size[rest] > done]
+    for k in np.flatnonzero(size > _LONG_WORD):
+        found[k] = xxhash.xxh3_64_intdigest(joined[start[k] : start[k] + size[k]])
+    begins = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
+    return found, np.searchsorted(start, begins)
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,16 +98,35 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(28))
 
 
-def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles; with fewer words, one of all words."""
-    if not len(hashes):
-        return hashes
-    width = min(n, len(hashes))
-    count = len(hashes) - width + 1
+def shingles(hashes: np.ndarray, begins: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the n-word shingles of each text (with fewer words, one of all
+    words), one text after the other, and where those of each text begin.
+
+    ``hashes`` and ``begins`` are what ``word_hashes`` gives.
+    """
+    words = np.diff(begins)
+    counts = np.maximum(words - n + 1, np.minimum(words, 1))
+    out = np.empty(counts.sum(), np.uint64)
+    at = np.concatenate(([0], np.cumsum(counts)))
+    whole = max(0, len(hashes) - n + 1)
+    inside = np.arange(whole) + n <= np.repeat(begins[1:], words)[:whole]
+    out[np.repeat(words >= n, counts)] = _rolled(hashes, n)[inside]
+    for k in np.flatnonzero((words > 0) & (words < n)):
+        out[at[k]] = _rolled(hashes[begins[k] : begins[k + 1]], int(words[k]))[0]
+    for first, last in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        out[first:last].sort()
+    new = np.ones(len(out), bool)
+    new[1:] = out[1:] != out[:-1]
+    new[at[:-1][counts > 0]] = True
+    return out[new], np.concatenate(([0], np.cumsum(new)))[at]
+
+
+def _rolled(hashes: np.ndarray, width: int) -> np.ndarray:
+    count = max(0, len(hashes) - width + 1)
     total = np.full(count, width, np.uint64)
     for k in range(width):
         total = total * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[k : k + count]
-    return np.unique(mix(total))
+    return mix(total)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
@@ -91,6 +136,26 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def text_pieces(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Arrow batches cut where their column ``text`` passes ``size`` bytes, and the texts as UTF-8.
+    A longer text is a piece of its own."""
+    for batch in batches:
+        text = batch["text"].cast(pa.large_binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.slice(start, stop - start), text.slice(start, stop - start).to_pylist()
+            start = stop
+
+
+def binaries(values: np.ndarray, begins: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` between each of ``begins`` and the next, as Arrow values."""
+    offsets = pa.py_buffer((begins * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(begins) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
 class Forest:
     """Union-find over 0..n-1; a root is the smallest member."""
 

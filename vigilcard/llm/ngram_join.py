@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilcard.llm.common import (
-    Forest, WordHashes, connected_components, limited_broadcast, pieces, shared_ids, shingles, stage, text_or_empty,
+    Forest, binaries, connected_components, limited_broadcast, pieces, shared_ids, shingles, stage, text_or_empty, text_pieces, word_hashes,
 )
 
 #: Lists of more classes than this do not give pairs but a star.
@@ -50,12 +50,15 @@ BLOCK = 2048
 #: Bits of a shingle's hash that address the bitmap of frequent shingles (8 MB).
 BITMAP = 26
 #: Shingles that one range of the count holds on average.
-COUNTED = 4_000_000
+COUNTED = 2_000_000
+#: Shingles that a task sorts before it deals them to the ranges.
+DEALT = 1_000_000
 #: Postings that one range holds on average.
 RANGE = 400_000
-
-
-_NOTHING = np.zeros(0, np.uint64)
+#: Pairs of classes that are added up at a time.
+PAIRS = 500_000
+#: Long lists that are probed for the candidates at a time.
+PROBED = 64
 
 
 def threshold(size, percent: int):
@@ -67,8 +70,9 @@ def merge_bound(size: int, percent: int) -> int:
     return min(3, int(threshold(size, percent)))
 
 
-def text_shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
-    return shingles(hashes(text.encode("utf-8", "surrogatepass").lower().split()) if text else _NOTHING, n)
+def _edges(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
 
 
 def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -117,14 +121,14 @@ def divide_skip(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         root = forest.root(q)
         new = np.array([forest.root(int(c)) != root for c in candidates], bool)
         candidates, counts = candidates[new], counts[new]
-        for left, t in enumerate(long):
-            can = counts + (len(long) - left) >= need
+        for done in range(0, len(long), PROBED):
+            can = counts + (len(long) - done) >= need
             candidates, counts = candidates[can], counts[can]
             if not len(candidates):
                 break
-            run = lists[low[t] : high[t]]
-            at = np.minimum(np.searchsorted(run, candidates), len(run) - 1)
-            counts = counts + (run[at] == candidates)
+            wanted = (token[mine][long[done : done + PROBED]] * len(order))[:, None] + candidates
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            counts = counts + (keys[at] == wanted).sum(axis=0)
         linked = 100 * counts >= percent * (size + sizes[candidates] - counts)
         for c in candidates[linked]:
             if forest.union(q, int(c)):
@@ -138,28 +142,40 @@ def _frequent(documents: DataFrame, n: int) -> np.ndarray:
     bits = min(18, max(4, math.ceil(math.log2(total / 6 / COUNTED + 1))))  # a word takes some six characters
     top, low = np.uint64(64 - bits), np.uint64(32 - bits)
 
+    def sorted_out(found):
+        values = np.concatenate(found)
+        values.sort()
+        # Equal ones go on as one with a count; from LIST + 1 on the number no longer matters.
+        first = _edges(values)
+        seen = np.minimum(np.diff(np.append(first, len(values))), LIST + 1).astype(np.uint8)
+        values = values[first]
+        cuts = np.searchsorted(values >> top, np.arange(2**bits + 1, dtype=np.uint64))
+        short = (values >> low).astype(np.uint32)  # the 32 bits that follow the range
+        used = np.flatnonzero(np.diff(cuts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(used, pa.int32()), *(pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary()) for x in (short, seen))],
+            names=["part", "h", "seen"])
+
     def deal(batches):
-        hashes = WordHashes()
-        for batch in pieces(batches, 4096):
-            found = [text_shingles(t, n, hashes) for t in batch["text"].to_pylist()]
-            values = np.sort(np.concatenate(found)) if found else _NOTHING
-            # Equal ones go on as one with a count; from LIST + 1 on the number no longer matters.
-            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
-            seen = np.minimum(np.diff(np.append(first, len(values))), LIST + 1).astype(np.uint8)
-            values = values[first]
-            cuts = np.searchsorted(values >> top, np.arange(2**bits + 1, dtype=np.uint64))
-            short = (values >> low).astype(np.uint32)  # the 32 bits that follow the range
-            used = np.flatnonzero(np.diff(cuts))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int32()), *(pa.array([x[cuts[k] : cuts[k + 1]].tobytes() for k in used], pa.binary()) for x in (short, seen))],
-                names=["part", "h", "seen"])
+        found, held = [], 0
+        for _, texts in text_pieces(batches):
+            found.append(shingles(*word_hashes(texts), n)[0])
+            held += len(found[-1])
+            if held > DEALT:
+                yield sorted_out(found)
+                found, held = [], 0
+        if held:
+            yield sorted_out(found)
 
     def count(table: pa.Table) -> pa.Table:
-        values = np.concatenate([np.frombuffer(x, np.uint32) for x in table["h"].to_pylist()])
-        seen = np.concatenate([np.frombuffer(x, np.uint8) for x in table["seen"].to_pylist()])
-        order = np.argsort(values, kind="stable")
-        values, seen = values[order], seen[order]
-        edges = np.flatnonzero(np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1])))
+        # The count takes the low byte, so that one sort in place orders both.
+        values = np.concatenate([np.frombuffer(x, np.uint32).astype(np.uint64) for x in table["h"].to_pylist()])
+        values <<= np.uint64(8)
+        values |= np.concatenate([np.frombuffer(x, np.uint8) for x in table["seen"].to_pylist()])
+        values.sort()
+        seen = (values & np.uint64(255)).astype(np.uint8)
+        values = (values >> np.uint64(8)).astype(np.uint32)
+        edges = _edges(values)
         often = values[edges[np.add.reduceat(seen, edges, dtype=np.int64) > LIST]]
         marked = np.zeros(2 ** (BITMAP - bits), bool)
         marked[often >> np.uint32(32 - (BITMAP - bits))] = True
@@ -183,23 +199,26 @@ def _classes(documents: DataFrame, n: int, percent: int) -> DataFrame:
     schema = documents.select("doc_id").schema.add("size", "long").add("s1", "long").add("s2", "long").add("short", "binary")
 
     def run(batches):
-        frequent, hashes = sent.value, WordHashes()
-        for batch in pieces(batches):
-            sizes, first, second, short = [], [], [], []
-            for text in batch["text"].to_pylist():
-                own = text_shingles(text, n, hashes)
-                sizes.append(len(own))
-                first.append(int(np.bitwise_xor.reduce(own * (own >> np.uint64(7) | np.uint64(1)))) if len(own) else 0)
-                second.append(int(np.add.reduce(own ^ (own >> np.uint64(13)))) if len(own) else 0)
-                if not len(own):
-                    short.append(b"")
-                    continue
-                last = _is_frequent(frequent, own)
-                keep = len(own) - threshold(len(own), percent) + merge_bound(len(own), percent)
-                short.append(np.concatenate([own[~last], own[last]])[:keep].tobytes())
-            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+        frequent = sent.value
+        for batch, texts in text_pieces(batches):
+            own, begins = shingles(*word_hashes(texts), n)
+            sizes = np.diff(begins)
+            some = sizes > 0
+            first, second = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
+            first[some] = np.bitwise_xor.reduceat(own * (own >> np.uint64(7) | np.uint64(1)), begins[:-1][some])
+            second[some] = np.add.reduceat(own ^ (own >> np.uint64(13)), begins[:-1][some])
+            # Place of each shingle in its text's order: the frequent ones behind the others.
+            last = _is_frequent(frequent, own)
+            lasts = np.concatenate(([0], np.cumsum(last)))
+            before = lasts[:-1] - np.repeat(lasts[begins[:-1]], sizes)
+            others = np.repeat(sizes - np.diff(lasts[begins]), sizes)
+            place = np.where(last, others + before, np.arange(len(own)) - np.repeat(begins[:-1], sizes) - before)
+            least = threshold(sizes, percent)
+            short = place < np.repeat(sizes - least + np.minimum(least, 3), sizes)
+            kept = np.concatenate(([0], np.cumsum(short)))[begins]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), signed(first), signed(second), pa.array(short, pa.binary())],
+                [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+                 binaries(own[short], kept)],
                 names=schema.names)
 
     return documents.select("doc_id", "text").mapInArrow(run, schema)
@@ -226,6 +245,14 @@ def _related(classes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in packed)], names=["part", "h", "rep", "size"])
 
+    def added_up(rows: np.ndarray) -> np.ndarray:
+        """One row per pair; no bound is above 3, so counts may stop there."""
+        if not len(rows):
+            return rows
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        firsts = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
+        return np.column_stack([rows[firsts, :2], np.minimum(np.add.reduceat(rows[:, 2], firsts), 3), rows[firsts, 3]])
+
     def pairs(table: pa.Table) -> pa.Table:
         values, owner, size = (
             np.concatenate([np.frombuffer(x, kind) for x in table[name].to_pylist()])
@@ -235,24 +262,22 @@ def _related(classes: DataFrame, percent: int) -> DataFrame:
         edges = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
         lengths = np.diff(edges)
         starts, lengths = edges[:-1][lengths > 1], lengths[lengths > 1]
-        out: list[np.ndarray] = []
+        out = [np.zeros((0, 4), np.int64)]
         for length in np.unique(lengths[lengths <= LIST]):
-            at = starts[lengths == length][:, None] + np.arange(length)
             i, j = np.triu_indices(length, 1)
-            a, b = at[:, i].ravel(), at[:, j].ravel()
-            small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-            fits = small >= threshold(large, percent)
-            a, b = a[fits], b[fits]
-            bound = np.minimum(3, threshold(np.minimum(size[a], size[b]), percent))
-            out.append(np.column_stack([owner[a], owner[b], np.ones(len(a), np.int64), bound]))
+            of_length = starts[lengths == length]
+            for done in range(0, len(of_length), max(1, PAIRS // len(i))):
+                at = of_length[done : done + max(1, PAIRS // len(i)), None] + np.arange(length)
+                a, b = at[:, i].ravel(), at[:, j].ravel()
+                small, large = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+                fits = small >= threshold(large, percent)
+                a, b = a[fits], b[fits]
+                bound = np.minimum(3, threshold(np.minimum(size[a], size[b]), percent))
+                out.append(added_up(np.column_stack([owner[a], owner[b], np.ones(len(a), np.int64), bound])))
         for start, length in zip(starts[lengths > LIST], lengths[lengths > LIST], strict=True):
             rest = owner[start + 1 : start + length]
             out.append(np.column_stack([np.full(len(rest), owner[start]), rest, np.full(len(rest), 3), np.full(len(rest), 3)]))
-        rows = np.concatenate(out) if out else np.zeros((0, 4), np.int64)
-        if len(rows):
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-            firsts = np.flatnonzero(np.concatenate(([True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1))))
-            rows = np.column_stack([rows[firsts, :2], np.minimum(np.add.reduceat(rows[:, 2], firsts), 3), rows[firsts, 3]])
+        rows = added_up(np.concatenate(out))
         return pa.table({name: pa.array(rows[:, k], pa.int64()) for k, name in enumerate(("a", "b", "n", "bound"))})
 
     dealt = classes.select("rep", "size", "short").mapInArrow(deal, "part int, h binary, rep binary, size binary")
@@ -273,11 +298,9 @@ def _links(documents: DataFrame, groups: DataFrame, n: int, percent: int) -> Dat
     schema = "component long, members long, doc_id long, own binary"
 
     def run(batches):
-        hashes = WordHashes()
-        for batch in pieces(batches):
-            own = [text_shingles(t, n, hashes).tobytes() for t in batch["text"].to_pylist()]
+        for batch, texts in text_pieces(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch["component"], batch["members"], batch["doc_id"].cast(pa.int64()), pa.array(own, pa.binary())],
+                [batch["component"], batch["members"], batch["doc_id"].cast(pa.int64()), binaries(*shingles(*word_hashes(texts), n))],
                 names=["component", "members", "doc_id", "own"])
 
     sets = rows.mapInArrow(run, schema).where("length(own) > 0")
