@@ -269,7 +269,7 @@ class LayerStore:
         with self.batch() as name:
             if not unique:
                 self.append_rejected(rows.filter("transaction_id IS NULL"), f"no id for {layer}")
-                rows = one_per_id(rows)
+                rows = one_per_id(rows) if has_repeated_ids(rows) else rows.filter("transaction_id IS NOT NULL")
             met = self.ids_already_in(layer, rows) if stored_ids is None and not fresh else stored_ids
             if met is not None:
                 rows = rows.join(met, "transaction_id", "left_anti")
@@ -543,6 +543,12 @@ def one_per_id(rows: DataFrame) -> DataFrame:
     return chosen.select("transaction_id", "latest.*").select(*rows.columns)
 
 
+def has_repeated_ids(rows: DataFrame) -> bool:
+    """Whether an id comes more than once; only ids are shuffled for that, not whole rows."""
+    counts = rows.filter("transaction_id IS NOT NULL").groupBy("transaction_id").count()
+    return bool(counts.agg(F.coalesce(F.max("count"), F.lit(0)) > 1).first()[0])
+
+
 def distinct_events(audit: DataFrame) -> DataFrame:
     """Audit events with one copy of those that a micro-batch delivered again.
 

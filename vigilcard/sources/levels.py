@@ -101,7 +101,7 @@ class Levels:
                 mine = sorted({h % buckets for h in hit})
                 if not mine:
                     continue
-                if len(mine) <= NAMED_BUCKETS:
+                if len(mine) <= NAMED_BUCKETS and len(mine) < buckets:
                     path = self._files.matching(f"{path}/bucket={{{','.join(map(str, mine))}}}")
             if path:
                 part = self.spark.read.option("basePath", entry["folder"]).schema(self.schema).parquet(*([path] if isinstance(path, str) else path))
