@@ -8,6 +8,7 @@ from rows import START, frame, tx
 from vigilcard.config import config_from_dict, default_config
 from vigilcard.operators.decisions import timestamp_literal
 from vigilcard.operators.profiles import card_profiles
+from vigilcard.plans import batch
 from vigilcard.plans.batch import process_batch
 from vigilcard.plans.replay import recompute_decisions
 from vigilcard.plans.scoring import score_transactions
@@ -99,3 +100,31 @@ def test_empty_and_missing_card_are_apart(spark):
     rows = [tx(transaction_id="a", card_id=""), tx(transaction_id="b", card_id=None)]
     df = score_transactions(frame(spark, rows), None, CONFIG, START)
     assert {r.previous_transaction_id for r in df.collect()} == {None}
+
+
+def test_rows_are_grouped_only_if_ids_repeat(spark, store, monkeypatch):
+    """Ids that differ cost no grouping of whole rows, in an append and in a batch; repeated ones do."""
+    grouped, one_per_id = [], layers.one_per_id
+    for module in (layers, batch):
+        monkeypatch.setattr(module, "one_per_id", lambda rows: grouped.append(1) or one_per_id(rows))
+    rows = [tx(transaction_id=f"t{k}") for k in range(5)]
+    store.append_new("raw", frame(spark, rows[:2]))
+    process_batch(frame(spark, rows), store, CONFIG, START).release()
+    assert not grouped and store.read("raw").count() == 5
+    store.append_new("raw", frame(spark, rows + rows + [tx(transaction_id=None), tx(transaction_id="t9")]))
+    process_batch(frame(spark, rows + rows), store, CONFIG, START).release()
+    assert len(grouped) == 2 and store.read("raw").count() == 6 and store.read_rejected().count() == 1
+
+
+def test_a_batch_is_computed_once(spark, store):
+    """The text of a stream is parsed once, whatever is written from it."""
+    seen = spark.sparkContext.accumulator(0)
+    rows = frame(spark, [tx(transaction_id="a"), tx(transaction_id="b"), tx(transaction_id=None)]).coalesce(1)
+
+    def counted(batches):
+        for part in batches:
+            seen.add(part.num_rows)
+            yield part
+
+    process_batch(rows.mapInArrow(counted, rows.schema), store, CONFIG, START).release()
+    assert seen.value == 3 and store.read("raw").count() == 2 and store.read_rejected().count() == 1

@@ -15,7 +15,7 @@ from vigilcard.operators.profiles import card_profiles
 from vigilcard.operators.seconds import ONE_DAY
 from vigilcard.plans.scoring import score_transactions
 from vigilcard.schemas import RAW
-from vigilcard.sources.layers import LayerStore, one_per_id
+from vigilcard.sources.layers import LayerStore, has_repeated_ids, one_per_id
 from vigilcard.sources.scratch import Scratch
 
 # A batch of at most this many rows has few enough keys to broadcast them.
@@ -57,8 +57,8 @@ def process_batch(
 ) -> BatchResult:
     """Scores a batch against stored history and appends to every layer.
 
-    The batch and its scores are staged once; every layer is then written from the staged
-    table, so no step recomputes the windows. Of rows that share an id the latest counts, see
+    What came and its scores are staged once; every layer is then written from the staged
+    tables, so no step parses again or recomputes the windows. Of rows that share an id the latest counts, see
     ``one_per_id``; rows without an id, and lines that a stream could not parse, go to the
     rejected layer. ``run`` is the query and epoch of a micro-batch, for the audit log.
 
@@ -96,7 +96,12 @@ def _process(
 ) -> BatchResult:
     moment = decision_ts or datetime.now(timezone.utc)
     now = decisions.timestamp_literal(moment)
-    rows = scratch.stage(one_per_id(batch.select(*RAW.names)), "batch")
+    # What came is read once: it may be text to parse. Whole rows are grouped only if ids repeat.
+    lines = [c for c in batch.columns if c == "rejected_line"]
+    came = scratch.stage(batch.select(*RAW.names, *lines), "came")
+    rows = came.filter("transaction_id IS NOT NULL").select(*RAW.names)
+    if has_repeated_ids(rows):
+        rows = scratch.stage(one_per_id(rows), "batch")
     second = F.unix_timestamp("timestamp")
     since, until, count, untimed = rows.agg(
         F.min(second), F.max(second), F.count(F.lit(1)), F.count_if(F.col("timestamp").isNull())
@@ -137,8 +142,7 @@ def _process(
     enriched = decisions.enriched_transactions(scored)
     alerts = decisions.alerts(scored)
     if write:
-        lines = [c for c in batch.columns if c == "rejected_line"]
-        without_id = batch.filter("transaction_id IS NULL").select(*RAW.names, *lines)
+        without_id = came.filter("transaction_id IS NULL")
         with store.batch(run[0] or "none"):
             store.append_rejected(without_id, "no transaction id", *run)
             store.append_new("raw", rows, stored_ids, unique=True, fresh=fresh)
