@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -93,3 +94,78 @@ def test_one_prefix_fills_many_partitions():
     keys, _ = collocations.phrase_keys(ids, np.uint64(1), 2, every)
     led = Counter(k[0] >> 2 for k in keys if k[3:11] == (7).to_bytes(8, "big"))
     assert max(led.values()) < 4000 / 6
+
+
+def lines_run(call):
+    """What a call returns and how many lines of Python it runs."""
+    lines = 0
+
+    def trace(frame, event, _):
+        nonlocal lines
+        lines += event == "line"
+        return trace
+
+    before = sys.gettrace()
+    sys.settrace(trace)
+    try:
+        found = call()
+    finally:
+        sys.settrace(before)
+    return found, lines
+
+
+def test_no_line_of_python_for_each_phrase():
+    """Phrases become keys and enter the trie as arrays: a step for each key took most of the CPU time."""
+    ids = np.arange(1, 100_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    every = np.full(2 ** (collocations.BITMAP - 3), 255, np.uint8)
+    trie = collocations.HatTrie()
+    for _ in range(2):
+        _, lines = lines_run(lambda: trie.add(*collocations.phrase_keys(ids, np.uint64(1), 2, every)))
+        assert lines < 50_000
+    assert trie.size == 99_999
+    runs, lines = lines_run(lambda: list(trie.spill(0)))
+    assert lines < 50_000 and all((counts == 2).all() for _, counts in runs)
+
+
+def test_single_words_leave_a_task_as_runs(spark):
+    """Words are counted like longer phrases, and not by a row for each distinct word of a task."""
+    rows = [(k, f"w{k} the, w{k + 1} the", "en", 1, 2) for k in range(1000)]
+    words = collocations.count_phrases(spark.createDataFrame(rows, SCHEMA), 1, 2, None, 4000).collect()
+    assert Counter(len(r.ids) for r in words) == {0: 1, 1: 1000}
+    assert {r.f for r in words if not r.ids} == {4000} and max(r.f for r in words if r.ids) == 2000
+
+
+@given(st.lists(st.text(alphabet="aZÄ中\x00\x1c. \t\n,\r", max_size=40), max_size=5))
+def test_words_of_many_texts_at_once(texts):
+    texts = [*texts, "x" * 300, "y" * 17 + " " + "x" * 300]
+    joined, start, size, ids = collocations.words_and_breaks([t.encode() for t in texts])
+    found = [None if i == 0 else joined[a : a + n].decode() for a, n, i in zip(start.tolist(), size.tolist(), ids.tolist(), strict=True)]
+    wanted = [re.findall(r"[^ \t]+", piece) for t in texts for piece in re.split(r"[.,;:!?\n-\r]", t.replace("Z", "z"))]
+    pieces = [[]]
+    for word in found:
+        pieces += [[]] if word is None else []
+        if word is not None:
+            pieces[-1].append(word)
+    assert [p for p in pieces if p] == [p for p in wanted if p]
+    assert len({w: i for w, i in zip(found, ids.tolist(), strict=True) if w}) == len({i for i in ids.tolist() if i})
+    assert all(collocations.word_id(w.encode()) == i for w, i in zip(found, ids.tolist(), strict=True) if w)
+
+
+@given(st.lists(st.binary(min_size=11, max_size=11), max_size=60), st.binary(min_size=8, max_size=8), st.booleans())
+def test_order_of_keys_that_begin_alike(keys, head, all_alike):
+    """Keys that share their first eight bytes, zeros at the end, and a key several times."""
+    keys = [head + k[8:] if all_alike or i % 2 else k[:9] + b"\x00\x00" for i, k in enumerate(keys)] * 2
+    order = collocations.sorted_order(np.array(keys, "S11"))
+    assert [keys[i] for i in order] == sorted(keys)
+
+
+@given(st.lists(st.tuples(st.binary(min_size=2, max_size=2), st.integers(1, 5)), min_size=1, max_size=400), st.integers(1, 50))
+def test_keys_that_repeat_in_one_batch(entries, burst):
+    trie, wanted = collocations.HatTrie(burst), Counter()
+    keys, counts = [k for k, _ in entries], [n for _, n in entries]
+    for _ in range(2):
+        trie.add(keys, counts)
+        for key, n in entries:
+            wanted[key] += n
+    found = {row.tobytes(): n for rows, total in trie.spill(0) for row, n in zip(rows, total.tolist(), strict=True)}
+    assert found == wanted

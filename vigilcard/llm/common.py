@@ -72,6 +72,14 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[np.frombuffer(joined, np.uint8)]
     edges = np.flatnonzero(space[1:] != space[:-1]) + 1
     start, size = edges[0::2], edges[1::2] - edges[0::2]
+    found = span_hashes(joined, start, size)
+    begins = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
+    return found, np.searchsorted(start, begins)
+
+
+def span_hashes(joined: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words that begin at ``start``, eight bytes at a time; behind the last
+    one ``joined`` goes on for seven bytes at least."""
     eight = np.ndarray((len(joined) - 7,), np.dtype("<u8"), joined, strides=(1,))
     found = _spread(eight[start] & _FIRST_BYTES[np.minimum(size, 8)] ^ size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     rest, done = np.flatnonzero((size > 8) & (size <= _LONG_WORD)), 8
@@ -82,8 +90,7 @@ def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         rest = rest[size[rest] > done]
     for k in np.flatnonzero(size > _LONG_WORD):
         found[k] = xxhash.xxh3_64_intdigest(joined[start[k] : start[k] + size[k]])
-    begins = np.concatenate(([1], 1 + np.cumsum(lengths + 1)))
-    return found, np.searchsorted(start, begins)
+    return found
 
 
 def _spread(x: np.ndarray) -> np.ndarray:
