@@ -28,8 +28,8 @@ from vigilcard.plans.batch import backfill, process_batch
 from vigilcard.plans.replay import verify_replay
 from vigilcard.plans.scoring import rule_hits, score_transactions, transaction_features, with_row_features
 from vigilcard.schemas import ALERT, AUDIT, ENRICHED, RAW
-from vigilcard.sources.layers import LayerStore, csv_ready, csv_schema, distinct_events
-from vigilcard.sources.scratch import Scratch, scratch_path
+from vigilcard.sources.layers import JSON_LINES, LayerStore, csv_ready, csv_schema, distinct_events
+from vigilcard.sources.scratch import Scratch, freed_shuffles, scratch_path
 from vigilcard.streaming import jobs, sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -805,7 +805,7 @@ def _write_lines(rows: DataFrame, path: str, broken: Column | None = None) -> st
     line = sources.transaction_json()
     if broken is not None:
         line = F.when(broken, F.substring(line, 1, 60)).otherwise(line)
-    rows.select(line.alias("value")).write.mode("append").text(path)
+    rows.select(line.alias("value")).write.mode("append").options(**JSON_LINES).text(path)
     return path
 
 
@@ -915,8 +915,9 @@ def stream_reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries; the first query's events written once more are one again when read as distinct."""
     store = _streamed(spark, sf_dir, [F.lit(True)], runs=2)
     first = store.read_audit().agg(F.min("query_id")).first()[0]
-    again = Scratch(spark).stage(store.read_audit().filter(F.col("query_id") == first), "audit")
-    store.append_audit(again)
+    again = Scratch(spark)
+    store.append_audit(again.stage(store.read_audit().filter(F.col("query_id") == first), "audit"))
+    again.release()
     layers = {name: store.read(name) for name in ("raw", "enriched", "alerts")}
     layers["audit"] = store.read_audit()
     layers["audit_distinct"] = distinct_events(store.read_audit())
@@ -928,4 +929,7 @@ def stream_reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for name, table in layers.items()
     ]
+    # Table after table, so that the ids of one at a time are on disk.
+    with freed_shuffles(spark):
+        counts = [Scratch(spark).stage(count, "counts") for count in counts]
     return reduce(DataFrame.union, counts)

@@ -19,6 +19,7 @@ single key holds a large part of the data:
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -449,6 +450,7 @@ def with_windows(
     few_keys: bool = False,
     moments: DataFrame | None = None,
     days: list[int] | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Adds the window features and predecessors of aligned batch rows, whose ids are unique.
 
@@ -458,6 +460,8 @@ def with_windows(
     ``snapshot`` stands for history before its day, which must end a day or more before
     ``since``; ``few_keys`` says that the keys of the batch are few enough to broadcast.
     ``moments`` and ``days`` shorten what the spending profile reads, see ``customer_seconds``.
+    ``keep`` stores the features of a family under its name and reads them back, so that the
+    shuffles of one family at a time are on disk.
     """
     if snapshot is not None and (since is None or snapshot.as_of > since - ONE_DAY):
         raise ValueError("a snapshot must end at least a day before the batch begins")
@@ -500,6 +504,9 @@ def with_windows(
                 "coalesce(row_before.auth_result = 'approved', false) AS prev_bin_approved",
             )
         )
+    if keep is not None:
+        names = [f for f in ("card", "customer", "bin") if f in families]
+        found = [keep(features, f"{name}-features") for features, name in zip(found, names, strict=True)]
     out = batch
     for features in found:
         out = out.join(features, "transaction_id", "left")

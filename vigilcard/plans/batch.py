@@ -16,9 +16,10 @@ from vigilcard.operators.seconds import ONE_DAY
 from vigilcard.plans.scoring import score_transactions
 from vigilcard.schemas import RAW
 from vigilcard.sources.layers import LayerStore, has_repeated_ids, one_per_id
-from vigilcard.sources.scratch import Scratch
+from vigilcard.sources.scratch import Scratch, freed_shuffles
 
-# A batch of at most this many rows has few enough keys to broadcast them.
+# A batch of at most this many rows has few enough keys to broadcast them; the windows of a larger
+# one are staged family by family.
 BROADCAST_KEYS = 200_000
 # Days of a batch up to which stored moments of days save reading.
 MOMENT_DAYS = 40
@@ -77,7 +78,8 @@ def process_batch(
     if write and run[0]:
         store.roll_back(run[0])  # what an earlier, killed delivery has left
     try:
-        return _process(batch, store, config, decision_ts, write, run, keep_snapshots, keep_moments, scratch)
+        with freed_shuffles(store.spark):
+            return _process(batch, store, config, decision_ts, write, run, keep_snapshots, keep_moments, scratch)
     except BaseException:
         scratch.release()
         raise
@@ -130,15 +132,17 @@ def _process(
             ended = since_seconds(history, begin).isEmpty()
             snapshot = store.snapshot_before(begin - ONE_DAY)
         return score_transactions(
-            part, history, config, moment, begin, ended, snapshot, few_keys, companions, moments, days)
+            part, history, config, moment, begin, ended, snapshot, few_keys, companions, moments, days,
+            None if few_keys else scratch.stage)
 
     if border is None:
-        scored = score(rows, since)
+        scored = scratch.stage(score(rows, since), "scored")
     else:
         late = rows.filter(F.col("timestamp") < F.timestamp_seconds(F.lit(border)))
         rest = rows.filter(F.col("timestamp").isNull() | (F.col("timestamp") >= F.timestamp_seconds(F.lit(border))))
-        scored = score(late, since).unionByName(score(rest, border, late))
-    scored = scratch.stage(scored, "scored")
+        # One after the other, so that the shuffles of both are never on disk together.
+        early = scratch.stage(score(late, since), "scored")
+        scored = early.unionByName(scratch.stage(score(rest, border, late), "scored"))
     enriched = decisions.enriched_transactions(scored)
     alerts = decisions.alerts(scored)
     if write:

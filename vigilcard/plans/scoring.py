@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -54,6 +55,7 @@ def transaction_features(
     companions: DataFrame | None = None,
     moments: DataFrame | None = None,
     days: list[int] | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Batch rows with every unrounded feature of the chosen families.
 
@@ -66,7 +68,7 @@ def transaction_features(
     matter. ``few_keys`` allows to broadcast the keys of the batch. ``companions`` are rows of
     the same batch, all before ``since``, that are scored elsewhere: windows see them,
     novelty does not. ``moments`` and ``days`` shorten what the spending profile reads, see
-    ``customer_seconds``.
+    ``customer_seconds``. ``keep`` stores the windows of each family, see ``with_windows``.
     """
     rows = align(batch).withColumn("is_batch", F.lit(True))
     past = None if history is None else align(history).withColumn("is_batch", F.lit(False))
@@ -79,7 +81,7 @@ def transaction_features(
         known = None if snapshot is None else with_rows(snapshot, beside)
     featured = with_windows(
         rows, before, since, config.bin_window_seconds, history_ended, families, snapshot=known, few_keys=few_keys,
-        moments=moments, days=days,
+        moments=moments, days=days, keep=keep,
     )
     if "novelty" in families:
         featured = with_novelty(featured, rows, _seen(past, rows, snapshot, few_keys))
@@ -115,15 +117,16 @@ def score_transactions(
     companions: DataFrame | None = None,
     moments: DataFrame | None = None,
     days: list[int] | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """Features and decisions of a batch, unrounded and lazy.
+    """Features and decisions of a batch, unrounded and, but for what ``keep`` stores, lazy.
 
     Transaction ids must be unique within the batch; ``process_batch`` takes care of that.
     """
     moment = decision_ts or datetime.now(timezone.utc)
     features = transaction_features(
         batch, history, config, since, history_ended, snapshot=snapshot, few_keys=few_keys, companions=companions,
-        moments=moments, days=days,
+        moments=moments, days=days, keep=keep,
     )
     return with_decision(features, config, timestamp_literal(moment))
 

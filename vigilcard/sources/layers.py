@@ -40,6 +40,7 @@ from vigilcard.operators.snapshots import Snapshot, snapshot_of
 from vigilcard.schemas import ALERT, AUDIT_READ, ENRICHED, FRAUD_LABELS, PROFILE, RAW, REJECTED
 from vigilcard.sources.levels import FAN, Levels
 from vigilcard.sources.manifest import Files, Manifest
+from vigilcard.sources.scratch import freed_shuffles
 
 SCHEMAS = {"raw": RAW, "enriched": ENRICHED, "alerts": ALERT}
 # The folder of rows without a time.
@@ -59,6 +60,9 @@ PROFILE_DELTAS = 50
 # History snapshots that are kept, the newest ones.
 SNAPSHOTS = 4
 BATCH = "batch"
+# JSON lines repeat their field names, so they are kept compressed. A reader cannot split such a
+# file, so a file holds no more lines than one task reads with ease.
+JSON_LINES = {"compression": "gzip", "maxRecordsPerFile": 100_000}
 EXPORT_FORMATS = ("parquet", "csv", "json", "jsonl")
 # Text exports keep microseconds, which the default text form of a timestamp cuts off.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -92,13 +96,14 @@ class LayerStore:
         self._batch = f"b-{uuid.uuid4().hex}"
         marker = f"{self._markers()}/{owner}.{self._batch}"
         self._files.write_new(marker, "")
-        try:
-            yield self._batch
-            self._files.delete(marker)
-        finally:
-            self._batch = None
-        self._merge_profiles()
-        self._ids.merge(self._pending())
+        with freed_shuffles(self.spark):
+            try:
+                yield self._batch
+                self._files.delete(marker)
+            finally:
+                self._batch = None
+            self._merge_profiles()
+            self._ids.merge(self._pending())
 
     def roll_back(self, owner: str | None = None) -> int:
         """Takes back the pending batches of an owner, or all; only for writers that are gone."""
@@ -335,9 +340,9 @@ class LayerStore:
                 rejected.write.mode("append").parquet(f"{self.path('rejected')}/{BATCH}={name}")
 
     def append_audit(self, events: DataFrame) -> None:
-        """Appends audit events as JSON lines; every call adds its events again."""
+        """Appends audit events as compressed JSON lines; every call adds its events again."""
         with self.batch() as name:
-            writer = events.write.mode("append").option("ignoreNullFields", "false")
+            writer = events.write.mode("append").options(**JSON_LINES).option("ignoreNullFields", "false")
             writer.json(f"{self.path('audit')}/{BATCH}={name}")
 
     def write_profiles(self, batch_profiles: DataFrame) -> None:
